@@ -19,8 +19,11 @@ def trim_to_null(value: Column) -> Column:
 
 
 def typed(value: Column, type_name: str) -> Column:
-    """Blank text is NULL, any other text must cast or the job fails."""
-    return trim_to_null(value).cast(type_name)
+    """Blank text is NULL, any other text must cast or the job fails.
+
+    The cast itself ignores surrounding spaces, so the text is not trimmed twice.
+    """
+    return F.when(F.btrim(value) != "", value.cast(type_name))
 
 
 def upper_trim(value: Column) -> Column:

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from rawstar.operators import scope as scopes
+from rawstar.operators.manifest import row_counters
 from rawstar.plans import recipes, staging
 from rawstar.session import materialize
 
@@ -25,19 +24,7 @@ class Star:
 
     def row_counts(self) -> DataFrame:
         """(destination, row_count), zero rows included."""
-        counts = [
-            df.select(F.lit(name).alias("destination"), F.lit(1).alias("_one"))
-            .groupBy("destination")
-            .agg(F.count("_one").alias("row_count"))
-            for name, df in self.tables.items()
-        ]
-        spark = self.source.sparkSession
-        names = spark.createDataFrame([(n,) for n in self.tables], "destination string")
-        return (
-            F.broadcast(names)
-            .join(staging.union_parts(counts), "destination", "left")
-            .select("destination", F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count"))
-        )
+        return row_counters(self.tables).withColumnRenamed("table_name", "destination")
 
 
 def plan_star(raw_table: DataFrame, scope: list[str] | None = None, stored: bool = True) -> Star:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rawstar import layout
-from rawstar.functions.fields import parse_fields, typed
+from rawstar.functions.fields import payload_struct, typed
 
 SYSTEM_KEYS = ["raw_id", "raw_schema", "raw_hash"]
 
@@ -53,14 +53,15 @@ def recipe_uses() -> list[FieldUse]:
 
 
 def _staged(key: str, type_name: str) -> Column:
-    return (F.col(key) if type_name == "string" else typed(F.col(key), type_name)).alias(key)
+    text = F.col("_payload").getField(key)
+    return (text if type_name == "string" else typed(text, type_name)).alias(key)
 
 
 def stage(raw_table: DataFrame, uses: Iterable[FieldUse] | None = None) -> DataFrame:
     """System keys plus one typed column per used header. A narrow map: no shuffle."""
     types = agreed_types(recipe_uses() if uses is None else uses)
-    text = parse_fields(raw_table, types, SYSTEM_KEYS)
-    return text.select(*SYSTEM_KEYS, *[_staged(key, t) for key, t in types.items()])
+    parsed = raw_table.select(*SYSTEM_KEYS, payload_struct("raw", types).alias("_payload"))
+    return parsed.select(*SYSTEM_KEYS, *[_staged(key, t) for key, t in types.items()])
 
 
 def key_ranges(low: int, high: int, parts: int) -> list[tuple[int, int]]:

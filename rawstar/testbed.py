@@ -67,20 +67,20 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         BASE_SQL.format(s="string").replace("from orders", "from {orders}"),
         orders=table(spark, sf_dir, "orders"),
     )
-    slot = {"d": layout.declared_key, "t": layout.kind_key, "w": layout.weight_key, "g": layout.gap_key}
+    # At most one entry per line number, so the map of an order is small.
     pivoted = (
         positions(spark, sf_dir)
         .groupBy("k")
-        .agg(
-            *[
-                F.max(F.when(F.col("n") == p, F.col(c))).alias(name(p))
-                for p in layout.POSITIONS
-                for c, name in slot.items()
-            ]
-        )
+        .agg(F.map_from_entries(F.collect_list(F.struct("n", F.struct("d", "t", "w", "g")))).alias("slots"))
+    )
+    slot = {"d": layout.declared_key, "t": layout.kind_key, "w": layout.weight_key, "g": layout.gap_key}
+    rows = base.join(pivoted, F.col("raw_id") == F.col("k") + 1, "left").withColumns(
+        {
+            name(p): F.coalesce(F.try_element_at("slots", F.lit(p))[c], F.lit(""))
+            for p in layout.POSITIONS
+            for c, name in slot.items()
+        }
     )
-    slots = [key for p in layout.POSITIONS for key in layout.position_keys(p)]
-    rows = base.join(pivoted, F.col("raw_id") == F.col("k") + 1, "left").fillna("", slots)
     values = F.struct(*[F.col(key) for key in layout.PAYLOAD_KEYS]).alias("values")
     return rows.select(
         "raw_id",
