@@ -41,7 +41,9 @@ def hot_keys(rows: DataFrame, on: list[str], parts: int | None = None) -> DataFr
 
 
 def lookup_join(rows: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """Join ``rows`` to a ``lookup`` that is unique on ``on``; ``how`` is inner or left.
+    """Join ``rows`` to a ``lookup`` that is unique on ``on``.
+
+    ``how`` is inner, left, left_semi or left_anti.
 
     A measured-small lookup is broadcast. Otherwise the few hot keys of ``rows``
     are joined to their (equally few) lookup rows by broadcast, and all other
@@ -50,7 +52,8 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, on: list[str], how: str = "i
     if is_small(lookup):
         return rows.join(F.broadcast(lookup), on, how)
     hot = F.broadcast(materialize(hot_keys(rows, on), "hot-keys"))
-    columns = rows.columns + [c for c in lookup.columns if c not in on]
+    added = [] if how in ("left_semi", "left_anti") else [c for c in lookup.columns if c not in on]
+    columns = rows.columns + added
     hot_part = rows.join(hot, on, "left_semi").join(
         F.broadcast(lookup.join(hot, on, "left_semi")), on, how
     )

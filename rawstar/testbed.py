@@ -68,27 +68,29 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders=table(spark, sf_dir, "orders"),
     )
     # At most one entry per line number, so the map of an order is small.
+    cell = F.array("d", "t", "w", "g")
     pivoted = (
         positions(spark, sf_dir)
         .groupBy("k")
-        .agg(F.map_from_entries(F.collect_list(F.struct("n", F.struct("d", "t", "w", "g")))).alias("slots"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("n", cell))).alias("slots"))
     )
-    slot = {"d": layout.declared_key, "t": layout.kind_key, "w": layout.weight_key, "g": layout.gap_key}
-    rows = base.join(pivoted, F.col("raw_id") == F.col("k") + 1, "left").withColumns(
-        {
-            name(p): F.coalesce(F.try_element_at("slots", F.lit(p))[c], F.lit(""))
-            for p in layout.POSITIONS
-            for c, name in slot.items()
-        }
+    slots = F.flatten(
+        F.transform(
+            F.array(*[F.lit(p) for p in layout.POSITIONS]),
+            lambda p: F.coalesce(F.try_element_at("slots", p), F.array(*[F.lit("")] * 4)),
+        )
     )
-    values = F.struct(*[F.col(key) for key in layout.PAYLOAD_KEYS]).alias("values")
-    return rows.select(
+    values = F.map_from_arrays(
+        F.array(*[F.lit(key) for key in layout.PAYLOAD_KEYS]),
+        F.concat(F.array(*layout.SINGLE_KEYS), slots),
+    )
+    return base.join(pivoted, F.col("raw_id") == F.col("k") + 1, "left").select(
         "raw_id",
         "raw_hash",
         F.col("raw_ingested_at").cast("timestamp").alias("raw_ingested_at"),
         "raw_schema",
         "raw_tab",
-        F.to_json(F.struct(values)).alias("raw"),
+        F.to_json(F.struct(values.alias("values"))).alias("raw"),
     )
 
 
