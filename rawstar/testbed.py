@@ -173,3 +173,41 @@ slots as (
 
 def oracle(select: str, ctes: str = RAW_CTE) -> str:
     return f"with {ctes}\n{select}"
+
+
+# ---- text to convert -------------------------------------------------------
+
+TYPED_SQL = """
+select o_orderkey as row_key,
+  case o_orderkey % 9 when 0 then 'Sim' when 1 then ' TRUE ' when 2 then 'n' when 3 then 'nao' when 4 then ''
+    when 5 then 'maybe' when 6 then '1' when 7 then 'F' end as flag_text,
+  case o_orderkey % 8 when 0 then '' when 1 then 'junk' when 2 then {iso}
+    when 3 then null else {day} end as day_text,
+  case o_orderkey % 10 when 0 then 'abc' when 1 then '   '
+    when 2 then concat(' ', cast(cast(o_totalprice as decimal(18,2)) as {s}), ' ')
+    else replace(cast(cast(o_totalprice as decimal(18,2)) as {s}), '.', ',') end as number_text,
+  case o_orderkey % 7 when 0 then '' when 1 then 'x9' else cast(o_custkey as {s}) end as count_text,
+  case o_orderkey % 6 when 0 then '  ' else concat(' ', o_orderpriority, ' ') end as label_text,
+  {moment} as moment_text
+from orders
+"""
+_MOMENT = "timestamp '2024-04-01 00:00:00' + o_orderkey * interval '1' second"
+
+
+def typed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, dates, decimal commas and junk, by order key."""
+    text = TYPED_SQL.format(
+        s="string",
+        iso="date_format(o_orderdate, 'yyyy-MM-dd')",
+        day="date_format(o_orderdate, 'dd/MM/yyyy')",
+        moment=f"date_format({_MOMENT}, 'dd/MM/yyyy HH:mm:ss')",
+    )
+    return spark.sql(text.replace("from orders", "from {orders}"), orders=table(spark, sf_dir, "orders"))
+
+
+TYPED_CTE = "t as (" + TYPED_SQL.strip().format(
+    s="varchar",
+    iso="strftime(o_orderdate, '%Y-%m-%d')",
+    day="strftime(o_orderdate, '%d/%m/%Y')",
+    moment=f"strftime({_MOMENT}, '%d/%m/%Y %H:%M:%S')",
+) + ")"
