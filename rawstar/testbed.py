@@ -211,3 +211,87 @@ TYPED_CTE = "t as (" + TYPED_SQL.strip().format(
     day="strftime(o_orderdate, '%d/%m/%Y')",
     moment=f"strftime({_MOMENT}, '%d/%m/%Y %H:%M:%S')",
 ) + ")"
+
+
+# ---- payloads with lists ---------------------------------------------------
+
+
+def raw_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One payload per order: ``flags`` and ``parts`` are lists, or bare values for one line."""
+    # A payload is one record of its source file: the lines of one order, a handful.
+    lines = (
+        table(spark, sf_dir, "lineitem")
+        .groupBy("l_orderkey")
+        .agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_returnflag"))).alias("lines"))
+    )
+
+    def cell(name: str):
+        values = F.to_json(F.transform("lines", lambda e: e[name].cast("string")))
+        return F.when(F.size("lines") == 1, F.substring(values, F.lit(2), F.length(values) - 2)).otherwise(values)
+
+    return lines.select(
+        (F.col("l_orderkey") + 1).alias("raw_id"),
+        F.concat(
+            F.lit('{"values":{"order":"'),
+            F.col("l_orderkey").cast("string"),
+            F.lit('","flags":'),
+            cell("l_returnflag"),
+            F.lit(',"parts":'),
+            cell("l_partkey"),
+            F.lit(',"empty":""}}'),
+        ).alias("raw"),
+    )
+
+
+LIST_CTE = """lists as (
+  select l_orderkey, count(*) as n,
+    list(l_returnflag order by l_linenumber, l_partkey, l_returnflag) as flags,
+    list(cast(l_partkey as varchar) order by l_linenumber, l_partkey, l_returnflag) as parts
+  from lineitem group by l_orderkey)"""
+
+
+def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Small payload per order; only three statuses, so groups by status are huge."""
+    status = "case when o_orderkey % 19 = 0 then null else o_orderstatus end"
+    return spark.sql(
+        f"""select o_orderkey + 1 as raw_id, to_json(struct(struct(
+              {status} as status, o_orderpriority as priority, cast(o_custkey as string) as owner
+            ) as values)) as raw from {{orders}}""",
+        orders=table(spark, sf_dir, "orders"),
+    )
+
+
+RAW_ORDERS_CTE = """ro as (select o_orderkey + 1 as raw_id,
+  case when o_orderkey % 19 = 0 then null else o_orderstatus end as status,
+  o_orderpriority as priority, cast(o_custkey as varchar) as owner from orders)"""
+
+
+# ---- scanned lines ---------------------------------------------------------
+
+# Seven files; file f6 has no header, f2 another one, f4 has it twice.
+LINES_SQL = """
+select concat('f', cast(o_orderkey % 7 as {s})) as file_key,
+  cast(floor(o_orderkey / 7) as bigint) + 3 as row_no,
+  case when o_orderkey % 50 = 0 then '' when o_orderkey % 50 = 1 then 'key' else cast(o_orderkey as {s}) end as c1,
+  case when o_orderkey % 50 = 0 then ' ' when o_orderkey % 50 = 1 then ' status' else o_orderstatus end as c2,
+  case when o_orderkey % 50 = 0 then null when o_orderkey % 50 = 1 then 'priority' when o_orderkey % 9 = 0 then ''
+    else o_orderpriority end as c3
+from orders
+union all
+select distinct concat('f', cast(o_orderkey % 7 as {s})), cast(1 as bigint), ' key',
+  case when o_orderkey % 7 = 2 then 'state' else 'status' end, 'priority ' from orders where o_orderkey % 7 <> 6
+union all
+select distinct concat('f', cast(o_orderkey % 7 as {s})), cast(2 as bigint),
+  case when o_orderkey % 7 = 4 then 'key' end, case when o_orderkey % 7 = 4 then 'status' end,
+  case when o_orderkey % 7 = 4 then 'priority' end from orders
+"""
+
+
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = spark.sql(
+        LINES_SQL.format(s="string").replace("from orders", "from {orders}"), orders=table(spark, sf_dir, "orders")
+    )
+    return cells.select("file_key", "row_no", F.array("c1", "c2", "c3").alias("values"))
+
+
+LINES_CTE = "ln as (" + LINES_SQL.strip().format(s="varchar") + ")"
