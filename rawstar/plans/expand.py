@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -27,6 +28,15 @@ class Star:
         return row_counters(self.tables).withColumnRenamed("table_name", "destination")
 
 
+def _children(matched: DataFrame, table4: DataFrame) -> dict[str, DataFrame]:
+    return {
+        "table1": recipes.fact_main(matched),
+        "table5": recipes.child_measure(matched),
+        "table6": recipes.bridge_code(matched, table4),
+        "table2": recipes.unpivot_positions(matched),
+    }
+
+
 def plan_star(raw_table: DataFrame, scope: list[str] | None = None, stored: bool = True) -> Star:
     """The six destinations over one parse of the scoped raw rows.
 
@@ -38,18 +48,25 @@ def plan_star(raw_table: DataFrame, scope: list[str] | None = None, stored: bool
     source = staging.stage(scoped)
     if stored:
         source = materialize(source, "staging")
-    table3 = recipes.dim_reference(source)
-    table4 = recipes.dim_code(source)
+    table3, table4 = recipes.dim_reference(source), recipes.dim_code(source)
     if stored:
-        table4 = materialize(table4, "codes")
-        table3 = materialize(table3, "references")
-    matched = recipes.match_reference(source, table3)
-    tables = {
-        "table3": table3,
-        "table4": table4,
-        "table1": recipes.fact_main(matched),
-        "table5": recipes.child_measure(matched),
-        "table6": recipes.bridge_code(matched, table4),
-        "table2": recipes.unpivot_positions(matched),
-    }
+        table3, table4 = materialize(table3, "references"), materialize(table4, "codes")
+    tables = {"table3": table3, "table4": table4, **_children(recipes.match_reference(source, table3), table4)}
     return Star(source, {name: tables[name] for name in RUN_ORDER})
+
+
+def write_star(source: DataFrame, path_of: Callable[[str], str]) -> None:
+    """Write the six destinations of a stored staging table, in run order.
+
+    The two dimensions are read back from their destination, so the joins below
+    know their true size.
+    """
+    spark = source.sparkSession
+    dimensions = {"table3": recipes.dim_reference(source), "table4": recipes.dim_code(source)}
+    for name, df in dimensions.items():
+        df.write.mode("overwrite").parquet(path_of(name))
+    table3, table4 = (spark.read.schema(df.schema).parquet(path_of(name)) for name, df in dimensions.items())
+    children = _children(recipes.match_reference(source, table3), table4)
+    for name in RUN_ORDER:
+        if name in children:
+            children[name].write.mode("overwrite").parquet(path_of(name))
