@@ -26,6 +26,15 @@ def typed(value: Column, type_name: str) -> Column:
     return F.when(F.btrim(value) != "", value.cast(type_name))
 
 
+def typed_sql(path: str, type_name: str) -> str:
+    """``typed`` as SQL text; wide tables are planned much faster from text."""
+    return f"CASE WHEN btrim({path}) <> '' THEN CAST({path} AS {type_name}) END"
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def upper_trim(value: Column) -> Column:
     return F.upper(F.btrim(value))
 
@@ -35,7 +44,7 @@ def payload_struct(raw: Column | str, keys: Iterable[str]) -> Column:
 
     A payload that is no JSON at all fails the job: it must never be dropped.
     """
-    fields = ", ".join(f"`{key}`: string" for key in keys)
+    fields = ", ".join(f"{quoted(key)}: string" for key in keys)
     return F.from_json(raw, f"struct<values: struct<{fields}>>", {"mode": "FAILFAST"})["values"]
 
 
@@ -43,4 +52,4 @@ def parse_fields(raw_table: DataFrame, keys: Iterable[str], keep: Iterable[str])
     """``keep`` columns plus one text column per payload key, with one JSON parse per row."""
     keys = list(keys)
     parsed = raw_table.select(*keep, payload_struct("raw", keys).alias("_payload"))
-    return parsed.select(*keep, *[F.col("_payload").getField(key).alias(key) for key in keys])
+    return parsed.selectExpr(*keep, *[f"_payload.{quoted(key)} AS {quoted(key)}" for key in keys])

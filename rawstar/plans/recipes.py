@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rawstar import layout
 from rawstar.functions.fields import upper_trim
@@ -20,12 +19,9 @@ from rawstar.operators.skew import lookup_join
 
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Destination columns in declaration order; columns not supplied are NULL."""
-    declared = T.StructType.fromDDL(layout.DESTINATION_COLUMNS[table])
-    return df.select(
-        *[
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in declared
-        ]
+    declared = (c.split(" ", 1) for c in layout.DESTINATION_COLUMNS[table].split(", "))
+    return df.selectExpr(
+        *[f"CAST({name if name in df.columns else 'NULL'} AS {kind}) AS {name}" for name, kind in declared]
     )
 
 
@@ -109,7 +105,7 @@ def match_reference(source: DataFrame, table3: DataFrame) -> DataFrame:
 
 def fact_main(matched: DataFrame) -> DataFrame:
     """table1 from ``match_reference`` rows."""
-    declared = [F.col(layout.declared_key(p)) for p in layout.POSITIONS]
+    declared = ", ".join(layout.declared_key(p) for p in layout.POSITIONS)
     return conform(
         matched.select(
             F.col("fact_id").alias("id_column_1"),
@@ -117,7 +113,7 @@ def fact_main(matched: DataFrame) -> DataFrame:
             F.convert_timezone(
                 None, F.lit(layout.LOCAL_ZONE), F.col("datetime_column_1").cast("timestamp_ntz")
             ).alias("datetime_column_1"),
-            F.greatest(*declared).alias("integer_column_1"),
+            F.expr(f"greatest({declared})").alias("integer_column_1"),
             _positive_thousandths(F.col("numeric_column_2")).alias("integer_column_3"),
             F.col("raw_id").alias("id_column_3"),
             F.col("reference_id").alias("id_column_4"),
@@ -165,23 +161,14 @@ def bridge_code(fact_rows: DataFrame, table4: DataFrame) -> DataFrame:
 
 def unpivot_positions(fact_rows: DataFrame) -> DataFrame:
     """table2. Slots are filtered inside the array, so only kept slots become rows."""
-    slots = F.array(
-        *[
-            F.struct(
-                F.lit(p).cast("smallint").alias("position"),
-                F.col(layout.declared_key(p)).alias("declared"),
-                upper_trim(F.col(layout.kind_key(p))).alias("kind"),
-                F.col(layout.weight_key(p)).alias("weight"),
-                F.col(layout.gap_key(p)).alias("gap"),
-            )
-            for p in layout.POSITIONS
-        ]
+    slots = ", ".join(
+        f"""named_struct('position', CAST({p} AS smallint), 'declared', {layout.declared_key(p)},
+          'kind', upper(btrim({layout.kind_key(p)})), 'weight', {layout.weight_key(p)}, 'gap', {layout.gap_key(p)})"""
+        for p in layout.POSITIONS
     )
-    kept = F.filter(
-        slots,
-        lambda s: (s["declared"] == s["position"])
-        & (s["weight"] >= 0)
-        & s["kind"].isin(layout.KIND_TOKENS),
+    kinds = ", ".join(f"'{k}'" for k in layout.KIND_TOKENS)
+    kept = F.expr(
+        f"filter(array({slots}), s -> s.declared = s.position AND s.weight >= 0 AND s.kind IN ({kinds}))"
     )
     return conform(
         fact_rows.select("fact_id", F.inline(kept)).select(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rawstar import layout
-from rawstar.functions.fields import payload_struct, typed
+from rawstar.functions.fields import payload_struct, quoted, typed_sql
 
 SYSTEM_KEYS = ["raw_id", "raw_schema", "raw_hash"]
 
@@ -52,16 +52,17 @@ def recipe_uses() -> list[FieldUse]:
     return uses
 
 
-def _staged(key: str, type_name: str) -> Column:
-    text = F.col("_payload").getField(key)
-    return (text if type_name == "string" else typed(text, type_name)).alias(key)
+def _staged(key: str, type_name: str) -> str:
+    path = f"_payload.{quoted(key)}"
+    value = path if type_name == "string" else typed_sql(path, type_name)
+    return f"{value} AS {quoted(key)}"
 
 
 def stage(raw_table: DataFrame, uses: Iterable[FieldUse] | None = None) -> DataFrame:
     """System keys plus one typed column per used header. A narrow map: no shuffle."""
     types = agreed_types(recipe_uses() if uses is None else uses)
     parsed = raw_table.select(*SYSTEM_KEYS, payload_struct("raw", types).alias("_payload"))
-    return parsed.select(*SYSTEM_KEYS, *[_staged(key, t) for key, t in types.items()])
+    return parsed.selectExpr(*SYSTEM_KEYS, *[_staged(key, t) for key, t in types.items()])
 
 
 def key_ranges(low: int, high: int, parts: int) -> list[tuple[int, int]]:
