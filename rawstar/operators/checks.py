@@ -46,12 +46,8 @@ def not_null_violations(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def primary_key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
     """Repeated keys, and keys with a NULL part, with their row counts."""
-    incomplete = (
-        df.where(_any([F.col(k).isNull() for k in keys]))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("row_count"))
-    )
-    return unique_violations(df, keys).unionByName(incomplete)
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"))
+    return counted.where((F.col("row_count") > 1) | _any([F.col(k).isNull() for k in keys]))
 
 
 def fk_orphans(child: DataFrame, columns: list[str], parent: DataFrame, parent_keys: list[str]) -> DataFrame:

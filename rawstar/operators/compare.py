@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rawstar.operators.skew import lookup_join
+
 EMPTY = "empty"
 
 
@@ -62,7 +64,7 @@ def star_content(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {
         "table3": tables["table3"].drop("id_column_1"),
         "table4": tables["table4"],
-        "table1": fact.join(reference, "id_column_4", "left").drop("id_column_4"),
+        "table1": lookup_join(fact, reference, ["id_column_4"], "left").drop("id_column_4"),
         "table5": child("table5"),
         "table6": child("table6"),
         "table2": child("table2"),

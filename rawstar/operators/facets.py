@@ -7,10 +7,12 @@ between) and its values, or ``is_null``. ``None`` instead of a list means "no fi
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Search looks at this many leading characters; list size bounds.
 SEARCH_WIDTH = 1000
@@ -27,11 +29,20 @@ def _limit(n: int | None) -> int:
     return max(1, min(int(n or DEFAULT_LIMIT), MAX_LIMIT))
 
 
+def _bound(text: str) -> Decimal:
+    return Decimal(str(text).strip().replace(",", "."))
+
+
+def _number_of(df: DataFrame, column: str) -> Column:
+    """The column itself if it is numeric, so that scans can use the test; else its text as a number."""
+    return F.col(column) if isinstance(df.schema[column].dataType, T.NumericType) else to_number(F.col(column))
+
+
 def _numeric(number: Column, item: dict) -> Column:
     operator = item["operator"]
     if operator == "between":
-        return number.between(to_number(F.lit(item["lower_value"])), to_number(F.lit(item["upper_value"])))
-    bound = to_number(F.lit(item["numeric_value"]))
+        return number.between(F.lit(_bound(item["lower_value"])), F.lit(_bound(item["upper_value"])))
+    bound = F.lit(_bound(item["numeric_value"]))
     if operator == "gt":
         return number > bound
     if operator == "lt":
@@ -41,28 +52,26 @@ def _numeric(number: Column, item: dict) -> Column:
     raise ValueError(f"unknown filter operator: {operator}")
 
 
-def matches(column: str, item: dict) -> Column:
-    """One alternative. Equality with the empty text also keeps NULL rows."""
-    if item.get("operator", "eq") == "eq":
-        if item.get("is_null"):
-            return F.col(column).isNull()
-        return F.coalesce(F.col(column).cast("string"), F.lit("")) == str(item.get("value", ""))
-    return _numeric(to_number(F.col(column)), item)
+def matches(df: DataFrame, column: str, items: list[dict]) -> Column:
+    """Any of the alternatives. Equality with the empty text also keeps NULL rows."""
+    equal = [i for i in items if i.get("operator", "eq") == "eq"]
+    texts = [str(i.get("value", "")) for i in equal if not i.get("is_null")]
+    tests = [_numeric(_number_of(df, column), i) for i in items if i.get("operator", "eq") != "eq"]
+    if texts:
+        tests.append(F.col(column).cast("string").isin(texts))
+    if "" in texts or len(texts) < len(equal):
+        tests.append(F.col(column).isNull())
+    return reduce(lambda a, b: a | b, tests, F.lit(False))
 
 
-def predicate(filters: dict | None, ignoring: str | None = None) -> Column:
+def predicate(df: DataFrame, filters: dict | None, ignoring: str | None = None) -> Column:
     """All filters as one Column, so the scan can use it; no join is needed."""
-    wanted = F.lit(True)
-    for column, items in (filters or {}).items():
-        if column == ignoring or items is None:
-            continue
-        any_item = reduce(lambda a, b: a | b, [matches(column, i) for i in items], F.lit(False))
-        wanted = wanted & any_item
-    return wanted
+    wanted = [matches(df, c, items) for c, items in (filters or {}).items() if c != ignoring and items is not None]
+    return reduce(lambda a, b: a & b, wanted, F.lit(True))
 
 
 def filter_rows(df: DataFrame, filters: dict | None) -> DataFrame:
-    return df.where(predicate(filters))
+    return df.where(predicate(df, filters))
 
 
 def facet_rows(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -98,10 +107,8 @@ def facet_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def search_condition(column: str, text: str = "", numeric: dict | None = None) -> Column:
-    """Case-insensitive substring of the leading text, or a numeric test instead of it."""
-    if numeric is not None:
-        return F.coalesce(_numeric(to_number(F.col(column)), numeric), F.lit(False))
+def search_condition(column: str, text: str) -> Column:
+    """Case-insensitive substring of the leading text; no character is a wildcard."""
     needle = text.strip().lower()
     shown = F.coalesce(F.col(column).cast("string"), F.lit(""))
     return F.lower(F.substring(shown, 1, SEARCH_WIDTH)).contains(needle)
@@ -114,10 +121,15 @@ def facet_values(
     search: str = "",
     numeric: dict | None = None,
 ) -> DataFrame:
-    """Value counts of one column among rows passing the filters of all *other* columns."""
-    rows = df.where(predicate(filters, ignoring=column))
-    if search.strip() or numeric is not None:
-        rows = rows.where(search_condition(column, search, numeric))
+    """Value counts of one column among rows passing the filters of all *other* columns.
+
+    ``search`` narrows the listed values; a ``numeric`` test takes its place.
+    """
+    rows = df.where(predicate(df, filters, ignoring=column))
+    if numeric is not None:
+        rows = rows.where(_numeric(_number_of(df, column), numeric))
+    elif search.strip():
+        rows = rows.where(search_condition(column, search))
     return (
         rows.groupBy(F.col(column).cast("string").alias("value"))
         .agg(F.count(F.lit(1)).alias("row_count"))

@@ -21,7 +21,7 @@ from rawstar.operators.numbering import group_positions
 
 FAIL_SUFFIX = "_fail"
 # Values per output row of a grouped list; longer lists go on in further rows.
-LIST_PART = 100_000
+LIST_PART = 10_000
 
 
 def _values(raw: Column) -> Column:

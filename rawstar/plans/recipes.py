@@ -143,7 +143,7 @@ def child_measure(fact_rows: DataFrame) -> DataFrame:
 
 
 def bridge_code(fact_rows: DataFrame, table4: DataFrame) -> DataFrame:
-    """table6. The code table has at most 676 generic rows, so it is always broadcast."""
+    """table6. The code table is keyed by a smallint, so it is never too big to broadcast."""
     codes = table4.where(F.col("text_column_1") == layout.CODE_LABEL).select(
         F.col("text_column_2").alias("_code"), F.col("id_column_1").alias("code_id")
     )

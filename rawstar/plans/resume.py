@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from rawstar import layout
 from rawstar.operators import checks, manifest, scope, versions
 from rawstar.plans import expand, staging
+from rawstar.session import materialize
 from rawstar.sources.snapshots import path_exists
 
 CHECKPOINT_SCHEMA = "part int, lo bigint, hi bigint, rows bigint"
@@ -125,7 +126,7 @@ class Run:
         if self._done(self.path("published")):
             return
         source = self.stage(raw_table)
-        groups = manifest.manifest_groups(source)
+        groups = materialize(manifest.manifest_groups(source), "manifest")
         manifest.require_scopes(groups, self.labels)
         expand.write_star(source, lambda name: self.path("runs", name))
         outputs = self._outputs()

@@ -75,8 +75,8 @@ def key_ranges(low: int, high: int, parts: int) -> list[tuple[int, int]]:
 def range_number(key: Column, low: Column, high: Column, parts: int) -> Column:
     """0-based number of the ``key_ranges`` interval holding ``key``."""
     span = high - low + 1
-    # Largest i with low + floor(span * i / parts) <= key, without a lookup.
-    return F.floor(((key - low + 1) * parts - 1) / span).cast("int")
+    # Largest i with low + floor(span * i / parts) <= key, in whole numbers.
+    return F.call_function("div", (key - low + 1) * parts - 1, span).cast("int")
 
 
 def union_parts(parts: list[DataFrame]) -> DataFrame:

@@ -52,8 +52,18 @@ def scratch_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[app]
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{scratch_dir(spark)}/rawstar/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str = "step") -> str:
-    return f"{scratch_dir(spark)}/rawstar/{label}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables, once nothing reads them any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str = "step") -> DataFrame:
