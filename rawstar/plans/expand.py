@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
+from rawstar import layout
 from rawstar.operators import scope as scopes
 from rawstar.operators.manifest import row_counters
 from rawstar.plans import recipes, staging
@@ -55,18 +57,29 @@ def plan_star(raw_table: DataFrame, scope: list[str] | None = None, stored: bool
     return Star(source, {name: tables[name] for name in RUN_ORDER})
 
 
+def _write_together(builders: dict[str, Callable[[], DataFrame]], path_of: Callable[[str], str]) -> None:
+    """Write independent destinations as concurrent jobs, so that a short one leaves no executor idle."""
+
+    def write(name: str) -> None:
+        builders[name]().write.mode("overwrite").parquet(path_of(name))
+
+    with ThreadPoolExecutor(len(builders)) as pool:
+        for done in [pool.submit(write, name) for name in builders]:
+            done.result()
+
+
 def write_star(source: DataFrame, path_of: Callable[[str], str]) -> None:
-    """Write the six destinations of a stored staging table, in run order.
+    """Write the six destinations of a stored staging table: both dimensions, then the rest.
 
-    The two dimensions are read back from their destination, so the joins below
-    know their true size.
+    The dimensions are read back from their destination, so the joins below know
+    their true size.
     """
     spark = source.sparkSession
-    dimensions = {"table3": recipes.dim_reference(source), "table4": recipes.dim_code(source)}
-    for name, df in dimensions.items():
-        df.write.mode("overwrite").parquet(path_of(name))
-    table3, table4 = (spark.read.schema(df.schema).parquet(path_of(name)) for name, df in dimensions.items())
+    _write_together(
+        {"table3": lambda: recipes.dim_reference(source), "table4": lambda: recipes.dim_code(source)}, path_of
+    )
+    table3, table4 = (
+        spark.read.schema(layout.DESTINATION_COLUMNS[name]).parquet(path_of(name)) for name in ("table3", "table4")
+    )
     children = _children(recipes.match_reference(source, table3), table4)
-    for name in RUN_ORDER:
-        if name in children:
-            children[name].write.mode("overwrite").parquet(path_of(name))
+    _write_together({name: lambda df=df: df for name, df in children.items()}, path_of)

@@ -12,6 +12,7 @@ import sys
 import time
 
 import duckdb
+from pyspark.sql import SparkSession
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
@@ -62,15 +63,19 @@ def main() -> int:
     from rawstar.session import build_session
 
     sf_dir, names = sys.argv[1], sys.argv[2:]
-    spark = build_session(
-        "oracle",
-        "local[8]",
-        **{
-            "spark.sql.shuffle.partitions": "8",
-            "spark.driver.memory": "12g",
-            "spark.ui.showConsoleProgress": "false",
-        },
-    )
+    settings = {
+        "spark.sql.shuffle.partitions": "8",
+        "spark.driver.memory": "12g",
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+    }
+    if os.environ.get("ORACLE_PLAIN"):  # no settings of ours, as in somebody else's session
+        builder = SparkSession.builder.master("local[8]")
+        for key, value in settings.items():
+            builder = builder.config(key, value)
+        spark = builder.getOrCreate()
+    else:
+        spark = build_session("oracle", "local[8]", **settings)
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     queries, oracles = entry.queries(), entry.oracle_sql()
