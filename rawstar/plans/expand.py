@@ -30,17 +30,34 @@ class Star:
         return row_counters(self.tables).withColumnRenamed("table_name", "destination")
 
 
-def _children(matched: DataFrame, table4: DataFrame) -> dict[str, DataFrame]:
-    return {
-        "table1": recipes.fact_main(matched),
-        "table5": recipes.child_measure(matched),
-        "table6": recipes.bridge_code(matched, table4),
-        "table2": recipes.unpivot_positions(matched),
+def _children(
+    source_of: Callable[[str], DataFrame], table3: DataFrame, table4: DataFrame
+) -> dict[str, DataFrame]:
+    """The four destinations whose rows need a reference row."""
+    recipe = {
+        "table1": recipes.fact_main,
+        "table5": recipes.child_measure,
+        "table6": lambda rows: recipes.bridge_code(rows, table4),
+        "table2": recipes.unpivot_positions,
     }
+    matched: dict[DataFrame, DataFrame] = {}  # one stored source is matched once
+    outputs = {}
+    for name, build in recipe.items():
+        source = source_of(name)
+        if source not in matched:
+            matched[source] = recipes.match_reference(source, table3)
+        outputs[name] = build(matched[source])
+    return outputs
+
+
+def sources_of(raw_table: DataFrame) -> Callable[[str], DataFrame]:
+    """Unstored staging: each destination parses just the headers it reads."""
+    sources = {name: staging.stage(raw_table, staging.recipe_uses(name)) for name in RUN_ORDER}
+    return sources.__getitem__
 
 
 def plan_star(raw_table: DataFrame, scope: list[str] | None = None, stored: bool = True) -> Star:
-    """The six destinations over one parse of the scoped raw rows.
+    """The six destinations of the scoped raw rows.
 
     ``stored`` writes the staging table first, so that six recipes do not parse
     the payload six times. The matched fact rows carry the staged columns, so no
@@ -50,10 +67,13 @@ def plan_star(raw_table: DataFrame, scope: list[str] | None = None, stored: bool
     source = staging.stage(scoped)
     if stored:
         source = materialize(source, "staging")
-    table3, table4 = recipes.dim_reference(source), recipes.dim_code(source)
+        source_of = lambda name: source
+    else:
+        source_of = sources_of(scoped)
+    table3, table4 = recipes.dim_reference(source_of("table3")), recipes.dim_code(source_of("table4"))
     if stored:
         table3, table4 = materialize(table3, "references"), materialize(table4, "codes")
-    tables = {"table3": table3, "table4": table4, **_children(recipes.match_reference(source, table3), table4)}
+    tables = {"table3": table3, "table4": table4, **_children(source_of, table3, table4)}
     return Star(source, {name: tables[name] for name in RUN_ORDER})
 
 
@@ -68,18 +88,22 @@ def _write_together(builders: dict[str, Callable[[], DataFrame]], path_of: Calla
             done.result()
 
 
-def write_star(source: DataFrame, path_of: Callable[[str], str]) -> None:
-    """Write the six destinations of a stored staging table: both dimensions, then the rest.
+def write_star(source_of: Callable[[str], DataFrame], path_of: Callable[[str], str]) -> None:
+    """Write the six destinations: both dimensions, then the rest.
 
-    The dimensions are read back from their destination, so the joins below know
-    their true size.
+    ``source_of`` gives the staging table of a destination. The dimensions are
+    read back from where they were written, so the joins know their true size.
     """
-    spark = source.sparkSession
     _write_together(
-        {"table3": lambda: recipes.dim_reference(source), "table4": lambda: recipes.dim_code(source)}, path_of
+        {
+            "table3": lambda: recipes.dim_reference(source_of("table3")),
+            "table4": lambda: recipes.dim_code(source_of("table4")),
+        },
+        path_of,
     )
+    spark = source_of("table3").sparkSession
     table3, table4 = (
         spark.read.schema(layout.DESTINATION_COLUMNS[name]).parquet(path_of(name)) for name in ("table3", "table4")
     )
-    children = _children(recipes.match_reference(source, table3), table4)
+    children = _children(source_of, table3, table4)
     _write_together({name: lambda df=df: df for name, df in children.items()}, path_of)

@@ -128,7 +128,7 @@ class Run:
         source = self.stage(raw_table)
         groups = materialize(manifest.manifest_groups(source), "manifest")
         manifest.require_scopes(groups, self.labels)
-        expand.write_star(source, lambda name: self.path("runs", name))
+        expand.write_star(lambda _: source, lambda name: self.path("runs", name))
         outputs = self._outputs()
         problems = star_problems(outputs).where("violations > 0").collect()
         if problems:

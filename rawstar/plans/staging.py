@@ -30,8 +30,29 @@ def agreed_types(uses: Iterable[FieldUse]) -> dict[str, str]:
     return {key: types.pop() if len(types) == 1 else "string" for key, types in found.items()}
 
 
-def recipe_uses() -> list[FieldUse]:
-    """What the six recipes read."""
+_MATCH = ["text_column_1", "text_column_2"]
+
+# Headers each destination reads; the last four also match the reference dimension.
+FIELDS_OF = {
+    "table3": _MATCH,
+    "table4": ["text_column_3"],
+    "table1": [
+        *_MATCH,
+        *["id_column_1", "datetime_column_1", "numeric_column_1", "numeric_column_2"],
+        *[layout.declared_key(p) for p in layout.POSITIONS],
+    ],
+    "table5": [*_MATCH, "integer_column_1"],
+    "table6": [*_MATCH, "text_column_3"],
+    "table2": [*_MATCH, *[key for p in layout.POSITIONS for key in layout.position_keys(p)]],
+}
+
+
+def recipe_uses(table: str | None = None) -> list[FieldUse]:
+    """What one destination reads, or all six."""
+    return [use for use in _all_uses() if table is None or use.key in FIELDS_OF[table]]
+
+
+def _all_uses() -> list[FieldUse]:
     uses = [
         FieldUse("id_column_1", "int"),
         FieldUse("text_column_1"),
