@@ -27,7 +27,7 @@ def _matched(spark, sf):
 @reg.query(
     oracle(
         """select raw_id, id_column_1, datetime_column_1, text_column_2, numeric_column_2,
-  case raw_id % 1 when 0 then coalesce(p.t, '') end as text_column_4,
+  coalesce(p.t, '') as text_column_4,
   cast(null as varchar) as absent
 from base left join lp p on p.k + 1 = base.raw_id and p.n = 1"""
     )

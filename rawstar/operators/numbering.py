@@ -12,8 +12,12 @@ def _in_order(df: DataFrame, order: list[str | Column], parts: int | None) -> Da
     """Globally ordered rows, stored, with ``_part`` and the 0-based ``_slot`` inside it."""
     parts = parts or shuffle_width(df.sparkSession)
     placed = (
-        df.repartitionByRange(parts, *order)
-        .sortWithinPartitions(*order)
+        # Rows that tie in ``order`` may be a third of the table; the tie column
+        # lets the ranges cut through them.
+        df.withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(parts, *order, "_tie")
+        .sortWithinPartitions(*order, "_tie")
+        .drop("_tie")
         # Partition number in the high bits, row number inside it in the low 33.
         .withColumn("_mark", F.monotonically_increasing_id())
     )

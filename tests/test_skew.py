@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rawstar.operators import skew, versions
-from rawstar.operators.numbering import dense_ids, group_positions
+from rawstar.operators.numbering import _in_order, dense_ids, group_positions
 from rawstar.session import materialize, scratch_dir
 
 
@@ -57,6 +57,15 @@ def test_dense_ids_are_consecutive_in_order(spark, parts):
     assert [ids[v] for v in sorted(values)] == list(range(41, 1041))
 
 
+def test_rows_that_tie_are_spread(spark):
+    ties = spark.range(2000).selectExpr("1 as k", "2 as line").repartition(4)
+    sizes = [r["count"] for r in _in_order(ties, ["k", "line"], 4).groupBy("_part").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 1000
+    got = [r.pos for r in group_positions(ties, ["k"], ["line"], "pos", parts=4).collect()]
+    assert sorted(got) == list(range(1, 2001))
+    assert sorted(r.n for r in dense_ids(ties, ["k"], "n", parts=4).collect()) == list(range(1, 2001))
+
+
 def test_dense_ids_of_nothing(spark):
     assert dense_ids(spark.range(0), ["id"], "n").count() == 0
 
