@@ -55,6 +55,28 @@ from dw left join per using (doc_id) left join items using (doc_id)
 """
 
 
+WINDOWS = """
+with docs as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+starts as (select doc_id, h, unnest(range(1, cast(length(h) / 2 as bigint) - 98)) as p from docs where length(h) >= 200),
+wins as (select doc_id, p, md5(substr(h, 2 * p - 1, 200)) as w from starts),
+repeats as (select doc_id, p from (
+  select doc_id, p, row_number() over (partition by w order by doc_id, p) as n from wins) where n > 1),
+gone as (select doc_id, p, lag(p) over (partition by doc_id order by p) as before from repeats),
+bytes as (select doc_id, sum(case when before is null then 100 else least(100, p - before) end) as n_removed,
+                 count(*) filter (before is null or p - before > 100) as n_spans
+          from gone group by doc_id),
+runs as (select doc_id, p, p + 100 as e, max(p + 100) over (partition by doc_id order by p rows between unbounded preceding and 1 preceding) as upto
+         from repeats),
+islands as (select doc_id, p, e, sum(case when upto is null or p > upto then 1 else 0 end) over (partition by doc_id order by p) as g from runs),
+merged as (select doc_id, g, min(p) as a, max(e) as b, lag(max(e), 1, 1) over (partition by doc_id order by g) as prior from islands group by doc_id, g),
+left_over as (select doc_id, string_agg(substr(h, 2 * prior - 1, 2 * (a - prior)), '' order by g) || substr(any_value(h), 2 * max(b) - 1) as kept
+              from merged join docs using (doc_id) group by doc_id)
+select doc_id, cast(length(h) / 2 as bigint) as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+       sha256(unhex(coalesce(kept, h))) as kept_sha256
+from docs left join bytes using (doc_id) left join left_over using (doc_id)
+"""
+
+
 def _spans(kind: str, rank: int, pattern: str, group: int, least: int) -> str:
     quoted = pattern.replace("'", "''")
     return f"""

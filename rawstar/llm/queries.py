@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rawstar.catalog.registry import Registry
-from rawstar.llm import decontaminate, exact, ledger, lines, packing
+from rawstar.llm import decontaminate, exact, ledger, lines, packing, windows
 from rawstar.llm.common import table
-from rawstar.llm.oracles import CONTAMINATION, EXACT, LINES, SECRETS
+from rawstar.llm.oracles import CONTAMINATION, EXACT, LINES, SECRETS, WINDOWS
 
 reg = Registry()
 
@@ -43,6 +43,12 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@reg.query(WINDOWS)
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = windows.remove_repeated_windows(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @reg.query()
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2)
