@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rawstar.catalog.registry import Registry
-from rawstar.llm import decontaminate, exact, ledger, lines, packing, windows
-from rawstar.llm.common import table
+from rawstar.llm import decontaminate, exact, language, ledger, lines, packing, windows
+from rawstar.llm.common import held_out, table
 from rawstar.llm.oracles import CONTAMINATION, EXACT, LINES, SECRETS, WINDOWS
 
 reg = Registry()
@@ -30,6 +30,13 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_copies(table(spark, sf_dir, "documents"))
 
 
+@reg.query()
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tested = held_out(3, 1)
+    found = language.identify(table(spark, sf_dir, "documents"), ~tested)
+    return found.select("doc_id", tested.alias("held_out"), "lang_pred", "score")
+
+
 @reg.query(CONTAMINATION)
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated_words(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
