@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rawstar.session import scratch_path
+
 SPACES = b" \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 KEY = ["doc_id", "text_hash"]
@@ -68,6 +70,20 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def store(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Write ``df`` to the shared scratch folder; the table and its path, for ``discard``."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that only finished, stored steps have read."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    release(spark)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser over an unsigned array."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

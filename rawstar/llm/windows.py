@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rawstar.llm.common import KEY, as_bytes, by_weight, join_rows, mix, odd_multipliers, release, short_batches
+from rawstar.llm.common import KEY, as_bytes, by_weight, discard, join_rows, mix, odd_multipliers, release, short_batches, store
 from rawstar.session import materialize
 
 SIZE = 100
@@ -37,10 +37,10 @@ LONGEST_RUN = 96
 TWICE = 128
 # Bytes hashed at a time, bytes after which a task hands on its runs, runs in a radix bucket,
 # context bytes in one, and runs of one digit that a task sorts itself.
-CHUNK = 2 << 20
-HAND_ON = 16 << 20
-BUCKET_RUNS = 300_000
-BUCKET_BYTES = 12 << 20
+CHUNK = 1 << 19
+HAND_ON = 8 << 20
+BUCKET_RUNS = 200_000
+BUCKET_BYTES = 6 << 20
 GROUP_RUNS = 200_000
 
 _FIELDS = (("digit", "<u8"), ("content", "<u8"), ("doc_id", "<i8"), ("text_hash", "<i4"), ("null", "u1"), ("start", "<i4"), ("count", "u1"))
@@ -365,7 +365,7 @@ def remove_repeated_windows(docs: DataFrame, size: int = SIZE, group_runs: int =
     texts = as_bytes(docs).withColumn("text_hash", F.col("text_hash").bitwiseAND(F.lit((1 << 31) - 1)))
     length = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = 1 + int(length / (size - GRAM + 2) * 2) // BUCKET_RUNS
-    stored = materialize(texts.mapInArrow(_first_pass(size, buckets), PACKED), "runs")
+    stored, path = store(texts.mapInArrow(_first_pass(size, buckets), PACKED), "runs")
 
     # A digit that a task hands on with one content only has at most as many runs as there are such parts.
     counts = stored.where(F.col("bucket") == COUNTS).mapInArrow(_unpack_counts, "digit long, n long")
@@ -377,25 +377,27 @@ def remove_repeated_windows(docs: DataFrame, size: int = SIZE, group_runs: int =
         cold = cold.mapInArrow(_without(hot), PACKED)
     together = materialize(cold.groupBy("bucket").applyInArrow(_second_pass, RUN), "shared-runs")
     repeats = stored.where(F.col("bucket") == REPEATS).mapInArrow(_plain_runs(), RUN)
-    gone = [repeats.drop("digit", "rivals"), together.where("rivals = 0").drop("digit", "rivals")]
-    release(spark)
+    gone = [materialize(repeats.drop("digit", "rivals"), "repeated-runs"), together.where("rivals = 0").drop("digit", "rivals")]
 
     def contexts(runs: DataFrame) -> DataFrame:
         run = F.struct("start", "count", "digit")
         by_text = runs.groupBy(*KEY).agg(F.collect_set(run).alias("runs"))
         return join_rows(texts, by_text, "inner").mapInArrow(_contexts(size), CONTEXT)
 
-    open_runs = together.where("rivals > 0")
-    total = open_runs.agg(F.sum(F.col("count") + size)).first()[0] or 0
-    bucket = F.pmod(F.shiftrightunsigned("digit", 33), F.lit(1 + total // BUCKET_BYTES))
-    third = contexts(open_runs).groupBy(bucket.alias("bucket")).applyInArrow(_third_pass(size), GONE)
-    gone.append(materialize(third, "repeated-windows"))
     if len(hot):
-        windows = materialize(contexts(stored.where("bucket >= 0").mapInArrow(_plain_runs(hot), RUN)).mapInArrow(_window_rows(size), WINDOW), "windows")
+        windows = contexts(stored.where("bucket >= 0").mapInArrow(_plain_runs(hot), RUN)).mapInArrow(_window_rows(size), WINDOW)
+        windows = materialize(windows, "windows")
         place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "text_hash", "start")
         first = windows.groupBy("digit", "whole").agg(F.min(place).alias("first"))
         later = windows.join(first, ["digit", "whole"]).where(~place.eqNullSafe(F.col("first")))
         gone.append(later.select("doc_id", "text_hash", "start", F.lit(1).alias("count")))
+    discard(spark, path)
+
+    open_runs = together.where("rivals > 0")
+    total = open_runs.agg(F.sum(F.col("count") + size)).first()[0] or 0
+    bucket = F.pmod(F.shiftrightunsigned("digit", 33), F.lit(1 + total // BUCKET_BYTES))
+    third = contexts(open_runs).groupBy(bucket.alias("bucket")).applyInArrow(_third_pass(size), GONE)
+    gone.append(materialize(third, "repeated-windows"))
     release(spark)
 
     spans = gone[0]
