@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rawstar.catalog.registry import Registry
-from rawstar.llm import decontaminate, exact, language, ledger, lines, packing, windows
+from rawstar.llm import decontaminate, exact, language, ledger, lines, neardup, packing, windows
 from rawstar.llm.common import held_out, table
 from rawstar.llm.oracles import CONTAMINATION, EXACT, LINES, SECRETS, WINDOWS
 
@@ -25,6 +25,12 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@reg.query()
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @reg.query(EXACT)
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_copies(table(spark, sf_dir, "documents"))
