@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rawstar.catalog.registry import Registry
-from rawstar.llm import decontaminate, exact, language, ledger, lines, neardup, packing, windows
+from rawstar.llm import decontaminate, exact, hmm, language, ledger, lines, neardup, packing, windows
 from rawstar.llm.common import held_out, table
 from rawstar.llm.oracles import CONTAMINATION, EXACT, LINES, SECRETS, WINDOWS
 
@@ -62,6 +62,11 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@reg.query()
+def op7_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(table(spark, sf_dir, "documents"), held_out(7, 2))
+
+
 @reg.query()
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2)
