@@ -147,3 +147,21 @@ def contaminated_words(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     for items in benchmark_parts(benchmark, part_bytes):
         rows = rows.mapInArrow(_scan(items, window), SCANNED)
     return rows.mapInArrow(_report, RESULT)
+
+
+def _clean(items: list[tuple[str, bytes]], window: int):
+    def run(batches):
+        automaton = Automaton(items, window)
+        for batch in batches:
+            found = (automaton.scan(words_of((t or "").encode()))[0] for t in batch.column("text").to_pylist())
+            yield batch.filter(pa.array([not x for x in found], pa.bool_()))
+
+    return run
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_bytes: int = PART_BYTES) -> DataFrame:
+    """The rows of ``docs``, all columns, in which no window of the benchmark occurs; no shuffle."""
+    short_batches(docs.sparkSession)
+    for items in benchmark_parts(benchmark, part_bytes):
+        docs = docs.mapInArrow(_clean(items, window), docs.schema)
+    return docs

@@ -190,3 +190,19 @@ def identify(docs: DataFrame, learn_from: Column, per_label: int = PER_LABEL) ->
     short_batches(docs.sparkSession)
     model = train(keyed(docs.where(learn_from & F.col("text").isNotNull()), "lang"), per_label)
     return keyed(docs).mapInArrow(_predict(model), "doc_id long, text_hash long, lang_pred string, score double")
+
+
+def _recognised(model: Model, least: float):
+    def run(batches):
+        for batch in batches:
+            labels, scores = model.predict(batch.column("text").to_pylist())
+            yield batch.filter(pa.array([a != UNKNOWN and b >= least for a, b in zip(labels, scores)], pa.bool_()))
+
+    return run
+
+
+def recognised(docs: DataFrame, learn_from: Column, least: float = 0.4, per_label: int = PER_LABEL) -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is known with at least that score; no shuffle."""
+    short_batches(docs.sparkSession)
+    model = train(keyed(docs.where(learn_from & F.col("text").isNotNull()), "lang"), per_label)
+    return docs.mapInArrow(_recognised(model, least), docs.schema)

@@ -77,6 +77,65 @@ from docs left join bytes using (doc_id) left join left_over using (doc_id)
 """
 
 
+# Captures of the given pages: each page's answer (some not found, some without validators), a
+# not-modified revisit under another spelling of its URL, and for a third of the pages a
+# revisit, rarely an answer, of one very common URL.
+CAPTURES = """
+select page_id * 4 as id, url, page_id * 10 as ts, 'response' as kind, case when page_id % 11 = 0 then 404 else 200 end as status,
+       case when page_id % 5 = 0 then null else concat('"', md5(html), '"') end as etag,
+       case when page_id % 7 = 0 then null else concat('day ', cast(page_id % 28 as string)) end as modified,
+       cast(length(html) as string) as length, 'max-age=60' as cache
+from {pages}
+union all
+select page_id * 4 + 1, case when page_id % 13 = 0 then null else concat(upper(left(url, 5)), substr(url, 6), '#again') end, page_id * 10 + 5, 'revisit', 304,
+       case when page_id % 3 = 0 then concat('"', md5(url), '"') when page_id % 3 = 1 then concat('W/"', md5(html), '"') end,
+       case when page_id % 2 = 0 then concat('day ', cast(page_id % 28 as string)) end, '0', concat('max-age=', cast(page_id % 100 as string))
+from {pages}
+union all
+select page_id * 4 + 2, 'http://www.common.example.com:80/?b=2&a=1', page_id * 10 + 6, case when page_id % 60 = 0 then 'response' else 'revisit' end,
+       case when page_id % 60 = 0 then 200 else 304 end, concat('"v', cast(floor(page_id / 90) as bigint), '"'), null, '7', null
+from {pages} where page_id % 3 = 0
+"""
+
+REVISITS = (
+    "with raw as ("
+    + CAPTURES.format(pages="pages")
+    + r"""),
+cut as (
+  select *, regexp_replace(trim(url), '(?s)#.*$', '') as u from raw),
+parts as (
+  select *, regexp_replace(regexp_replace(lower(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)', 1)), ':(80|443)$', ''), '^www[0-9]*\.', '') as host,
+         regexp_replace(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)', 1), '/+$', '') as path,
+         regexp_extract(u, '(?s)\?(.*)$', 1) as query
+  from cut),
+named as (
+  select *, case when host <> '' then host || path || case when query <> '' then '?' || array_to_string(list_sort(string_split(query, '&')), '&') else '' end end as key
+  from parts),
+seen as (
+  select *, last_value(case when kind = 'response' and status = 200 then id end ignore nulls)
+              over (partition by key order by ts, id rows between unbounded preceding and 1 preceding) as rid
+  from named),
+pairs as (
+  select s.*, r.etag as retag, r.modified as rmod, r.length as rlength, r.cache as rcache,
+         coalesce(regexp_replace(s.etag, '^W/', '') = regexp_replace(r.etag, '^W/', ''), s.modified = r.modified) as same
+  from seen s left join named r on r.id = s.rid and s.key is not null where s.kind = 'revisit'),
+judged as (
+  select *, case when key is null then 'no url or time' when rid is null then 'no earlier response' when same then 'resolved'
+                 when same is null then 'no validator' else 'validators differ' end as outcome
+  from pairs),
+merged as (
+  select *, outcome = 'resolved' as done from judged)
+select id, key as canonical_url, case when done then rid end as response_id, outcome,
+       concat_ws(chr(10),
+         'cache-control: ' || case when done then coalesce(cache, rcache) else cache end,
+         'content-length: ' || case when done then rlength else length end,
+         'etag: ' || case when done then coalesce(etag, retag) else etag end,
+         'last-modified: ' || case when done then coalesce(modified, rmod) else modified end) as headers
+from merged
+""".replace("\\\\", "\\")
+)
+
+
 def _spans(kind: str, rank: int, pattern: str, group: int, least: int) -> str:
     quoted = pattern.replace("'", "''")
     return f"""

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rawstar.catalog.registry import Registry
-from rawstar.llm import decontaminate, exact, hmm, language, ledger, lines, neardup, packing, windows
+from rawstar.llm import decontaminate, exact, hmm, language, ledger, lines, neardup, packing, warc, windows
 from rawstar.llm.common import held_out, table
-from rawstar.llm.oracles import CONTAMINATION, EXACT, LINES, SECRETS, WINDOWS
+from rawstar.llm.oracles import CAPTURES, CONTAMINATION, EXACT, LINES, REVISITS, SECRETS, WINDOWS
 
 reg = Registry()
 
@@ -67,6 +67,18 @@ def op7_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score(table(spark, sf_dir, "documents"), held_out(7, 2))
 
 
+@reg.query(REVISITS)
+def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures are derived from the pages, the same SQL text for both engines; see ``CAPTURES``."""
+    rows = spark.sql(CAPTURES, pages=table(spark, sf_dir, "pages"))
+    names = {"ETag": "etag", "Last-Modified": "modified", "Content-Length": "length", "Cache-Control": "cache"}
+    headers = F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.array(*names.values()))
+    headers = F.map_filter(headers, lambda k, v: v.isNotNull())
+    found = warc.resolve_revisits(rows.withColumn("headers", headers))
+    listed = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat_ws(": ", e["key"], e["value"]))
+    return found.withColumn("headers", F.array_join(listed, "\n"))
+
+
 @reg.query()
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2)
