@@ -12,8 +12,12 @@ collide. At similarity 0.85 all but about one pair in a million collide that oft
   byte of each value, which can only overcount.
 * Candidates are confirmed on the full shingle sets.
 
+* A shingle that no other class still compared has cannot be common: with s shared shingles of
+  n each, two sets are at most min(s) / (n + n - min(s)) similar. Pairs under the threshold by that
+  bound are left out, exactly.
+
 Links only matter between classes not yet connected, so a posting list is first compared
-with two members (its smallest and its largest), confirmed, and connected. What is left in
+with three of its members, confirmed, and connected. What is left in
 different components is then compared in blocks, member with member, and again confirmed. No
 group's pairs are written out, and no link between different components is missed.
 
@@ -137,16 +141,39 @@ def _confirm(batches):
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
+def _shingle_rows(batches):
+    words = _Words()
+    for batch in batches:
+        found = [shingles(t, words) for t in batch.column("text").to_pylist()]
+        take = np.repeat(np.arange(len(found), dtype=np.int32), [len(f) for f in found])
+        flat = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column("cid").take(pa.array(take)), pa.array(flat)], names=["cid", "shingle"])
+
+
+def _may_link(n_x, s_x, n_y, s_y):
+    """Whether sets of n shingles, s of them shared with any other, can be similar enough."""
+    least = np.minimum(s_x, s_y)
+    return 100 * least >= SIMILARITY * (n_x + n_y - least)
+
+
 def _compare_block(key, table):
-    """Pairs of one block pair whose components differ and whose signatures collide often enough."""
-    pair = (key[1].as_py(), key[2].as_py())
-    block, cid, comp = (np.asarray(table.column(c)) for c in ("block", "cid", "comp"))
+    """Pairs of one block pair in different components that may link and collide often enough.
+
+    A pair posted together under several values is reported under the smallest one only.
+    """
+    value, pair = key[0].as_py(), (key[1].as_py(), key[2].as_py())
+    posted = [frozenset(x) for x in table.column("posted").to_pylist()]
+    block, cid, comp, size, shared = (np.asarray(table.column(c)) for c in ("block", "cid", "comp", "size", "shared"))
     sketch = _as_rows(table.column("sketch"))
     rows, others = np.flatnonzero(block == pair[0]), np.flatnonzero(block == pair[1])
     a, b = [], []
     for i in rows:
-        with_ = others[(cid[others] > cid[i]) & (comp[others] != comp[i])] if pair[0] == pair[1] else others[comp[others] != comp[i]]
+        with_ = others[comp[others] != comp[i]]
+        if pair[0] == pair[1]:
+            with_ = with_[cid[with_] > cid[i]]
+        with_ = with_[_may_link(size[i], shared[i], size[with_], shared[with_])]
         hit = with_[(sketch[with_] == sketch[i]).sum(1) >= MATCHES]
+        hit = hit[[min(posted[i] & posted[j]) == value for j in hit]] if len(hit) else hit
         a.append(np.minimum(cid[i], cid[hit]))
         b.append(np.maximum(cid[i], cid[hit]))
     a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
@@ -197,39 +224,60 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     postings = materialize(_postings(classes), "postings")
     release(spark)
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        other = sketches.select(F.col("cid").alias("b"), F.col("sketch").alias("sketch_b"))
-        own = sketches.select(F.col("cid").alias("a"), F.col("sketch").alias("sketch_a"))
-        close = materialize(pairs.join(other, "b").join(own, "a").mapInArrow(_enough, "a long, b long"), "candidates")
-        ids = close.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+    def texts_of(ids: DataFrame) -> DataFrame:
         rows = classes.join(ids, "cid").select("cid", "first.doc_id", "first.text_hash")
         found = join_rows(texts, rows, "inner").select("cid", "text").dropDuplicates(["cid"])
-        found = materialize(found, "candidate-texts")
+        return materialize(found, "candidate-texts")
+
+    def close(pairs: DataFrame) -> DataFrame:
+        other = sketches.select(F.col("cid").alias("b"), F.col("sketch").alias("sketch_b"))
+        own = sketches.select(F.col("cid").alias("a"), F.col("sketch").alias("sketch_a"))
+        return materialize(pairs.join(other, "b").join(own, "a").mapInArrow(_enough, "a long, b long"), "candidates")
+
+    def confirmed(pairs: DataFrame, found: DataFrame) -> DataFrame:
         other = found.select(F.col("cid").alias("b"), F.col("text").alias("text_b"))
         own = found.select(F.col("cid").alias("a"), F.col("text").alias("text_a"))
-        return materialize(close.join(other, "b").join(own, "a").mapInArrow(_confirm, "a long, b long"), "links")
+        return materialize(pairs.join(other, "b").join(own, "a").mapInArrow(_confirm, "a long, b long"), "links")
 
-    def still_apart(comp: DataFrame) -> DataFrame:
-        """Postings with the component of each member, where a list spans several."""
-        member = postings.join(comp, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-        spans = member.groupBy("value").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
-        return materialize(member.join(spans.select("value"), "value"), "apart")
+    def still_apart(member: DataFrame, comp: DataFrame) -> DataFrame:
+        """Posted members with their components, where a list spans several."""
+        member = member.join(comp, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+        spans = member.groupBy("value").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("n"))
+        return materialize(member.drop("n").join(spans.where("x <> y").select("value", "n"), "value"), "apart")
 
     heads = postings.groupBy("value").agg(F.min("cid").alias("a"))
     stars = postings.join(heads, "value").where("cid <> a").select("a", F.col("cid").alias("b")).distinct()
-    links = confirmed(stars)
-    apart = still_apart(components(links))
-    heads = apart.groupBy("value").agg(F.max(F.struct("cid", "comp")).alias("h"))
-    stars = apart.join(heads, "value").where("comp <> h.comp").select(F.col("h.cid").alias("a"), F.col("cid").alias("b")).distinct()
-    links = links.unionByName(confirmed(stars))
-    apart = still_apart(components(links))
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    placed = apart.join(sketches, "cid").withColumn("blocks", blocks)
+    stars = close(stars)
+    links = confirmed(stars, texts_of(stars.select(F.explode(F.array("a", "b")).alias("cid")).distinct()))
+    apart = still_apart(postings, components(links))
+
+    found = texts_of(apart.select("cid").distinct())
+    each = materialize(found.mapInArrow(_shingle_rows, "cid long, shingle long"), "shingles")
+    own_only = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("cid").alias("cid")).where("n = 1")
+    lone = own_only.groupBy("cid").agg(F.count(F.lit(1)).alias("lone"))
+    sizes = each.groupBy("cid").agg(F.count(F.lit(1)).alias("size")).join(lone, "cid", "left")
+    sizes = sizes.withColumn("shared", F.col("size") - F.coalesce("lone", F.lit(0))).drop("lone")
+    sizes = materialize(sizes.where(F.col("shared") * 100 >= F.col("size") * SIMILARITY), "set-sizes")
+    member = apart.drop("comp").join(sizes, "cid")
+    apart = still_apart(member, components(links))
+
+    # The member with the largest part of its shingles shared is the likeliest to link with many;
+    # then one by chance, for lists in which that one has no close neighbours.
+    for leads in (F.col("shared") / F.col("size"), F.xxhash64("cid")):
+        heads = apart.groupBy("value").agg(F.max(F.struct(leads.alias("order"), "cid", "comp", "size", "shared")).alias("h"))
+        least = F.least("shared", "h.shared")
+        may_link = 100 * least >= SIMILARITY * (F.col("size") + F.col("h.size") - least)
+        stars = apart.join(heads, "value").where((F.col("comp") != F.col("h.comp")) & may_link)
+        stars = stars.select(F.col("h.cid").alias("a"), F.col("cid").alias("b")).distinct()
+        links = links.unionByName(confirmed(close(stars), found))
+        apart = still_apart(apart.drop("comp"), components(links))
+    posted = apart.groupBy("cid").agg(F.collect_set("value").alias("posted"))
+    placed = apart.join(sketches, "cid").join(posted, "cid").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     placed = placed.withColumn("block", F.pmod(F.xxhash64("cid"), "blocks").cast("int"))
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-    pairs = dealt.groupBy("value", "low", "high").applyInArrow(_compare_block, "a long, b long").distinct()
-    links = links.unionByName(confirmed(pairs))
+    pairs = dealt.groupBy("value", "low", "high").applyInArrow(_compare_block, "a long, b long")
+    links = links.unionByName(confirmed(materialize(pairs, "block-pairs"), found))
 
     comp = components(links)
     member = classes.join(comp, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
