@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import zlib
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ LENGTH = 4096
 TOKENS = "part int, source string, doc_id long, begins long, ids binary"
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 # Distinct words whose ids a worker remembers at a time.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 
 
 @lru_cache(1)
@@ -54,17 +55,33 @@ class Encoder:
         self.end = np.array([end_id], self.kind).tobytes()
         self.known: dict[str, bytes] = {"": b""}
 
+    def learn(self, words: set[str]) -> None:
+        """Remember the ids of ``words``. Marks after ASCII letters are split off, as the vocabulary itself does."""
+        halves = {}
+        for w in words:
+            stem = w.rstrip(",.")
+            halves[w] = (stem.lower(), w[len(stem) :]) if stem.isascii() and stem.isalpha() else (w, "")
+        new = list({half for pair in halves.values() for half in pair}.difference(self.known))
+        for half, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+            self.known[half] = np.array(found.ids, self.kind).tobytes()
+        for w, (stem, mark) in halves.items():
+            self.known[w] = self.known[stem] + self.known[mark]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         words = [(t or "").replace("\n", " ").split(" ") for t in texts]
         if len(self.known) > REMEMBERED:
             self.known = {"": b""}
-        new = list({w for x in words for w in x if w not in self.known})
-        for word, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.known[word] = np.array(found.ids, self.kind).tobytes()
+        self.learn(set(chain.from_iterable(words)).difference(self.known))
         get = self.known.__getitem__
         return [b"".join(map(get, x)) + self.end for x in words]
 
 
+@lru_cache(1)
+def _encoder(path: str, end_id: int) -> Encoder:
+    """One for each worker process, so that what it remembers serves the next task too."""
+    return Encoder(path, end_id)
+
+
 def _tokens(path: str, end_id: int):
     def run(batches):
         import os
@@ -73,7 +90,7 @@ def _tokens(path: str, end_id: int):
 
         # Spark runs one task on each core; a tokenizer's own threads would only compete.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder, part, sent = Encoder(path, end_id), TaskContext.get().partitionId(), 0
+        encoder, part, sent = _encoder(path, end_id), TaskContext.get().partitionId(), 0
         size = np.dtype(encoder.kind).itemsize
         for batch in batches:
             ids = encoder.encode(batch.column("text").to_pylist())
