@@ -74,7 +74,7 @@ _MELT = " union all ".join(
     _CTE
     + f"""select column_name, row_key, coalesce(v, '') as value_text, v is null as is_null,
   cast(try_cast(replace(v, ',', '.') as double) as decimal(18,2)) as numeric_value,
-  lower(substr(coalesce(v, ''), 1, 1000)) as search_text from ({_MELT})"""
+  lower(coalesce(v, '')) as search_text from ({_MELT})"""
 )
 def facet_rows(spark, sf):
     rows = facets.facet_rows(_facet_table(spark, sf), "row_key", [*_COLUMNS, "price"])
@@ -96,7 +96,7 @@ def facet_counts(spark, sf):
     _CTE
     + """select v is null as is_null, coalesce(v, '') as value_text, row_count from (
   select cast(price as varchar) as v, count(*) as row_count from t group by 1)
-order by v is null desc, value_text limit 1000"""
+order by v is null desc, value_text"""
 )
 def facet_top(spark, sf):
     return facets.facet_list(facets.facet_values(_facet_table(spark, sf), "price"))
@@ -121,7 +121,7 @@ def facet_cross(spark, sf):
 
 @reg.query(
     """select false as is_null, text as value_text, count(*) as row_count from documents
-where contains(lower(substr(text, 1, 1000)), 'the,') group by text"""
+where contains(lower(text), 'the,') group by text"""
 )
 def facet_search(spark, sf):
     documents = table(spark, sf, "documents")

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 def field_text(raw: Column | str, key: str) -> Column:
     """Text of one payload header; NULL if the header is absent or JSON null."""
+    if "'" in key:  # a path cannot quote it
+        column = F.col(raw) if isinstance(raw, str) else raw
+        return F.from_json(column, f"struct<values: struct<{quoted(key)}: string>>")["values"].getField(key)
     return F.get_json_object(raw, f"$.values['{key}']")
 
 

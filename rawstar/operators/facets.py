@@ -7,6 +7,7 @@ between) and its values, or ``is_null``. ``None`` instead of a list means "no fi
 
 from __future__ import annotations
 
+import re
 from decimal import Decimal
 from functools import reduce
 
@@ -14,10 +15,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Search looks at this many leading characters; list size bounds.
-SEARCH_WIDTH = 1000
-DEFAULT_LIMIT = 1000
-MAX_LIMIT = 10000
+from rawstar.session import materialize
+
+# Nodes of a parsed statement that change something.
+_WRITES = re.compile(
+    r"Insert|Overwrite|Append|Create|Replace(?!Column)|Drop|Alter|Delete|Update|Merge|Truncate|Load|Rename|Set[A-Z]|Add[A-Z]"
+    r"|Cache|Refresh|Analyze|Repair|Recover|Command|Call"
+)
 
 
 def to_number(value: Column) -> Column:
@@ -25,10 +29,6 @@ def to_number(value: Column) -> Column:
     return F.replace(value.cast("string"), F.lit(","), F.lit(".")).try_cast("double")
 
 
-def _limit(n: int | None) -> int:
-    return max(1, min(int(n or DEFAULT_LIMIT), MAX_LIMIT))
-
-
 def _bound(text: str) -> Decimal:
     return Decimal(str(text).strip().replace(",", "."))
 
@@ -85,7 +85,7 @@ def facet_rows(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
         F.coalesce("value", F.lit("")).alias("value_text"),
         F.col("value").isNull().alias("is_null"),
         to_number(F.col("value")).alias("numeric_value"),
-        F.lower(F.substring(F.coalesce("value", F.lit("")), 1, SEARCH_WIDTH)).alias("search_text"),
+        F.lower(F.coalesce("value", F.lit(""))).alias("search_text"),
     )
 
 
@@ -108,10 +108,10 @@ def facet_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def search_condition(column: str, text: str) -> Column:
-    """Case-insensitive substring of the leading text; no character is a wildcard."""
+    """Case-insensitive substring of the whole text; no character is a wildcard."""
     needle = text.strip().lower()
     shown = F.coalesce(F.col(column).cast("string"), F.lit(""))
-    return F.lower(F.substring(shown, 1, SEARCH_WIDTH)).contains(needle)
+    return F.lower(shown).contains(needle)
 
 
 def facet_values(
@@ -140,8 +140,9 @@ def facet_values(
 
 
 def facet_list(values: DataFrame, limit: int | None = None) -> DataFrame:
-    """The list a user sees: NULL first, then by text, clamped to the list bounds."""
-    return values.orderBy(F.col("is_null").desc(), "value_text").limit(_limit(limit))
+    """The list a user sees: NULL first, then by text; all of it, or as many values as asked for, one at least."""
+    ordered = values.orderBy(F.col("is_null").desc(), "value_text")
+    return ordered.limit(max(1, limit)) if limit else ordered
 
 
 def preview(df: DataFrame, key: str, filters: dict | None = None, rows: int = 50) -> DataFrame:
@@ -168,6 +169,13 @@ def stale_tables(cached: DataFrame, current: DataFrame) -> DataFrame:
     )
 
 
+def _statement_nodes(spark, sql: str, tables: dict[str, DataFrame]) -> set[str]:
+    """Names of the nodes of the parsed statement; EXPLAIN parses and resolves it without running it."""
+    text = spark.sql(f"explain extended {sql}", **tables).first()[0]
+    parsed = text.split("== Analyzed Logical Plan ==")[0]
+    return set(re.findall(r"^[\s:+|-]*'?([A-Z]\w+)", parsed, re.MULTILINE))
+
+
 def readonly_query(spark, sql: str, limit: int, **tables: DataFrame) -> tuple[DataFrame, bool]:
     """Rows of a read-only query cut at ``limit``, and whether there were more.
 
@@ -175,9 +183,11 @@ def readonly_query(spark, sql: str, limit: int, **tables: DataFrame) -> tuple[Da
     """
     if sql.strip().split(None, 1)[0].lower() not in ("select", "with", "values", "table", "from"):
         raise ValueError("only read-only queries are allowed")
-    result = spark.sql(sql, **tables)
-    truncated = result.limit(limit + 1).count() > limit
-    return result.limit(limit), truncated
+    if any(_WRITES.match(node) for node in _statement_nodes(spark, sql, tables)):
+        raise ValueError("only read-only queries are allowed")
+    # One execution: the rows shown and the flag come from the same stored result.
+    result = materialize(spark.sql(sql, **tables).limit(limit + 1), "query")
+    return result.limit(limit), result.count() > limit
 
 
 def delete_where(df: DataFrame, condition: Column) -> DataFrame:

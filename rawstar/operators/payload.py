@@ -33,7 +33,10 @@ def _is_list(value: Column) -> Column:
 
 
 def _value(raw: Column, key: str) -> Column:
-    return F.try_variant_get(F.parse_json(raw), f"$.values['{key}']", "variant")
+    quote = '"' if "'" in key else "'"
+    if quote in key:
+        raise ValueError(f"a header with both kinds of quotes cannot be read by path: {key}")
+    return F.try_variant_get(F.parse_json(raw), f"$.values[{quote}{key}{quote}]", "variant")
 
 
 def payload_keys(raw_table: DataFrame) -> DataFrame:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rawstar.session import materialize, shuffle_width
 
-# A lookup up to this many rows is measured exactly before it is broadcast.
-MAX_PROBED_ROWS = 100_000
 _UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
 
 
@@ -20,16 +20,12 @@ def broadcast_bytes(spark) -> int:
 
 
 def is_small(df: DataFrame) -> bool:
-    """True only if ``df`` was measured to be under the session's broadcast limit."""
-    probe = (
-        df.limit(MAX_PROBED_ROWS + 1)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("size"),
-        )
-        .first()
-    )
-    return probe["n"] <= MAX_PROBED_ROWS and (probe["size"] or 0) <= broadcast_bytes(df.sparkSession)
+    """True only if all of ``df`` was measured to be under the session's broadcast limit.
+
+    A plain sum, combined before its shuffle: each task sends one row.
+    """
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("size")).first()["size"] or 0
+    return size <= broadcast_bytes(df.sparkSession)
 
 
 def hot_keys(rows: DataFrame, on: list[str], parts: int | None = None) -> DataFrame:
@@ -47,10 +43,13 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, on: list[str], how: str = "i
 
     A measured-small lookup is broadcast. Otherwise the few hot keys of ``rows``
     are joined to their (equally few) lookup rows by broadcast, and all other
-    keys, none of which is large, by a normal shuffle.
+    keys, none of which is large, by a normal shuffle. Rows with a NULL in their key match
+    nothing: they pass by the join and are never shuffled.
     """
     if is_small(lookup):
         return rows.join(F.broadcast(lookup), on, how)
+    any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
+    without_key, rows = rows.where(any_null), rows.where(~any_null)
     hot = F.broadcast(materialize(hot_keys(rows, on), "hot-keys"))
     added = [] if how in ("left_semi", "left_anti") else [c for c in lookup.columns if c not in on]
     columns = rows.columns + added
@@ -58,4 +57,8 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, on: list[str], how: str = "i
         F.broadcast(lookup.join(hot, on, "left_semi")), on, how
     )
     cold_part = rows.join(hot, on, "left_anti").join(lookup, on, how)
-    return hot_part.select(*columns).unionByName(cold_part.select(*columns))
+    joined = hot_part.select(*columns).unionByName(cold_part.select(*columns))
+    if how in ("inner", "left_semi"):
+        return joined
+    unmatched = [F.lit(None).cast(lookup.schema[c].dataType).alias(c) for c in added]
+    return joined.unionByName(without_key.select("*", *unmatched))

@@ -22,15 +22,26 @@ from rawstar.session import materialize
 from rawstar.sources.snapshots import path_exists
 
 CHECKPOINT_SCHEMA = "part int, lo bigint, hi bigint, rows bigint"
+# Raise it when a recipe changes what it computes: finished jobs are then run again.
+RECIPE_VERSION = 1
 VERSION_SCHEMA = "job_id string, table_name string, version_code string, row_count bigint, manifest string"
 
 
-def job_id(source: str, labels: list[str], recipes: list[str]) -> str:
-    """Same source, scope and recipes give the same job."""
-    request = {"source": source, "raw_schemas": labels, "recipes": recipes}
+def job_id(source: str, labels: list[str], recipes: list[str], state: str = "") -> str:
+    """Same source, scope, recipes and source state give the same job."""
+    request = {"source": source, "raw_schemas": labels, "recipes": recipes, "version": RECIPE_VERSION, "state": state}
     return hashlib.sha256(json.dumps(request, sort_keys=True).encode()).hexdigest()
 
 
+def source_state(raw_table: DataFrame) -> str:
+    """What tells one state of the raw table from another; the payload, known by ``raw_hash``, is not read."""
+    mark = F.xxhash64("raw_id", "raw_schema", "raw_hash", "raw_tab")
+    seen = raw_table.agg(
+        F.count(F.lit(1)).alias("n"), F.min("raw_id").alias("lo"), F.max("raw_id").alias("hi"), F.bit_xor(mark).alias("mark")
+    ).first()
+    return json.dumps([seen.n, seen.lo, seen.hi, seen.mark])
+
+
 def resume_plan(checkpoints: DataFrame, stored: DataFrame) -> DataFrame:
     """(part, lo, hi, rows, found, reuse): a part is reused if it has the rows it must have."""
     return (
@@ -49,10 +60,19 @@ class Run:
     source: str
     labels: list[str]
     parts: int = 8
+    state: str = ""
+
+    @property
+    def latest(self) -> str:
+        """Where the job of this request that was published last is named."""
+        return f"{self.base.rstrip('/')}/latest/{job_id(self.source, self.labels, expand.RUN_ORDER)}"
 
     @property
     def job(self) -> str:
-        return job_id(self.source, self.labels, expand.RUN_ORDER)
+        """By the source state seen in this run; before one is seen, the job published last."""
+        if not self.state and self._done(self.latest):
+            return self.spark.read.schema("job_id string").json(self.latest).first()[0]
+        return job_id(self.source, self.labels, expand.RUN_ORDER, self.state)
 
     def path(self, kind: str, *rest: str) -> str:
         return "/".join([self.base.rstrip("/"), kind, self.job, *rest])
@@ -87,6 +107,7 @@ class Run:
         other ranges. ``stop_after`` ends early after that many writes (for tests).
         """
         scoped = scope.in_scope(raw_table, self.labels)
+        self.state = source_state(scoped)
         ranges = self._range(scoped)
         reusable = {(r.part, r.lo, r.hi) for r in self.plan(ranges).collect() if r.reuse}
         for i, (lo, hi) in enumerate(ranges):
@@ -123,6 +144,7 @@ class Run:
 
     def write(self, raw_table: DataFrame) -> None:
         """Stage, write, check, publish. Does nothing for a job that is published."""
+        self.state = source_state(scope.in_scope(raw_table, self.labels))
         if self._done(self.path("published")):
             return
         source = self.stage(raw_table)
@@ -142,6 +164,8 @@ class Run:
             "manifest", F.to_json(totals.select(F.struct("*")).scalar())
         )
         rows.withColumn("job_id", F.lit(self.job)).coalesce(1).write.mode("overwrite").json(self.path("published"))
+        named = self.spark.createDataFrame([(self.job,)], "job_id string")
+        named.coalesce(1).write.mode("overwrite").json(self.latest)
 
     # ---- registration ----
 

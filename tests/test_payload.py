@@ -201,3 +201,11 @@ def test_profile_merges_conflicting_shapes(spark):
         "$.b[].c": (["primitive"], ["null"], 0, 1),
         "$.b[][]": (["primitive"], ["number"], 0, 1),
     }
+
+
+@pytest.mark.parametrize("key", ["it's", "a.b", 'say "x"'])
+def test_headers_of_any_text(spark, key):
+    raw = spark.createDataFrame([(1, json.dumps({"values": {key: "5", "a": {"b": "6"}}}))], "raw_id long, raw string")
+    for first in (False, True):
+        got = payload.expand_key(raw, key, "typed", "int4", first_array_item=first).first()
+        assert (got.typed, got.typed_fail) == (5, None)

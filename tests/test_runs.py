@@ -186,3 +186,22 @@ def test_stream_takes_each_file_once(spark, tmp_path, rows):
     source.where("raw_id > 15").repartition(3).write.mode("append").parquet(incoming)
     got = ingest.ingest_available(spark, incoming, out, state, files_per_batch=1)
     assert rows(got, "raw_id") == rows(source, "raw_id")
+
+
+def test_a_finished_job_sees_the_grown_source(spark, tmp_path):
+    half, whole = raw_table(spark, *RAW[:20]), raw_table(spark, *RAW)
+    run = resume.Run(spark, str(tmp_path), "raw", ["g0", "g1"], parts=2)
+    assert run.execute(half) == 6 and run.execute(half) == 0
+    assert run.execute(whole) == 6
+    assert digests(run.tables()) == digests(expand.plan_star(whole).tables)
+    # Another process finds the job that was published last.
+    assert digests(resume.Run(spark, str(tmp_path), "raw", ["g0", "g1"], parts=2).tables()) == digests(run.tables())
+    assert {r.version_code for r in run._versions().collect()} == {"0000", "0001"}
+
+
+def test_violations_are_found(spark):
+    tables = dict(expand.plan_star(raw_table(spark, *RAW)).tables)
+    tables["table2"] = tables["table2"].unionByName(tables["table2"].limit(1))
+    tables["table3"] = tables["table3"].limit(0)
+    found = {r.rule: r.violations for r in resume.star_problems(tables).where("violations > 0").collect()}
+    assert found["table2 position unique"] == 1 and "table1 reference" in found

@@ -123,7 +123,10 @@ def test_no_expression_depends_on_session_shuffle_width(spark, hot, rows):
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
-def test_max_probed_rows_bound(spark, monkeypatch):
-    monkeypatch.setattr(skew, "MAX_PROBED_ROWS", 10)
-    assert skew.is_small(spark.range(10)) and not skew.is_small(spark.range(11))
-    assert spark.range(11).select(F.count("*")).first()[0] == 11
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_rows_without_a_key_pass_by_the_join(spark, monkeypatch, rows, how):
+    monkeypatch.setattr(skew, "is_small", lambda df: False)
+    left = spark.createDataFrame([(None if i % 3 else i % 7, i) for i in range(200)], "k int, v int")
+    lookup = spark.createDataFrame([(i, f"n{i}") for i in range(4)], "k int, name string")
+    got = skew.lookup_join(left, lookup, ["k"], how)
+    assert rows(got) == rows(left.join(lookup, "k", how).select(*got.columns))
