@@ -3,7 +3,8 @@
 Features are the 1- to 3-grams of a text's letters (lower case, all else one space), hashed
 into ``BUCKETS`` places. Document frequencies count all training rows. The weights come from
 follow-the-regularised-leader with L1 and L2 penalties on a bounded sample: up to
-``per_label`` rows of each label, by a hash of the row, the same at every size. A fifth of
+``per_label`` rows of each label, by a hash of the row, the same at every size. Tasks turn the
+sample's texts into sparse features; only these reach the driver. A fifth of
 the sample is kept from the fit and sets the temperature of the probabilities.
 
 A null text, a text without letters, and any text if there are no labels: ``und``, score 0.
@@ -12,6 +13,7 @@ Rows whose label is null are not learned from. An empty table gives no rows.
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -81,13 +83,35 @@ def features(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
 
+def _sparse(idf: np.ndarray):
+    """Rows (text, lang, draw) with the features that are not zero in place of the text."""
+
+    def run(batches):
+        for batch in batches:
+            at, values = [], []
+            for _, counts, _ in _parts(batch.column("text").to_pylist()):
+                for row in features(counts, idf).astype(np.float32):
+                    held = np.flatnonzero(row)
+                    at.append(held.astype(np.int16).tobytes())
+                    values.append(row[held].tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("lang"), batch.column("draw"), pa.array(at, pa.binary()), pa.array(values, pa.binary())],
+                names=["lang", "draw", "at", "value"],
+            )
+
+    return run
+
+
 def softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(-1, keepdims=True))
     return e / e.sum(-1, keepdims=True)
 
 
-def follow_leader(x: np.ndarray, y: np.ndarray, classes: int, rounds: int = ROUNDS) -> np.ndarray:
-    """Weights (bucket, class) after ``rounds`` over the rows in order; most are exactly zero."""
+def follow_leader(x: list[tuple], y: np.ndarray, classes: int, rounds: int = ROUNDS) -> np.ndarray:
+    """Weights (bucket, class) after ``rounds`` over the rows in order; most are exactly zero.
+
+    A row of ``x`` is the buckets it has and their values.
+    """
     z, n = np.zeros((BUCKETS, classes)), np.zeros((BUCKETS, classes))
 
     def weights(at):
@@ -96,9 +120,8 @@ def follow_leader(x: np.ndarray, y: np.ndarray, classes: int, rounds: int = ROUN
         return np.where(np.abs(zi) <= L1, 0.0, w)
 
     for _ in range(rounds):
-        for row, label in zip(x, y):
-            at = np.flatnonzero(row)
-            w, value = weights(at), row[at]
+        for (at, value), label in zip(x, y):
+            w = weights(at)
             p = softmax(value @ w)
             p[label] -= 1.0
             g = value[:, None] * p[None, :]
@@ -158,18 +181,19 @@ def train(rows: DataFrame, per_label: int = PER_LABEL) -> Model:
     share = F.pmod(draw, F.lit(1 << 30)) / float(1 << 30)
     wanted = F.create_map(*[F.lit(v) for k in names for v in (k, 1.5 * per_label / labels[k])])
     drawn = rows.where(F.col("lang").isNotNull() & (share < F.element_at(wanted, F.col("lang"))))
-    order = drawn.select("text", "lang", draw.alias("draw")).orderBy("draw", "text").limit(2 * per_label * len(names)).collect()
+    sparse = drawn.select("text", "lang", draw.alias("draw")).mapInArrow(_sparse(idf), "lang string, draw long, at binary, value binary")
+    order = sparse.orderBy("draw", "lang").limit(2 * per_label * len(names)).collect()
     taken = dict.fromkeys(names, 0)
-    sample = []
+    x, y = [], []
     for r in order:
         taken[r["lang"]] += 1
         if taken[r["lang"]] <= per_label:
-            sample.append(r)
-    y = np.array([names.index(r["lang"]) for r in sample])
-    fit = np.arange(len(sample)) % 5 != 4
-    x = np.concatenate([features(c, idf).astype(np.float32) for _, c, _ in _parts([r["text"] for r in sample])])
-    weights = follow_leader(x[fit], y[fit], len(names))
-    divisor = temperature(x[~fit] @ weights, y[~fit]) if (~fit).any() else 1.0
+            x.append((np.frombuffer(r["at"], np.int16).astype(np.int64), np.frombuffer(r["value"], np.float32)))
+            y.append(names.index(r["lang"]))
+    y, fit = np.array(y), np.arange(len(y)) % 5 != 4
+    weights = follow_leader(list(itertools.compress(x, fit)), y[fit], len(names))
+    logits = [value @ weights[at] for at, value in itertools.compress(x, ~fit)]
+    divisor = temperature(np.array(logits), y[~fit]) if logits else 1.0
     return Model(names, idf, weights, divisor)
 
 
