@@ -32,7 +32,8 @@ def json_profile(documents: DataFrame, column: str) -> DataFrame:
     """(path, forms, primitive_types, array_count, node_count) over all documents, all items.
 
     One level of nesting per step, each step a stored table; different shapes at
-    one path are merged. Array items share the path of their array plus ``[]``.
+    one path are merged. Array items share the path of their array plus ``[]``. An empty key or
+    one with a dot, bracket, quote or backslash is quoted, so different places have different paths.
     """
     spark = documents.sparkSession
     level = documents.select(F.lit("$").alias("path"), F.parse_json(column).alias("node"))
@@ -51,7 +52,10 @@ def json_profile(documents: DataFrame, column: str) -> DataFrame:
         )
         nested = typed.where(F.col("form") != PRIMITIVE).select("path", "form", "node")
         children = spark.sql(
-            """select case when n.form = 'array' then concat(n.path, '[]') else concat(n.path, '.', c.key) end as path,
+            r"""select case when n.form = 'array' then concat(n.path, '[]')
+                   when c.key = '' or c.key rlike r'[.\[\]"\\]'
+                   then concat(n.path, '."', replace(replace(c.key, r'\', r'\\'), '"', r'\"'), '"')
+                   else concat(n.path, '.', c.key) end as path,
                  c.value as node
                from {nested} n, lateral variant_explode(n.node) c""",
             nested=nested,

@@ -203,6 +203,24 @@ def test_profile_merges_conflicting_shapes(spark):
     }
 
 
+def test_profile_keeps_odd_keys_apart(spark):
+    document = {"a.b": 1, "a": {"b": "x"}, "": 2, "c[]": 3, "c": [True], 'q"\\': 4}
+    df = spark.createDataFrame([(json.dumps(document),)], "doc string")
+    got = {r.path: sorted(r.primitive_types) for r in profile.json_profile(df, "doc").collect()}
+    number = ["number"]
+    assert got == {
+        "$": [],
+        '$."a.b"': number,
+        "$.a": [],
+        "$.a.b": ["string"],
+        '$.""': number,
+        '$."c[]"': number,
+        "$.c": [],
+        "$.c[]": ["boolean"],
+        '$."q\\"\\\\"': number,
+    }
+
+
 @pytest.mark.parametrize("key", ["it's", "a.b", 'say "x"'])
 def test_headers_of_any_text(spark, key):
     raw = spark.createDataFrame([(1, json.dumps({"values": {key: "5", "a": {"b": "6"}}}))], "raw_id long, raw string")
