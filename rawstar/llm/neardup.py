@@ -17,9 +17,10 @@ collide. At similarity 0.85 all but about one pair in a million collide that oft
   bound are left out, exactly.
 
 Links only matter between classes not yet connected, so a posting list is first compared
-with three of its members, confirmed, and connected. What is left in
-different components is then compared in blocks, member with member, and again confirmed. No
-group's pairs are written out, and no link between different components is missed.
+with its first member, confirmed, and connected. What is left in different components is then
+compared in blocks, member with member: pairs that may link and collide are confirmed on the
+shingle sets the block carries, and only links that connect two of its components are returned.
+No group's pairs are written out, and no link between different components is missed.
 
 Words are the runs between ASCII white space, A-Z lower-cased. A text with fewer than five words
 is one shingle; without words its set is empty and it links with nothing. Null ids come after all
@@ -40,8 +41,8 @@ from rawstar.session import materialize
 SHINGLE = 5
 COORDINATES, MATCHES = 64, 40
 SIMILARITY = 85  # per cent
-# Members of a posting list that one task compares with as many others.
-BLOCK = 1500
+# Members of a posting list, and shingles in all of them, that one task compares with as many others.
+BLOCK, BLOCK_SHINGLES = 1500, 4_000_000
 REMEMBERED = 300_000
 
 _WORD = odd_multipliers(SHINGLE, 30)
@@ -126,6 +127,11 @@ def _enough(batches):
         yield batch.select(["a", "b"]).filter(pa.array(same))
 
 
+def _similar(x: np.ndarray, y: np.ndarray) -> bool:
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= SIMILARITY * (len(x) + len(y) - common)
+
+
 def _confirm(batches):
     words, last = _Words(), (None, None)
     for batch in batches:
@@ -134,8 +140,7 @@ def _confirm(batches):
             if last[0] != x:
                 last = (x, shingles(text_x, words))
             other = shingles(text_y, words)
-            common = len(np.intersect1d(last[1], other, assume_unique=True))
-            if 100 * common >= SIMILARITY * (len(last[1]) + len(other) - common):
+            if _similar(last[1], other):
                 a.append(x)
                 b.append(y)
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -150,6 +155,14 @@ def _shingle_rows(batches):
         yield pa.RecordBatch.from_arrays([batch.column("cid").take(pa.array(take)), pa.array(flat)], names=["cid", "shingle"])
 
 
+def _sets(batches):
+    """The shingles of each text as the bytes of a sorted array."""
+    words = _Words()
+    for batch in batches:
+        found = [shingles(t, words).tobytes() for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("cid"), pa.array(found, pa.large_binary()).cast(pa.binary())], names=["cid", "set"])
+
+
 def _may_link(n_x, s_x, n_y, s_y):
     """Whether sets of n shingles, s of them shared with any other, can be similar enough."""
     least = np.minimum(s_x, s_y)
@@ -157,14 +170,18 @@ def _may_link(n_x, s_x, n_y, s_y):
 
 
 def _compare_block(key, table):
-    """Pairs of one block pair in different components that may link and collide often enough.
+    """Links of one block pair that connect different components.
 
-    A pair posted together under several values is reported under the smallest one only.
+    Pairs that may link and collide often enough are confirmed on their sets, a pair posted
+    together under several values under the smallest one only. A pair whose components the block
+    has already connected is passed over, so there are fewer links than members.
     """
     value, pair = key[0].as_py(), (key[1].as_py(), key[2].as_py())
+    block, cid, size, shared = (np.asarray(table.column(c)) for c in ("block", "cid", "size", "shared"))
     posted = [frozenset(x) for x in table.column("posted").to_pylist()]
-    block, cid, comp, size, shared = (np.asarray(table.column(c)) for c in ("block", "cid", "comp", "size", "shared"))
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("set").combine_chunks()]
     sketch = _as_rows(table.column("sketch"))
+    _, comp = np.unique(np.asarray(table.column("comp")), return_inverse=True)
     rows, others = np.flatnonzero(block == pair[0]), np.flatnonzero(block == pair[1])
     a, b = [], []
     for i in rows:
@@ -172,20 +189,20 @@ def _compare_block(key, table):
         if pair[0] == pair[1]:
             with_ = with_[cid[with_] > cid[i]]
         with_ = with_[_may_link(size[i], shared[i], size[with_], shared[with_])]
-        hit = with_[(sketch[with_] == sketch[i]).sum(1) >= MATCHES]
-        hit = hit[[min(posted[i] & posted[j]) == value for j in hit]] if len(hit) else hit
-        a.append(np.minimum(cid[i], cid[hit]))
-        b.append(np.maximum(cid[i], cid[hit]))
-    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
+        for j in with_[(sketch[with_] == sketch[i]).sum(1) >= MATCHES]:
+            if comp[i] != comp[j] and min(posted[i] & posted[j]) == value and _similar(sets[i], sets[j]):
+                comp[comp == comp[j]] = comp[i]
+                a.append(min(cid[i], cid[j]))
+                b.append(max(cid[i], cid[j]))
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def components(links: DataFrame) -> DataFrame:
     """(cid, comp) for the ends of ``links`` (a, b): comp is the smallest cid reachable.
 
-    Alternating stars: every node's neighbours move to the smallest one, until nothing moves.
+    Alternating stars: every node's neighbours move to the smallest one, until only stars are left.
     """
-    edges, before = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), None
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -195,10 +212,11 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(least, "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e"))
         small = small.select(F.col("e.v").alias("u"), F.col("e.m").alias("v")).where("u <> v").distinct()
         edges = materialize(small, "small-star")
-        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.col("v").cast("decimal(38,0)"))).first()
-        if now == before:
+        # A node of a star is either its centre or has one edge, to the centre.
+        ends = edges.select("u", F.lit(1).alias("up")).unionByName(edges.select(F.col("v").alias("u"), F.lit(0).alias("up")))
+        node = ends.groupBy("u").agg(F.sum("up").alias("ups"), F.min("up").alias("least"))
+        if node.where("ups > 1 or (ups = 1 and least = 0)").isEmpty():
             return edges.select(F.col("u").alias("cid"), F.col("v").alias("comp"))
-        before = now
 
 
 def _postings(classes: DataFrame) -> DataFrame:
@@ -249,7 +267,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     stars = postings.join(heads, "value").where("cid <> a").select("a", F.col("cid").alias("b")).distinct()
     stars = close(stars)
     links = confirmed(stars, texts_of(stars.select(F.explode(F.array("a", "b")).alias("cid")).distinct()))
-    apart = still_apart(postings, components(links))
+    comp = components(links)
+    apart = still_apart(postings, comp)
 
     found = texts_of(apart.select("cid").distinct())
     each = materialize(found.mapInArrow(_shingle_rows, "cid long, shingle long"), "shingles")
@@ -258,28 +277,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sizes = each.groupBy("cid").agg(F.count(F.lit(1)).alias("size")).join(lone, "cid", "left")
     sizes = sizes.withColumn("shared", F.col("size") - F.coalesce("lone", F.lit(0))).drop("lone")
     sizes = materialize(sizes.where(F.col("shared") * 100 >= F.col("size") * SIMILARITY), "set-sizes")
-    member = apart.drop("comp").join(sizes, "cid")
-    apart = still_apart(member, components(links))
-
-    # The member with the largest part of its shingles shared is the likeliest to link with many;
-    # then one by chance, for lists in which that one has no close neighbours.
-    for leads in (F.col("shared") / F.col("size"), F.xxhash64("cid")):
-        heads = apart.groupBy("value").agg(F.max(F.struct(leads.alias("order"), "cid", "comp", "size", "shared")).alias("h"))
-        least = F.least("shared", "h.shared")
-        may_link = 100 * least >= SIMILARITY * (F.col("size") + F.col("h.size") - least)
-        stars = apart.join(heads, "value").where((F.col("comp") != F.col("h.comp")) & may_link)
-        stars = stars.select(F.col("h.cid").alias("a"), F.col("cid").alias("b")).distinct()
-        links = links.unionByName(confirmed(close(stars), found))
-        apart = still_apart(apart.drop("comp"), components(links))
-    posted = apart.groupBy("cid").agg(F.collect_set("value").alias("posted"))
-    placed = apart.join(sketches, "cid").join(posted, "cid").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("cid"), "blocks").cast("int"))
+    apart = still_apart(apart.drop("comp").join(sizes, "cid"), comp)
+
+    own = apart.groupBy("cid").agg(F.collect_set("value").alias("posted"))
+    own = materialize(own.join(found, "cid").mapInArrow(_sets, "cid long, set binary").join(own, "cid").join(sketches, "cid"), "sets")
+    blocks = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("size") / BLOCK_SHINGLES)
+    lists = apart.groupBy("value").agg(F.ceil(blocks).cast("int").alias("blocks"))
+    placed = apart.join(lists, "value").withColumn("block", F.pmod(F.xxhash64("cid"), "blocks").cast("int"))
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    dealt = dealt.select("value", "low", "high", "block", "cid", "comp", "size", "shared").join(own, "cid")
     pairs = dealt.groupBy("value", "low", "high").applyInArrow(_compare_block, "a long, b long")
-    links = links.unionByName(confirmed(materialize(pairs, "block-pairs"), found))
+    more = materialize(pairs, "block-links")
+    if not more.isEmpty():
+        comp = components(links.unionByName(more))
 
-    comp = components(links)
     member = classes.join(comp, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     keeper = member.groupBy("comp").agg(F.min("first").alias("keeper"))
     verdict = materialize(member.join(keeper, "comp").select("set1", "set2", "keeper"), "components")
