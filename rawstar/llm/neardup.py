@@ -173,8 +173,8 @@ def _compare_block(key, table):
     """Links of one block pair that connect different components.
 
     Pairs that may link and collide often enough are confirmed on their sets, a pair posted
-    together under several values under the smallest one only. A pair whose components the block
-    has already connected is passed over, so there are fewer links than members.
+    together under several values under one of them, which the two ids choose. A pair whose components
+    the block has already connected is passed over, so there are fewer links than members.
     """
     value, pair = key[0].as_py(), (key[1].as_py(), key[2].as_py())
     block, cid, size, shared = (np.asarray(table.column(c)) for c in ("block", "cid", "size", "shared"))
@@ -190,7 +190,10 @@ def _compare_block(key, table):
             with_ = with_[cid[with_] > cid[i]]
         with_ = with_[_may_link(size[i], shared[i], size[with_], shared[with_])]
         for j in with_[(sketch[with_] == sketch[i]).sum(1) >= MATCHES]:
-            if comp[i] != comp[j] and min(posted[i] & posted[j]) == value and _similar(sets[i], sets[j]):
+            if comp[i] == comp[j]:
+                continue
+            common = sorted(posted[i] & posted[j])
+            if common[int(cid[i] + cid[j]) % len(common)] == value and _similar(sets[i], sets[j]):
                 comp[comp == comp[j]] = comp[i]
                 a.append(min(cid[i], cid[j]))
                 b.append(max(cid[i], cid[j]))
