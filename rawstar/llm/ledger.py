@@ -62,7 +62,9 @@ def empty_ledger(spark: SparkSession, path: str) -> None:
 def _spans(texts: DataFrame, rule: Rule) -> DataFrame:
     """(blob, s, e) of one rule. A text is cut at its matches; starts are sums of the lengths before."""
     pattern = F.lit(rule.pattern)
-    cut = texts.where(F.col("text").rlike(rule.pattern)).select(
+    # A row listed twice would add its lengths twice: one text stands for a blob.
+    matched = texts.where(F.col("text").rlike(rule.pattern)).select("blob", "text").dropDuplicates(["blob"])
+    cut = matched.select(
         "blob",
         F.arrays_zip(
             F.split("text", rule.pattern, -1).alias("gap"),
@@ -87,7 +89,7 @@ def scan_unseen(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULE
     """Scan the blobs of ``versions`` (path, text) whose rule versions the ledger lacks; append and return it."""
     spark = versions.sparkSession
     rows = versions.select("path", "text", blob_of(F.col("text")).alias("blob"), F.xxhash64("text").alias("text_hash"))
-    # One row stands for a blob: the smallest path; rows repeating it are merged below.
+    # One row stands for a blob: the smallest path; of rows repeating it, ``_spans`` takes one.
     blobs = rows.groupBy("blob").agg(F.min("path").alias("path"))
     known = spark.read.parquet(ledger).groupBy("blob").agg(F.collect_set(F.struct("kind", "version")).alias("seen"))
     wanted = F.array(*[F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version")) for r in rules])

@@ -202,6 +202,15 @@ def test_secrets_incremental(spark, documents, tmp_path):
     assert ledger.scan_unseen(versions, path, ledger.RULES[:3]).count() == 9
 
 
+@pytest.mark.parametrize("ids", [(1, 1), (None, None), (1, 2, 1, 1)])
+def test_secrets_of_repeated_rows(documents, ids):
+    text = "id " + "0f" * 12 + " or " + "1e" * 12 + " end"
+    got = ledger.scan(documents([(i, text) for i in ids])).collect()
+    assert [r.path for r in got].count(ids[0]) == ids.count(ids[0]) and len(got) == len(ids)
+    assert {(r.n_hex, r.spans) for r in got} == {(2, "hex:3:27,hex:31:55")}
+    assert {r.base_sha256 for r in got} == {hashlib.sha256(b"hex:3:27,hex:31:55").hexdigest()}
+
+
 def test_language(spark):
     found = queries.reg.queries["op4_language_id"](spark, SF).join(table(spark, SF, "documents"), "doc_id")
     right = found.where("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
