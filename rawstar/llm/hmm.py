@@ -5,13 +5,15 @@ training counts, and each document's words as numbers in that list. Word counts
 all training documents by sending each block's list, not its words, to hash buckets, which
 answer with the totals.
 
-A word is emitted by way of its class. Words holding at least ``1 / FREQUENT`` of the training tokens
-are classes of their own, fewer than FREQUENT by counting; the others share ``SHAPES`` classes by
-their last three bytes; the end is a class. Inside a class of n tokens and v words a word seen c times has
-probability (c + 1) / (n + v + 1), the last slot for words never seen. States emit classes.
-
-Each Baum-Welch round gives expected counts from every training token; tasks sum them, the
-shuffle adds up one row for each class and task. For the counts alone, sequences are cut into
+A word is emitted by way of its class. Words with ``OWN`` training tokens are classes of their own,
+however many there are; the others share ``SHAPES`` classes by their last three bytes; the end is a
+class. Inside a shape of n tokens and v words a word seen c times has probability
+(c + 1) / (n + v + 1), the last slot for words never seen. States emit classes.
+
+Each Baum-Welch round gives expected counts from every training token. Those of own words are a
+table in hash buckets: a block sends the counts of its words, a bucket adds them up and answers
+each block with its words' sums, which are joined to the block in the next round. The driver holds
+the shapes, the transitions and one total for each state. For the counts alone, sequences are cut into
 pieces of ``PIECE`` tokens that begin with the states' overall shares. Scores come from the
 scaled forward recursion over each whole text: the exact log10 likelihood.
 
@@ -26,15 +28,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rawstar.llm.common import as_bytes, by_weight, discard, release, short_batches, store
+from rawstar.llm.common import as_bytes, by_weight, discard, mix, odd_multipliers, release, short_batches, store
 from rawstar.session import materialize
 
-STATES, ROUNDS, PIECE = 8, 6, 128
-FREQUENT, SHAPES = 4096, 1024
+STATES, ROUNDS, PIECE, PSEUDO = 8, 6, 128, 0.01
+OWN, SHAPES = 20, 1024
+# Tokens whose messages are held at once.
+PART = 300_000
 # Bytes of text in a block, and words of all lists in a hash bucket.
 BLOCK_BYTES = 24 << 20
 BUCKET_WORDS = 600_000
@@ -43,8 +48,10 @@ SCORED = 2_000_000
 END = 0
 
 ASKED = "bucket int, block long, words binary, counts binary, shapes binary"
-ANSWER = "bucket int, block long, words binary, totals binary, shape int, n long, v long, frequent binary"
-READY = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, inner double, classes binary"
+ANSWER = "bucket int, block long, words binary, totals binary, weights binary, shape int, n long, v long, sums array<double>"
+READY = "block long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, inner double, classes binary, own binary"
+COUNTED = "bucket int, block long, words binary, weights binary, at int, sums array<double>"
+WEIGHTS = "bucket int, block long, weights binary"
 SCORED_AS = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
@@ -107,6 +114,13 @@ def _cut(batches):
         yield block.out(number)
 
 
+def _slices(words: np.ndarray, buckets: int) -> tuple[np.ndarray, list[slice]]:
+    """The hash buckets of sorted words, and each one's slice."""
+    bucket = (((words >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
+    edges = np.flatnonzero(np.diff(bucket, prepend=-1))
+    return bucket[edges], [slice(a, b) for a, b in zip(edges, np.append(edges[1:], len(words)))]
+
+
 def _ask(buckets: int):
     """The word lists by hash bucket; lists are sorted, so each bucket is a slice."""
 
@@ -114,14 +128,11 @@ def _ask(buckets: int):
         for batch in batches:
             for block, payload, counts, shapes in zip(*(batch.column(c).to_pylist() for c in ("block", "payload", "counts", "shapes"))):
                 words, counts, shapes = np.frombuffer(payload, "<u8"), np.frombuffer(counts, "<u4"), np.frombuffer(shapes, "<u2")
-                bucket = (((words >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
-                edges = np.flatnonzero(np.diff(bucket, prepend=-1))
-                ends = np.append(edges[1:], len(words))
-                slices = [slice(a, b) for a, b in zip(edges, ends)]
+                bucket, slices = _slices(words, buckets)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(bucket[edges], pa.int32()),
-                        pa.array([block] * len(edges), pa.int64()),
+                        pa.array(bucket, pa.int32()),
+                        pa.array([block] * len(bucket), pa.int64()),
                         *(pa.array([x[s].tobytes() for s in slices], pa.binary()) for x in (words, counts, shapes)),
                     ],
                     names=["bucket", "block", "words", "counts", "shapes"],
@@ -130,8 +141,15 @@ def _ask(buckets: int):
     return run
 
 
-def _total(least: int):
-    """Totals of the bucket's words: an answer for each block, the frequent words, and class sizes by shape."""
+def _noise(words: np.ndarray, states: int) -> np.ndarray:
+    """Gamma(4) values for each word and state, the same wherever the word is met."""
+    factors = odd_multipliers(4 * states, 41).reshape(states, 4)
+    even = lambda f: ((mix(words * f) >> np.uint64(11)).astype(float) + 0.5) / 2**53
+    return np.stack([-sum(np.log(even(f)) for f in row) for row in factors], 1)
+
+
+def _total(states: int):
+    """Totals of the bucket's words: an answer for each block, its own words' first weights, and class sizes."""
 
     def run(key, table):
         lists = [np.frombuffer(x, "<u8") for x in table.column("words").to_pylist()]
@@ -139,25 +157,28 @@ def _total(least: int):
         shapes = np.concatenate([np.frombuffer(x, "<u2") for x in table.column("shapes").to_pylist()])
         words, first, number = np.unique(np.concatenate(lists), return_index=True, return_inverse=True)
         total = np.bincount(number, weights=counts).astype(np.int64)
-        often = total >= least
-        rare = ~often & (total > 0)
+        own = total >= OWN
+        rare = ~own & (total > 0)
         n = np.bincount(shapes[first][rare], weights=total[rare], minlength=SHAPES).astype(np.int64)
         v = np.bincount(shapes[first][rare], minlength=SHAPES)
         used = np.flatnonzero(v)
-        answers = np.split(total[number], np.cumsum([len(x) for x in lists])[:-1])
+        weights = _noise(words[own], states) * (total[own, None] + 0.5)
+        place = np.cumsum(own) - 1
+        numbers = np.split(number, np.cumsum([len(x) for x in lists])[:-1])
         a, u = len(lists), len(used)
         none = [None]
-        frequent = np.stack([words[often], total[often].astype(np.uint64)], 1).tobytes()
         return pa.table(
             {
                 "bucket": pa.array([key[0].as_py()] * (a + u + 1), pa.int32()),
                 "block": pa.array(table.column("block").to_pylist() + none * (u + 1), pa.int64()),
                 "words": pa.array([x.tobytes() for x in lists] + none * (u + 1), pa.binary()),
-                "totals": pa.array([x.astype("<i8").tobytes() for x in answers] + none * (u + 1), pa.binary()),
-                "shape": pa.array(none * a + used.tolist() + none, pa.int32()),
-                "n": pa.array(none * a + n[used].tolist() + none, pa.int64()),
-                "v": pa.array(none * a + v[used].tolist() + none, pa.int64()),
-                "frequent": pa.array(none * (a + u) + [frequent], pa.binary()),
+                "totals": pa.array([total[x].astype("<i8").tobytes() for x in numbers] + none * (u + 1), pa.binary()),
+                "weights": pa.array([weights[place[x[own[x]]]].tobytes() for x in numbers] + none * (u + 1), pa.binary()),
+                # After the shapes, a row for the own words.
+                "shape": pa.array(none * a + used.tolist() + [SHAPES], pa.int32()),
+                "n": pa.array(none * a + n[used].tolist() + [int(total[own].sum())], pa.int64()),
+                "v": pa.array(none * a + v[used].tolist() + [int(own.sum())], pa.int64()),
+                "sums": pa.array(none * (a + u) + [weights.sum(0).tolist()], pa.list_(pa.float64())),
             }
         )
 
@@ -166,22 +187,28 @@ def _total(least: int):
 
 @dataclass
 class Vocabulary:
-    """Sizes of the training data and of the classes: the end, the shapes, then the frequent words."""
+    """Sizes of the training data and of the classes on the driver: the end, then the shapes."""
 
     tokens: int
     distinct: int
     sizes: np.ndarray
     words: np.ndarray
-    frequent: np.ndarray
     ends: int
-    totals: np.ndarray
-
-    @property
-    def classes(self) -> int:
-        return 1 + SHAPES + len(self.frequent)
 
     def class_counts(self) -> np.ndarray:
-        return np.concatenate([[self.ends], self.sizes, self.totals]).astype(float)
+        return np.concatenate([[self.ends], self.sizes]).astype(float)
+
+
+@dataclass
+class Sequences:
+    """The rows as class sequences, a list of own words for each block, and the first weights of these."""
+
+    rows: DataFrame
+    weights: DataFrame
+    path: str
+    buckets: int
+    own: int  # distinct own words
+    sums: np.ndarray  # of their first weights, by state
 
 
 def _prepare(vocabulary: Vocabulary):
@@ -196,26 +223,24 @@ def _prepare(vocabulary: Vocabulary):
         hashes = [np.frombuffer(right.column("words")[int(i)].as_py(), "<u8") for i in order]
         c = np.concatenate(totals) if totals else np.zeros(0, np.int64)
         words = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-        classes = (1 + shapes).astype(np.uint16)
-        at = np.searchsorted(vocabulary.frequent, words)
-        at_ = np.minimum(at, max(len(vocabulary.frequent) - 1, 0))
-        is_own = vocabulary.frequent[at_] == words if len(vocabulary.frequent) else np.zeros(len(words), bool)
-        classes[is_own] = 1 + SHAPES + at_[is_own]
+        is_own = c >= OWN
+        classes = (1 + shapes).astype(np.uint32)
+        classes[is_own] = 1 + SHAPES + np.arange(is_own.sum())
         base = np.log10(c + 1) - slots
         inside = np.log10(c + 1) - np.log10(vocabulary.sizes[shapes] + vocabulary.words[shapes] + 1)
         inside[is_own] = 0.0
+        block = left.column("block")[0].as_py()
         rows = left.filter(pa.array(~is_list))
-        out = []
+        out = [(block, *[None] * 7, words[is_own].tobytes())]
         for doc, held, payload in zip(*(rows.column(x).to_pylist() for x in ("doc_id", "held_out", "payload"))):
             ids = np.frombuffer(payload, "<u4")
             end = math.log10(vocabulary.ends + 1) - slots
             known = int((c[ids] > 0).sum()) + (vocabulary.ends > 0)
-            sequence = np.append(classes[ids], np.uint16(END)).tobytes()
-            out.append((doc, held, len(ids) + 1, known, float(base[ids].sum()) + end, float(inside[ids].sum()), sequence))
+            sequence = np.append(classes[ids], np.uint32(END)).tobytes()
+            out.append((block, doc, held, len(ids) + 1, known, float(base[ids].sum()) + end, float(inside[ids].sum()), sequence, None))
         names = [x.split()[0] for x in READY.split(", ")]
-        kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary()]
-        columns = list(zip(*out)) or [[]] * len(names)
-        return pa.table({n: pa.array(x, k) for n, x, k in zip(names, columns, kinds)})
+        kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.binary()]
+        return pa.table({n: pa.array(x, k) for n, x, k in zip(names, zip(*out), kinds)})
 
     return run
 
@@ -226,14 +251,28 @@ class Model:
     share: np.ndarray
     move: np.ndarray
     emit: np.ndarray  # (class, state)
+    total: np.ndarray | None = None  # of all weights, by state
 
+    def of_block(self, weights: np.ndarray) -> Model:
+        """The model with the own words of a block as further classes."""
+        return Model(self.start, self.share, self.move, np.concatenate([self.emit, weights / self.total]))
 
-def first_model(counts: np.ndarray, states: int = STATES) -> Model:
+
+@dataclass
+class Trained:
+    model: Model
+    weights: DataFrame  # of own words, by block
+    path: str
+
+
+def first_model(counts: np.ndarray, own: np.ndarray) -> Model:
+    states = len(own)
     noise = np.random.default_rng(40).gamma(4.0, size=(len(counts), states))
     emit = noise * (counts[:, None] + 0.5)
+    total = emit.sum(0) + own
     move = np.full((states, states), 0.2 / states) + 0.8 * np.eye(states)
     even = np.full(states, 1 / states)
-    return Model(even, even, move, emit / emit.sum(0))
+    return Model(even, even, move, emit / total, total)
 
 
 def expected_counts(model: Model, sequences: list[np.ndarray], piece: int = PIECE):
@@ -266,60 +305,111 @@ def expected_counts(model: Model, sequences: list[np.ndarray], piece: int = PIEC
         for t in range(longest - 1, -1, -1):
             n = active[t]
             gamma = alpha[t, :n] * beta[:n]
-            for k in range(s):
-                emitted[:, k] += np.bincount(classes[t, :n], weights=gamma[:, k], minlength=len(emitted))
+            alpha[t, :n] = gamma
             if t:
                 back = chance[t, :n] * beta[:n] / scale[t, :n, None]
                 moved += model.move * (alpha[t - 1, :n].T @ back)
                 beta[:n] = back @ model.move.T
             else:
                 started += gamma[first[:n]].sum(0)
+        met = np.arange(longest)[:, None] < lengths
+        for k in range(s):
+            emitted[:, k] += np.bincount(classes[met], weights=alpha[..., k][met], minlength=len(emitted))
     return emitted, moved, started, log_likelihood
 
 
-def _count_rows(model: Model):
-    def run(batches):
-        total = None
-        for batch in batches:
-            texts = [np.frombuffer(x, "<u2") for x in batch.column("classes").to_pylist()]
-            for part in by_weight(texts, len, 300_000):
-                found = expected_counts(model, part)
-                total = found if total is None else tuple(a + b for a, b in zip(total, found))
-        if total is not None:
-            emitted, moved, started, likelihood = total
-            rows = np.concatenate([emitted, moved, started[None], np.full((1, len(started)), likelihood / len(started))])
-            at = np.flatnonzero(rows.any(1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(at, pa.int32()), *(pa.array(rows[at, k]) for k in range(rows.shape[1]))],
-                names=["at", *(f"s{k}" for k in range(rows.shape[1]))],
-            )
+def _block(left, right, states: int) -> tuple[np.ndarray, np.ndarray, pa.Table]:
+    """The own words of a block, their weights, and its rows."""
+    is_list = left.column("own").combine_chunks().is_valid()
+    words = np.frombuffer(left.filter(is_list).column("own")[0].as_py(), "<u8")
+    order = np.argsort(np.asarray(right.column("bucket"))) if right.num_rows else []
+    weights = b"".join(right.column("weights")[int(i)].as_py() for i in order)
+    return words, np.frombuffer(weights, "<f8").reshape(len(words), states), left.filter(pc.invert(is_list))
+
+
+def _count(model: Model, buckets: int):
+    """Expected counts of a block: of its own words by bucket, and the rows that the driver adds up."""
+    states = len(model.start)
+
+    def run(left, right):
+        words, weights, rows = _block(left, right, states)
+        block, here = left.column("block")[0].as_py(), model.of_block(weights)
+        total = np.zeros_like(here.emit), np.zeros((states, states)), np.zeros(states), 0.0
+        texts = [np.frombuffer(x, "<u4") for x in rows.column("classes").to_pylist()]
+        for part in by_weight(texts, len, PART):
+            total = tuple(a + b for a, b in zip(total, expected_counts(here, part)))
+        emitted, moved, started, likelihood = total
+        shared, own = emitted[: 1 + SHAPES], emitted[1 + SHAPES :]
+        sums = np.concatenate([shared, moved, started[None], np.full((1, states), likelihood / states), own.sum(0)[None]])
+        at = np.flatnonzero(sums.any(1))
+        bucket, slices = _slices(words, buckets)
+        a, u, none = len(bucket), len(at), [None]
+        return pa.table(
+            {
+                "bucket": pa.array(bucket.tolist() + none * u, pa.int32()),
+                "block": pa.array([block] * a + none * u, pa.int64()),
+                "words": pa.array([words[x].tobytes() for x in slices] + none * u, pa.binary()),
+                "weights": pa.array([own[x].tobytes() for x in slices] + none * u, pa.binary()),
+                "at": pa.array(none * a + at.tolist(), pa.int32()),
+                "sums": pa.array(none * a + sums[at].tolist(), pa.list_(pa.float64())),
+            }
+        )
 
     return run
 
 
-def train(ready: DataFrame, counts: np.ndarray, states: int = STATES, rounds: int = ROUNDS) -> tuple[Model, list[float]]:
+def _add(states: int):
+    """The counts of the bucket's words over all blocks, as an answer for each block."""
+
+    def run(key, table):
+        lists = [np.frombuffer(x, "<u8") for x in table.column("words").to_pylist()]
+        counts = np.frombuffer(b"".join(table.column("weights").to_pylist()), "<f8").reshape(-1, states)
+        _, number = np.unique(np.concatenate(lists), return_inverse=True)
+        total = np.stack([np.bincount(number, weights=counts[:, k]) for k in range(states)], 1) + PSEUDO
+        numbers = np.split(number, np.cumsum([len(x) for x in lists])[:-1])
+        return pa.table(
+            {
+                "bucket": table.column("bucket"),
+                "block": table.column("block"),
+                "weights": pa.array([total[x].tobytes() for x in numbers], pa.binary()),
+            }
+        )
+
+    return run
+
+
+def train(ready: Sequences, counts: np.ndarray, rounds: int = ROUNDS) -> tuple[Trained, list[float]]:
     """The model after ``rounds`` over the rows that are not held out, and each round's log likelihood."""
-    model, likelihoods = first_model(counts, states), []
-    learn = ready.where("not held_out").select("classes")
-    names = [f"s{k}" for k in range(states)]
-    schema = ", ".join(["at int", *(f"{x} double" for x in names)])
+    spark, states = ready.rows.sparkSession, len(ready.sums)
+    model, likelihoods = first_model(counts, ready.sums), []
+    weights, path = ready.weights, ready.path
+    learn = ready.rows.where("own is not null or not held_out").select("block", "classes", "own")
     for _ in range(rounds):
-        rows = learn.mapInArrow(_count_rows(model), schema).groupBy("at").agg(*[F.sum(x).alias(x) for x in names])
-        total = np.zeros((len(counts) + states + 2, states))  # one row for each class, state and two more
+        joined = learn.groupBy("block").cogroup(weights.groupBy("block"))
+        counted, counts_path = store(joined.applyInArrow(_count(model, ready.buckets), COUNTED), "word-counts")
+        total = np.zeros((len(counts) + states + 3, states))  # one row for each class, state and three more
+        rows = counted.where("at is not null").groupBy("at").agg(*[F.sum(F.col("sums")[k]).alias(f"s{k}") for k in range(states)])
         for r in rows.collect():
-            total[r["at"]] = [r[x] for x in names]
-        emitted, moved, started = total[: len(counts)], total[len(counts) : -2], total[-2]
-        likelihoods.append(float(total[-1].sum()))
+            total[r["at"]] = r[1:]
+        by_bucket = counted.where("bucket is not null").select("bucket", "block", "words", "weights").groupBy("bucket")
+        before = path
+        weights, path = store(by_bucket.applyInArrow(_add(states), WEIGHTS), "word-weights")
+        discard(spark, counts_path)
+        if before != ready.path:
+            discard(spark, before)
+        emitted, moved, (started, likelihood, own) = total[: len(counts)], total[len(counts) : -3], total[-3:]
+        likelihoods.append(float(likelihood.sum()))
         # A pseudo count keeps every class possible in every state.
-        emitted = emitted + 0.01
-        share = emitted.sum(0)
+        emitted = emitted + PSEUDO
+        share = emitted.sum(0) + own + PSEUDO * ready.own
         model = Model(
-            (started + 0.01) / (started + 0.01).sum(),
+            (started + PSEUDO) / (started + PSEUDO).sum(),
             share / share.sum(),
-            (moved + 0.01) / (moved + 0.01).sum(1, keepdims=True),
-            emitted / emitted.sum(0),
+            (moved + PSEUDO) / (moved + PSEUDO).sum(1, keepdims=True),
+            emitted / share,
+            share,
         )
-    return model, likelihoods
+    return Trained(model, weights, path), likelihoods
 
 
 def log10_likelihoods(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
@@ -343,54 +433,54 @@ def log10_likelihoods(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
 
 
 def _score(model: Model):
-    def run(batches):
-        for batch in batches:
-            inner = np.asarray(batch.column("inner"))
-            texts = [np.frombuffer(x, "<u2") for x in batch.column("classes").to_pylist()]
-            parts = [log10_likelihoods(model, p) for p in by_weight(texts, len, SCORED)]
-            score = inner + np.concatenate(parts) if parts else inner
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("doc_id", "held_out", "n_tokens", "n_known", "base_score")] + [pa.array(score)],
-                names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"],
-            )
+    names = [x.split()[0] for x in SCORED_AS.split(", ")]
+
+    def run(left, right):
+        _, weights, rows = _block(left, right, len(model.start))
+        here, inner = model.of_block(weights), np.asarray(rows.column("inner"))
+        texts = [np.frombuffer(x, "<u4") for x in rows.column("classes").to_pylist()]
+        parts = [log10_likelihoods(here, p) for p in by_weight(texts, len, SCORED)]
+        score = inner + np.concatenate(parts) if parts else inner
+        return rows.select(names[:-1]).append_column(names[-1], pa.array(score))
 
     return run
 
 
-def prepared(docs: DataFrame, held: Column) -> tuple[DataFrame, Vocabulary]:
+def prepared(docs: DataFrame, held: Column, states: int = STATES) -> tuple[Sequences, Vocabulary]:
     """All documents as class sequences with their unigram scores, and the vocabulary's sizes."""
     spark = docs.sparkSession
     texts = as_bytes(docs).select("doc_id", held.alias("held_out"), "text")
     cut, path = store(texts.mapInArrow(_cut, CUT), "word-blocks")
     lists = cut.where("counts is not null")
     words = lists.agg(F.sum(F.octet_length("payload") / 8)).first()[0] or 0
-    asked = lists.mapInArrow(_ask(1 + int(words) // BUCKET_WORDS), ASKED)
+    buckets = 1 + int(words) // BUCKET_WORDS
+    asked = lists.mapInArrow(_ask(buckets), ASKED)
     ends = cut.where("counts is null and not held_out").count()
     trained = cut.where("counts is null and not held_out").agg(F.sum(F.octet_length("payload") / 4)).first()[0] or 0
-    tokens = int(trained) + ends
-    least = max(2, -(-tokens // FREQUENT))
-    answer, answers = store(asked.groupBy("bucket").applyInArrow(_total(least), ANSWER), "word-totals")
-    sizes, kinds = np.zeros(SHAPES, np.int64), np.zeros(SHAPES, np.int64)
-    for r in answer.where("shape is not null").groupBy("shape").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
-        sizes[r["shape"]], kinds[r["shape"]] = r["n"], r["v"]  # SHAPES rows at most
-    packed = answer.where("frequent is not null and octet_length(frequent) > 0").select("frequent").collect()
-    frequent = np.frombuffer(b"".join(bytes(r["frequent"]) for r in packed), "<u8").reshape(-1, 2)  # fewer than FREQUENT words
-    frequent = frequent[np.argsort(frequent[:, 0])]
-    distinct = int(kinds.sum()) + len(frequent) + (ends > 0)
-    vocabulary = Vocabulary(tokens, distinct, sizes, kinds, frequent[:, 0], ends, frequent[:, 1].astype(np.int64))
-    totals = answer.where("block is not null").select("bucket", "block", "words", "totals")
+    answer, answers = store(asked.groupBy("bucket").applyInArrow(_total(states), ANSWER), "word-totals")
+    sizes, kinds, sums = np.zeros(SHAPES + 1, np.int64), np.zeros(SHAPES + 1, np.int64), np.zeros(states)
+    by_state = [F.sum(F.col("sums")[k]).alias(f"s{k}") for k in range(states)]
+    for r in answer.where("shape is not null").groupBy("shape").agg(F.sum("n").alias("n"), F.sum("v").alias("v"), *by_state).collect():
+        sizes[r["shape"]], kinds[r["shape"]] = r["n"], r["v"]  # SHAPES + 1 rows at most
+        if r["shape"] == SHAPES:
+            sums = np.array(r[3:])
+    distinct = int(kinds.sum()) + (ends > 0)
+    vocabulary = Vocabulary(int(trained) + ends, distinct, sizes[:-1], kinds[:-1], ends)
+    answer = answer.where("block is not null")
+    totals = answer.select("bucket", "block", "words", "totals")
     joined = cut.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(_prepare(vocabulary), READY)
-    ready = materialize(joined, "class-sequences")
+    rows = materialize(joined, "class-sequences")
     discard(spark, path)
-    discard(spark, answers)
-    return ready, vocabulary
+    return Sequences(rows, answer.select("bucket", "block", "weights"), answers, buckets, int(kinds[-1]), sums), vocabulary
 
 
 def score(docs: DataFrame, held: Column, states: int = STATES, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each row."""
     short_batches(docs.sparkSession)
-    ready, vocabulary = prepared(docs, held)
-    model, _ = train(ready, vocabulary.class_counts(), states, rounds)
-    release(docs.sparkSession)
-    scored = ready.mapInArrow(_score(model), SCORED_AS)
+    ready, vocabulary = prepared(docs, held, states)
+    trained, _ = train(ready, vocabulary.class_counts(), rounds)
+    if trained.path != ready.path:
+        discard(docs.sparkSession, ready.path)
+    joined = ready.rows.groupBy("block").cogroup(trained.weights.groupBy("block"))
+    scored = joined.applyInArrow(_score(trained.model), SCORED_AS)
     return scored.withColumn("train_tokens", F.lit(vocabulary.tokens).cast("long"))

@@ -263,6 +263,21 @@ def test_training_gains(spark):
     assert likelihoods == sorted(likelihoods)
 
 
+def test_words_of_twenty_tokens_have_their_own_emissions(documents):
+    """Two words of one ending and count, each in its own context, in a text where both are rare."""
+    filler = " ".join(f"w{i % 50}" for i in range(200_000))
+    learn = [i for i in range(1, 200) if zlib.crc32(str(i).encode()) % 7 != 2]
+    test = [i for i in range(1, 200) if i not in learn][:2]
+    rows = [(learn[0], filler)] + [(i, ("cold qqing " if i % 2 else "warm zzing ") * 5) for i in learn[1:17]]
+    count = {w: sum(t.split().count(w) for _, t in rows) for w in ("qqing", "zzing")}
+    less = min(count, key=count.get)
+    rows.append((learn[90], " ".join([less] * (max(count.values()) - count[less]))))
+    rows += [(test[0], "cold qqing cold qqing"), (test[1], "cold zzing cold zzing")]
+    got = {r.doc_id: r for r in hmm.score(documents(rows), held_out(7, 2)).where("held_out").collect()}
+    assert abs(got[test[0]].base_score - got[test[1]].base_score) < 1e-9
+    assert got[test[0]].score > got[test[1]].score + 0.1
+
+
 def test_revisit_edges(spark):
     h = {"ETag": '"a"', "Content-Length": "9", "X": "1"}
     rows = [
