@@ -1,7 +1,7 @@
 """A training corpus from ``documents``: five stages, each written as Parquet and read by the next.
 
-language_id drops documents whose language is not recognised, exact_dedup and near_dedup leave one
-document of each group, decontamination drops documents that quote the benchmark, and packing
+language_id drops documents whose language is not recognised, exact_dedup and near_dedup (from
+80 per cent similarity) leave one document of each group, decontamination drops documents that quote the benchmark, and packing
 returns token sequences. The first four return the columns of documents.
 """
 
@@ -24,7 +24,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return neardup.without_near_copies(docs)
+    return neardup.without_near_copies(docs, similarity=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,12 +2,12 @@
 
 Documents with equal shingle sets are one class. A class is posted under each of its
 ``COORDINATES`` signature values; every coordinate has its own multiplier, so a value stands
-for a (coordinate, value) pair. Two classes are candidates if at least ``MATCHES`` coordinates
-collide. At similarity 0.85 all but about one pair in a million collide that often.
+for a (coordinate, value) pair. Two classes are candidates if at least ``matches_for`` the asked similarity
+coordinates collide: of pairs that similar, fewer than LOST collide less often.
 
 * Prefix: values posted once cannot collide. Of a class's other values, c of them, the c -
-  MATCHES + 1 posted least often contain one value that any candidate shares with it, so only
-  those postings are merged; a class with fewer than MATCHES such values has no partner.
+  matches + 1 posted least often contain one value that any candidate shares with it, so only
+  those postings are merged; a class with fewer than that many such values has no partner.
 * Skip: the other collisions are not merged but counted on the two signatures, by the low
   byte of each value, which can only overcount.
 * Candidates are confirmed on the full shingle sets.
@@ -29,6 +29,8 @@ others; rows repeating id and text are marked alike. An empty table gives no row
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -39,8 +41,10 @@ from rawstar.llm.common import KEY, as_bytes, join_rows, keep_rows, mix, odd_mul
 from rawstar.session import materialize
 
 SHINGLE = 5
-COORDINATES, MATCHES = 64, 40
+COORDINATES = 64
 SIMILARITY = 85  # per cent
+# The share of pairs, just as similar as asked, that may be lost.
+LOST = 2.5e-6
 # Members of a posting list, and shingles in all of them, that one task compares with as many others.
 BLOCK, BLOCK_SHINGLES = 1500, 4_000_000
 REMEMBERED = 300_000
@@ -50,6 +54,16 @@ _COORDINATE = odd_multipliers(COORDINATES, 31)
 SIGNED = "doc_id long, text_hash long, n_shingles long, set1 long, set2 long, signature array<long>"
 
 
+def matches_for(similarity: int) -> int:
+    """The most collisions that all but LOST of the pairs of that similarity have; 40 at 85 per cent."""
+    p, below = similarity / 100, 0.0
+    for k in range(COORDINATES):
+        below += math.comb(COORDINATES, k) * p**k * (1 - p) ** (COORDINATES - k)
+        if below > LOST:
+            return max(1, k)
+    return COORDINATES
+
+
 class _Words(dict):
     """64-bit hashes of words, remembered."""
 
@@ -120,30 +134,36 @@ def _as_rows(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, COORDINATES)
 
 
-def _enough(batches):
-    """Pairs whose signatures collide often enough."""
-    for batch in batches:
-        same = (_as_rows(batch.column("sketch_a")) == _as_rows(batch.column("sketch_b"))).sum(1) >= MATCHES
-        yield batch.select(["a", "b"]).filter(pa.array(same))
+def _enough(matches: int):
+    def run(batches):
+        """Pairs whose signatures collide often enough."""
+        for batch in batches:
+            same = (_as_rows(batch.column("sketch_a")) == _as_rows(batch.column("sketch_b"))).sum(1) >= matches
+            yield batch.select(["a", "b"]).filter(pa.array(same))
 
+    return run
 
-def _similar(x: np.ndarray, y: np.ndarray) -> bool:
+
+def _similar(x: np.ndarray, y: np.ndarray, similarity: int) -> bool:
     common = len(np.intersect1d(x, y, assume_unique=True))
-    return 100 * common >= SIMILARITY * (len(x) + len(y) - common)
+    return 100 * common >= similarity * (len(x) + len(y) - common)
 
 
-def _confirm(batches):
-    words, last = _Words(), (None, None)
-    for batch in batches:
-        a, b = [], []
-        for x, y, text_x, text_y in rows_of([batch.select(["a", "b", "text_a", "text_b"])]):
-            if last[0] != x:
-                last = (x, shingles(text_x, words))
-            other = shingles(text_y, words)
-            if _similar(last[1], other):
-                a.append(x)
-                b.append(y)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+def _confirm(similarity: int):
+    def run(batches):
+        words, last = _Words(), (None, None)
+        for batch in batches:
+            a, b = [], []
+            for x, y, text_x, text_y in rows_of([batch.select(["a", "b", "text_a", "text_b"])]):
+                if last[0] != x:
+                    last = (x, shingles(text_x, words))
+                other = shingles(text_y, words)
+                if _similar(last[1], other, similarity):
+                    a.append(x)
+                    b.append(y)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return run
 
 
 def _shingle_rows(batches):
@@ -163,41 +183,44 @@ def _sets(batches):
         yield pa.RecordBatch.from_arrays([batch.column("cid"), pa.array(found, pa.large_binary()).cast(pa.binary())], names=["cid", "set"])
 
 
-def _may_link(n_x, s_x, n_y, s_y):
+def _may_link(n_x, s_x, n_y, s_y, similarity):
     """Whether sets of n shingles, s of them shared with any other, can be similar enough."""
     least = np.minimum(s_x, s_y)
-    return 100 * least >= SIMILARITY * (n_x + n_y - least)
-
-
-def _compare_block(key, table):
-    """Links of one block pair that connect different components.
-
-    Pairs that may link and collide often enough are confirmed on their sets, a pair posted
-    together under several values under one of them, which the two ids choose. A pair whose components
-    the block has already connected is passed over, so there are fewer links than members.
-    """
-    value, pair = key[0].as_py(), (key[1].as_py(), key[2].as_py())
-    block, cid, size, shared = (np.asarray(table.column(c)) for c in ("block", "cid", "size", "shared"))
-    posted = [frozenset(x) for x in table.column("posted").to_pylist()]
-    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("set").combine_chunks()]
-    sketch = _as_rows(table.column("sketch"))
-    _, comp = np.unique(np.asarray(table.column("comp")), return_inverse=True)
-    rows, others = np.flatnonzero(block == pair[0]), np.flatnonzero(block == pair[1])
-    a, b = [], []
-    for i in rows:
-        with_ = others[comp[others] != comp[i]]
-        if pair[0] == pair[1]:
-            with_ = with_[cid[with_] > cid[i]]
-        with_ = with_[_may_link(size[i], shared[i], size[with_], shared[with_])]
-        for j in with_[(sketch[with_] == sketch[i]).sum(1) >= MATCHES]:
-            if comp[i] == comp[j]:
-                continue
-            common = sorted(posted[i] & posted[j])
-            if common[int(cid[i] + cid[j]) % len(common)] == value and _similar(sets[i], sets[j]):
-                comp[comp == comp[j]] = comp[i]
-                a.append(min(cid[i], cid[j]))
-                b.append(max(cid[i], cid[j]))
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    return 100 * least >= similarity * (n_x + n_y - least)
+
+
+def _compare_block(similarity: int, matches: int):
+    def run(key, table):
+        """Links of one block pair that connect different components.
+
+        Pairs that may link and collide often enough are confirmed on their sets, a pair posted
+        together under several values under one of them, which the two ids choose. A pair whose components
+        the block has already connected is passed over, so there are fewer links than members.
+        """
+        value, pair = key[0].as_py(), (key[1].as_py(), key[2].as_py())
+        block, cid, size, shared = (np.asarray(table.column(c)) for c in ("block", "cid", "size", "shared"))
+        posted = [frozenset(x) for x in table.column("posted").to_pylist()]
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("set").combine_chunks()]
+        sketch = _as_rows(table.column("sketch"))
+        _, comp = np.unique(np.asarray(table.column("comp")), return_inverse=True)
+        rows, others = np.flatnonzero(block == pair[0]), np.flatnonzero(block == pair[1])
+        a, b = [], []
+        for i in rows:
+            with_ = others[comp[others] != comp[i]]
+            if pair[0] == pair[1]:
+                with_ = with_[cid[with_] > cid[i]]
+            with_ = with_[_may_link(size[i], shared[i], size[with_], shared[with_], similarity)]
+            for j in with_[(sketch[with_] == sketch[i]).sum(1) >= matches]:
+                if comp[i] == comp[j]:
+                    continue
+                common = sorted(posted[i] & posted[j])
+                if common[int(cid[i] + cid[j]) % len(common)] == value and _similar(sets[i], sets[j], similarity):
+                    comp[comp == comp[j]] = comp[i]
+                    a.append(min(cid[i], cid[j]))
+                    b.append(max(cid[i], cid[j]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -222,18 +245,18 @@ def components(links: DataFrame) -> DataFrame:
             return edges.select(F.col("u").alias("cid"), F.col("v").alias("comp"))
 
 
-def _postings(classes: DataFrame) -> DataFrame:
+def _postings(classes: DataFrame, matches: int) -> DataFrame:
     """(value, cid, n): the prefix of each class that can have partners; n classes are posted under the value."""
     posted = classes.select("cid", F.explode("signature").alias("value"))
     often = posted.groupBy("value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = posted.join(often, "value").groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("n", "value"))).alias("values"))
-    prefix = F.slice("values", F.lit(1), F.size("values") - (MATCHES - 1))
-    return shared.where(F.size("values") >= MATCHES).select("cid", F.explode(prefix).alias("p")).select("p.value", "cid", "p.n")
+    prefix = F.slice("values", F.lit(1), F.size("values") - (matches - 1))
+    return shared.where(F.size("values") >= matches).select("cid", F.explode(prefix).alias("p")).select("p.value", "cid", "p.n")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """For each row: doc_id, text_hash, n_shingles, component_id, kept."""
-    spark = docs.sparkSession
+def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
+    """For each row: doc_id, text_hash, n_shingles, component_id, kept; ``similarity`` per cent links two texts."""
+    spark, matches = docs.sparkSession, matches_for(similarity)
     short_batches(spark)
     texts = as_bytes(docs)
     signed = materialize(texts.mapInArrow(_sign, SIGNED), "signatures")
@@ -242,7 +265,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = classes.agg(F.min(row).alias("first"), F.first("signature").alias("signature"))
     classes = materialize(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
     sketches = materialize(classes.select("cid", "signature").mapInArrow(_sketches, "cid long, sketch binary"), "sketches")
-    postings = materialize(_postings(classes), "postings")
+    postings = materialize(_postings(classes, matches), "postings")
     release(spark)
 
     def texts_of(ids: DataFrame) -> DataFrame:
@@ -253,12 +276,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     def close(pairs: DataFrame) -> DataFrame:
         other = sketches.select(F.col("cid").alias("b"), F.col("sketch").alias("sketch_b"))
         own = sketches.select(F.col("cid").alias("a"), F.col("sketch").alias("sketch_a"))
-        return materialize(pairs.join(other, "b").join(own, "a").mapInArrow(_enough, "a long, b long"), "candidates")
+        return materialize(pairs.join(other, "b").join(own, "a").mapInArrow(_enough(matches), "a long, b long"), "candidates")
 
     def confirmed(pairs: DataFrame, found: DataFrame) -> DataFrame:
         other = found.select(F.col("cid").alias("b"), F.col("text").alias("text_b"))
         own = found.select(F.col("cid").alias("a"), F.col("text").alias("text_a"))
-        return materialize(pairs.join(other, "b").join(own, "a").mapInArrow(_confirm, "a long, b long"), "links")
+        return materialize(pairs.join(other, "b").join(own, "a").mapInArrow(_confirm(similarity), "a long, b long"), "links")
 
     def still_apart(member: DataFrame, comp: DataFrame) -> DataFrame:
         """Posted members with their components, where a list spans several."""
@@ -279,7 +302,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     lone = own_only.groupBy("cid").agg(F.count(F.lit(1)).alias("lone"))
     sizes = each.groupBy("cid").agg(F.count(F.lit(1)).alias("size")).join(lone, "cid", "left")
     sizes = sizes.withColumn("shared", F.col("size") - F.coalesce("lone", F.lit(0))).drop("lone")
-    sizes = materialize(sizes.where(F.col("shared") * 100 >= F.col("size") * SIMILARITY), "set-sizes")
+    sizes = materialize(sizes.where(F.col("shared") * 100 >= F.col("size") * similarity), "set-sizes")
     apart = still_apart(apart.drop("comp").join(sizes, "cid"), comp)
 
     own = apart.groupBy("cid").agg(F.collect_set("value").alias("posted"))
@@ -290,7 +313,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
     dealt = dealt.select("value", "low", "high", "block", "cid", "comp", "size", "shared").join(own, "cid")
-    pairs = dealt.groupBy("value", "low", "high").applyInArrow(_compare_block, "a long, b long")
+    pairs = dealt.groupBy("value", "low", "high").applyInArrow(_compare_block(similarity, matches), "a long, b long")
     more = materialize(pairs, "block-links")
     if not more.isEmpty():
         comp = components(links.unionByName(more))
@@ -309,6 +332,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def without_near_copies(docs: DataFrame) -> DataFrame:
+def without_near_copies(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """The rows of ``docs``, all columns, with one document of each component."""
-    return keep_rows(docs, near_duplicates(docs).where("kept").select(*KEY).distinct())
+    return keep_rows(docs, near_duplicates(docs, similarity).where("kept").select(*KEY).distinct())

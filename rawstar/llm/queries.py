@@ -27,7 +27,7 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @reg.query()
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"), similarity=85)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 

@@ -121,6 +121,20 @@ def test_near_duplicates(documents, monkeypatch, block):
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
 
 
+def test_pipeline_drops_near_copies_from_80_per_cent(spark, documents):
+    import corpus_pipeline
+
+    base = [f"a{k}" for k in range(1000)]
+    far = {n: " ".join(f"b{k}" if k % 40 == 20 and k < 40 * n else w for k, w in enumerate(base)) for n in (20, 24)}
+    docs = documents([(1, " ".join(base)), (2, far[20]), (3, far[24].replace("a", "c"))])
+    stage = dict(corpus_pipeline.STAGES)["near_dedup"]
+    assert sorted(r.doc_id for r in stage(spark, docs, SF).collect()) == [1, 3]  # 896 of 1096 shingles are common
+    assert neardup.near_duplicates(docs, similarity=85).where("kept").count() == 3
+    assert (neardup.matches_for(85), neardup.matches_for(80)) == (40, 35)
+    apart = documents([(1, " ".join(base)), (2, far[24])])  # 876 of 1116
+    assert stage(spark, apart, SF).count() == 2
+
+
 @pytest.mark.parametrize("group_runs", [windows.GROUP_RUNS, 1])
 def test_windows(documents, group_runs):
     rows = [(i, t) for i, t in ROWS if i not in (None, 8)] + [(20, "x" + sentence(60, 2)), (21, "é" * 120), (22, "é" * 90)]
