@@ -172,3 +172,92 @@ select d.doc_id, count(*) filter (rank = 0) as n_assign, count(*) filter (rank =
 from documents d left join found using (doc_id) group by d.doc_id
 """
 )
+
+
+def _levels(name: str, count: int) -> str:
+    """Nodes of ``count`` further levels over ``name0``; a tree of one node stays as it is."""
+    return ",".join(
+        f"""
+{name}{k + 1} as (
+  select tree, idx // 16 as idx, (any_value(n) + 15) // 16 as n,
+         case when any_value(n) > 1 then sha256(string_agg(digest, '' order by idx)) else any_value(digest) end as digest
+  from {name}{k} group by tree, idx // 16)"""
+        for k in range(count)
+    )
+
+
+def _folds(name: str, nodes: str, count: int, rows: str) -> str:
+    """``rows`` (tree, idx, proof, claimed, ...) with the siblings' text and the folded digest, level by level."""
+    return ",".join(
+        f"""
+{name}{k} as (
+  select p.* exclude (idx, proof, claimed), p.idx // 16 as idx,
+         case when s.n > 1 then proof || l || r else proof end as proof,
+         case when s.n > 1 then sha256(l || claimed || r) else claimed end as claimed
+  from {rows if k == 0 else f'{name}{k - 1}'} p join (
+    select a.tree, a.idx, any_value(a.n) as n,
+           coalesce(string_agg(b.digest, '' order by b.idx) filter (b.idx < a.idx), '') as l,
+           coalesce(string_agg(b.digest, '' order by b.idx) filter (b.idx > a.idx), '') as r
+    from {nodes}{k} a join {nodes}{k} b on a.tree = b.tree and a.idx // 16 = b.idx // 16 group by a.tree, a.idx) s
+  on p.tree = s.tree and p.idx = s.idx)"""
+        for k in range(count)
+    )
+
+
+def _leaf(*fields: str) -> str:
+    return "sha256(" + " || ".join(f"coalesce(strlen(cast({f} as varchar)) || ':' || cast({f} as varchar), '-')" for f in fields) + ")"
+
+
+_BITS = "flatten(list_transform(string_split(cast(doc_id as varchar), ''), lambda c: list_transform(range(8), lambda i: (ascii(c) >> i) & 1)))"
+# CRC-32 of the id's digits, bit by bit.
+_CRC = f"""xor(4294967295, list_reduce(list_concat([4294967295], {_BITS}),
+  lambda a, b: xor(a >> 1, case when a & 1 <> b then 3988292384 else 0 end)))"""
+
+# Six levels hold sources of 16 ** 6 rows, five levels 16 ** 5 sources.
+MERKLE = (
+    f"""
+with leaves as (
+  select doc_id, coalesce('1' || source, '0') as tree, {_leaf('doc_id', 'source', 'lang', 'n_chars', 'text')} as digest,
+         case when {_CRC} % 5 = 0 then {_leaf('doc_id', 'source', 'lang', 'n_chars', 'lowered')} end as changed
+  from (select *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as lowered from documents)),
+a0 as (
+  select *, row_number() over (partition by tree order by doc_id, digest) - 1 as idx, count(*) over (partition by tree) as n
+  from leaves),"""
+    + _levels("a", 6)
+    + """,
+b0 as (
+  select 0 as tree, tree as member, row_number() over (order by tree) - 1 as idx, count(*) over () as n, digest from a6),"""
+    + _levels("b", 5)
+    + """,
+rows as (select doc_id, digest as leaf, tree, idx, '' as proof, coalesce(changed, digest) as claimed from a0),"""
+    + _folds("f", "a", 6, "rows")
+    + """,
+tops as (
+  select doc_id, leaf, b0.digest as subroot, b0.tree, b0.idx, proof, claimed from f5 join b0 on f5.tree = member),"""
+    + _folds("g", "b", 5, "tops")
+    + """
+select doc_id, leaf, subroot, b5.digest as root, sha256(proof) as proof_sha256, claimed as folded_root, claimed = b5.digest as verified
+from g4 join b5 using (tree)
+"""
+)
+
+NEGATIVES = """
+with rows as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+pairs as (
+  select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same, cast(list_dot_product(a.v, b.v) as bigint) as score
+  from rows a join rows b on a.vec_id is distinct from b.vec_id or a.label <> b.label where a.vec_id % 100 = 0),
+positives as (
+  select * from pairs where same
+  qualify row_number() over (partition by anchor_id order by score desc, id) <= 5),
+found as (
+  select p.anchor_id, p.id as positive_id, n.id as negative_id, p.score as positive_score, n.score as negative_score,
+         cast(row_number() over (partition by p.anchor_id, p.id order by n.score desc, n.id) as integer) as rank
+  from positives p join pairs n on n.anchor_id = p.anchor_id and not n.same
+   and 80 * p.score <= 100 * n.score and 100 * n.score <= 100 * p.score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from found where rank <= 5
+"""

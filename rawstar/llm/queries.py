@@ -6,9 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rawstar.catalog.registry import Registry
-from rawstar.llm import decontaminate, exact, hmm, language, ledger, lines, neardup, packing, warc, windows
+from rawstar.llm import (
+    decontaminate,
+    exact,
+    hmm,
+    language,
+    ledger,
+    lines,
+    merkle,
+    neardup,
+    negatives,
+    notices,
+    packing,
+    warc,
+    windows,
+)
 from rawstar.llm.common import held_out, table
-from rawstar.llm.oracles import CAPTURES, CONTAMINATION, EXACT, LINES, REVISITS, SECRETS, WINDOWS
+from rawstar.llm.oracles import CAPTURES, CONTAMINATION, EXACT, LINES, MERKLE, NEGATIVES, REVISITS, SECRETS, WINDOWS
 
 reg = Registry()
 
@@ -87,3 +101,19 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @reg.query(SECRETS)
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.scan(table(spark, sf_dir, "documents")).withColumnRenamed("path", "doc_id")
+
+
+@reg.query(MERKLE)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"), merkle.tampered()).drop("path")
+
+
+@reg.query()
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return notices.find_notices(table(spark, sf_dir, "documents")).drop("matches")
+
+
+@reg.query(NEGATIVES)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, moved)
