@@ -51,6 +51,24 @@ def dense_ids(
     )
 
 
+def running_totals(
+    df: DataFrame, order: list[str | Column], size: str, column: str, parts: int | None = None
+) -> DataFrame:
+    """``column``: the sum of ``size`` over all rows before this one in the given total order."""
+    placed = _in_order(df, order, parts)
+    sums = placed.groupBy("_part").agg(F.sum(size).alias("_n"))
+    # One row per partition, as in ``dense_ids``.
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_part").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        placed.withColumn("_own", F.coalesce(F.sum(size).over(inside), F.lit(0)))
+        .join(F.broadcast(offsets), "_part")
+        .withColumn(column, (F.col("_before") + F.col("_own")).cast("bigint"))
+        .drop("_part", "_slot", "_before", "_own")
+    )
+
+
 def group_positions(
     df: DataFrame,
     keys: list[str],
