@@ -10,7 +10,7 @@ from rawstar.operators import compare
 from rawstar.plans import expand, recipes, resume, staging
 from rawstar.session import materialize, scratch_path
 from rawstar.streaming import ingest
-from rawstar.testbed import STAR_CTE, oracle, table
+from rawstar.testbed import RAW_CTE, STAR_CTE, oracle, table
 
 reg = Registry()
 
@@ -200,32 +200,119 @@ def stream_stage(spark, sf):
     )
 
 
+# The star with rows broken by key, and what each rule must find.
+_BROKEN = f"""{STAR_CTE},
+t1 as (
+  select * replace (case when id_column_1 % 89 = 0 then null when id_column_1 % 83 = 0 then -1 else id_column_3 end as id_column_3)
+  from fact where id_column_1 % 97 <> 0),
+t2 as (
+  select * replace (case when id_column_1 % 41 = 0 then 'Q' else text_column_1 end as text_column_1) from slots
+  union all select * from slots where id_column_1 % 50 = 0),
+t3 as (select * from dim3 where id_column_1 > 1),
+t4 as (select * from dim4 where id_column_1 <> 5),
+t5 as (
+  select * replace (case when id_column_1 % 13 = 0 then null else id_column_2 end as id_column_2,
+                    case when id_column_1 % 10 = 0 then 7 end as id_column_3)
+  from measure),
+t6 as (select * replace (case when id_column_1 % 70 < 2 then id_column_1 // 70 else id_column_1 end as id_column_1) from bridge)"""
+
+
+def _repeated(name: str, table: str, keys: str, where: str = "true") -> str:
+    known = " and ".join(f"{k} is not null" for k in keys.split(", "))
+    return f"select '{name}' as rule, count(*) as violations from (select {keys} from {table} where {known} and {where} group by {keys} having count(*) > 1)"
+
+
+def _failing(name: str, table: str, failing: str) -> str:
+    return f"select '{name}', count(*) from {table} where {failing}"
+
+
+def _orphans(name: str, table: str, column: str, parent: str) -> str:
+    return f"select '{name}', count(distinct {column}) from {table} where {column} not in (select id_column_1 from {parent})"
+
+
+_RULES = [
+    *[_repeated(f"table{i} primary key", f"t{i}", "id_column_1") for i in range(1, 7)],
+    *[_failing(f"table{i} primary key set", f"t{i}", "id_column_1 is null") for i in range(1, 7)],
+    _repeated("table1 source row unique", "t1", "id_column_3"),
+    _failing("table1 source row set", "t1", "id_column_3 is null"),
+    _orphans("table1 reference", "t1", "id_column_4", "t3"),
+    _repeated("table2 position unique", "t2", "id_column_2, integer_column_1"),
+    _failing("table2 set", "t2", "id_column_2 is null or integer_column_1 is null"),
+    _failing("table2 kind", "t2", "text_column_1 not in ('X', 'Y', 'Z')"),
+    _repeated("table5 one per fact", "t5", "id_column_2", "id_column_3 is null"),
+    _repeated("table5 other id", "t5", "id_column_3"),
+    _repeated("table6 pair unique", "t6", "id_column_2, id_column_3"),
+    _orphans("table6 code", "t6", "id_column_3", "t4"),
+    *[_orphans(f"table{i} fact", f"t{i}", "id_column_2", "t1") for i in (2, 5, 6)],
+    *[_failing(f"table{i} fact set", f"t{i}", "id_column_2 is null") for i in (2, 5, 6)],
+]
+
+
+def _broken(tables):
+    t1, t2, t3, t4, t5, t6 = (tables[f"table{i}"] for i in range(1, 7))
+    key, ref = F.col("id_column_1"), F.col("id_column_2")
+    source_row = F.when(key % 89 == 0, None).when(key % 83 == 0, -1).otherwise(F.col("id_column_3"))
+    return {
+        "table1": t1.where(key % 97 != 0).withColumn("id_column_3", source_row),
+        "table2": t2.withColumn("text_column_1", F.when(key % 41 == 0, "Q").otherwise(F.col("text_column_1"))).union(
+            t2.where(key % 50 == 0)
+        ),
+        "table3": t3.where(key > 1),
+        "table4": t4.where(key != 5),
+        "table5": t5.withColumn("id_column_2", F.when(key % 13 != 0, ref)).withColumn(
+            "id_column_3", F.when(key % 10 == 0, 7).cast("bigint")
+        ),
+        "table6": t6.withColumn("id_column_1", F.when(key % 70 < 2, F.call_function("div", key, F.lit(70))).otherwise(key)),
+    }
+
+
+def _published(spark, sf, parts=2):
+    records = materialize(testbed.raw(spark, sf), "records")
+    run = resume.Run(spark, scratch_path(spark, "job"), "public.raw_data", ["group001", "group002", "group003"], parts)
+    run.execute(records)
+    return records, run
+
+
+@reg.query(oracle("\nunion all ".join(_RULES), _BROKEN))
+def star_checks(spark, sf):
+    """A published run end to end, then its tables with rows broken by key."""
+    _, run = _published(spark, sf)
+    return resume.star_problems(_broken(run.tables()))
+
+
+_CHANGED = (
+    RAW_CTE.replace("base as (", "base0 as (", 1)
+    + """,
+base as (
+  select * replace (case when raw_id * 5 <= (select max(raw_id) from base0) then '' else text_column_3 end as text_column_3)
+  from base0)"""
+    + STAR_CTE[len(RAW_CTE) :]
+)
+_STAR_TABLES = {"table1": "fact", "table2": "slots", "table3": "dim3", "table4": "dim4", "table5": "measure", "table6": "bridge"}
+
+
 @reg.query(
-    oracle(
-        "select rule, 0 as violations from (select unnest(["
-        + ", ".join(
-            f"'{r}'"
-            for r in [
-                *[f"{t} primary key" for t in expand.RUN_ORDER],
-                "table1 source row unique",
-                "table1 source row set",
-                "table1 reference",
-                "table2 position unique",
-                "table2 set",
-                "table2 kind",
-                "table5 one per fact",
-                "table5 other id",
-                "table6 pair unique",
-                "table6 code",
-                *[f"{t} {r}" for t in ("table2", "table5", "table6") for r in ("fact", "fact set")],
-            ]
-        )
-        + "]) as rule)"
+    "with " + _CHANGED + "\n"
+    + "\nunion all ".join(
+        f"select '{name}' as table_name, count(*) as row_count, cast(coalesce(sum(id_column_1), 0) as bigint) as key_sum, "
+        f"2 as versions, 1 as restaged from {cte}"
+        for name, cte in _STAR_TABLES.items()
     )
 )
-def star_checks(spark, sf):
-    """A published run end to end: staged by ranges, written, checked, registered."""
-    records = materialize(testbed.raw(spark, sf), "records")
-    run = resume.Run(spark, scratch_path(spark, "job"), "public.raw_data", ["group001", "group002", "group003"], parts=2)
-    run.execute(records)
-    return resume.star_problems(run.tables())
+def rerun_changed_payload(spark, sf):
+    """Run, blank one header in the first fifth of the rows, run again: one of four ranges is staged anew."""
+    records, run = _published(spark, sf, parts=4)
+    last = records.agg(F.max("raw_id")).first()[0]
+    blank = F.regexp_replace("raw", '"text_column_3":"[^"]*"', '"text_column_3":""')
+    changed = materialize(records.withColumn("raw", F.when(F.col("raw_id") * 5 <= last, blank).otherwise(F.col("raw"))), "changed")
+    restaged = sum(not p.reuse for p in run.survey(changed).parts)
+    run.execute(changed)
+    versions = run._versions().groupBy("table_name").agg(F.count(F.lit(1)).cast("int").alias("versions"))
+    counted = staging.union_parts(
+        [
+            df.agg(F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum("id_column_1"), F.lit(0)).cast("bigint").alias("key_sum"))
+            .select(F.lit(name).alias("table_name"), "row_count", "key_sum")
+            for name, df in run.tables().items()
+        ]
+    )
+    return counted.join(versions, "table_name").withColumn("restaged", F.lit(restaged))

@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from rawstar.operators import compare, versions
+from rawstar.operators import compare, rules, versions
 from rawstar.plans import expand, resume
 from rawstar.sources import files, raw, snapshots
 from rawstar.streaming import ingest
@@ -129,23 +129,51 @@ def test_interrupted_run_keeps_complete_parts(spark, tmp_path):
     source = raw_table(spark, *RAW)
     whole = resume.Run(spark, str(tmp_path / "one"), "raw", ["g0", "g1"], parts=4)
     assert whole.execute(source) == 6
-    run = resume.Run(spark, str(tmp_path / "two"), "raw", ["g0", "g1"], parts=4)
+    run = resume.Run(spark, str(tmp_path / "two"), "raw", ["g0", "g1"], parts=4, wave=1)
     with pytest.raises(InterruptedError):
         run.stage(source, stop_after=2)
     with pytest.raises(ValueError, match="not published"):
         run.tables()
     # A part that lost rows after its checkpoint is written again, the other is kept.
-    part0, part1 = (tmp_path / "two" / "staging" / run.job / f"part={i}" for i in (0, 1))
+    part0, part1 = (tmp_path / "two" / "staging" / run.request / f"part={i}" for i in (0, 1))
     spark.read.parquet(str(part1)).limit(3).write.mode("overwrite").parquet(str(tmp_path / "cut"))
     spark.read.parquet(str(tmp_path / "cut")).write.mode("overwrite").parquet(str(part1))
-    kept = (part0 / "_SUCCESS").stat().st_mtime_ns
-    plan = {r.part: (r.rows, r.found, r.reuse) for r in run.plan([(1, 10), (11, 20), (21, 30), (31, 40)]).collect()}
-    assert plan == {0: (10, 10, True), 1: (10, 3, False)}
+    files = {f.name for f in part0.iterdir()}
+    plan = {p.part: (p.rows, p.found, p.reuse) for p in run.survey(source).parts}
+    assert plan == {0: (10, 10, True), 1: (10, 3, False), 2: (10, None, False), 3: (10, None, False)}
     assert run.execute(source) == 6
-    assert (part0 / "_SUCCESS").stat().st_mtime_ns == kept
+    assert {f.name for f in part0.iterdir()} == files
     assert digests(run.tables()) == digests(whole.tables()) == digests(expand.plan_star(source).tables)
 
 
+def test_only_changed_ranges_are_staged_again(spark, tmp_path):
+    rows = [raw_row(i, schema="g0", text_column_3="AB", **slot(1, "1")) for i in range(1, 41)]
+    run = resume.Run(spark, str(tmp_path), "raw", ["g0"], parts=4)
+    assert run.execute(raw_table(spark, *rows)) == 6
+
+    def stale(table):
+        return {p.part for p in run.survey(table).parts if not p.reuse}
+
+    # The payload alone decides: id, hash, tab and batch stay as they are.
+    rows[14] = raw_row(15, schema="g0", text_column_3="", **slot(1, "1"))
+    changed = raw_table(spark, *rows)
+    assert stale(changed) == {1}
+    assert run.execute(changed) == 6 and run.execute(changed) == 0
+    assert digests(run.tables()) == digests(expand.plan_star(changed).tables)
+    # Further ids are further ranges, also below the first; a range that lost all rows is left out.
+    grown = [raw_row(-3, schema="g0", **slot(1, "1")), *rows[:20], *rows[30:], raw_row(41, schema="g0"), raw_row(90, schema="g0")]
+    grown_table = raw_table(spark, *grown)
+    assert stale(grown_table) == {-1, 4, 8}
+    assert run.execute(grown_table) == 6
+    assert digests(run.tables()) == digests(expand.plan_star(grown_table).tables)
+
+
+def test_a_row_listed_twice_changes_the_fingerprint(spark):
+    one, twice = raw_table(spark, RAW[0], RAW[1]), raw_table(spark, RAW[0], RAW[1], RAW[1], RAW[1])
+    marks = [resume.fingerprints(t, resume.Ranges(1, 10)).first() for t in (one, twice)]
+    assert marks[0].mark != marks[1].mark and [m.rows for m in marks] == [2, 4]
+
+
 def test_lost_registration_is_made_up_without_new_rows(spark, tmp_path, monkeypatch):
     source = raw_table(spark, *RAW)
     run = resume.Run(spark, str(tmp_path), "raw", ["g0", "g1"], parts=2)
@@ -205,3 +233,38 @@ def test_violations_are_found(spark):
     tables["table3"] = tables["table3"].limit(0)
     found = {r.rule: r.violations for r in resume.star_problems(tables).where("violations > 0").collect()}
     assert found["table2 position unique"] == 1 and "table1 reference" in found
+
+
+def test_rules_count_every_kind_of_violation(spark, rows):
+    parent = spark.createDataFrame([(1, "a"), (2, "a"), (2, "b"), (None, "c")], "id long, name string")
+    child = spark.createDataFrame(
+        [(1, 1, "x"), (2, 9, "x"), (3, 9, None), (3, None, "y"), (4, 8, "z")], "id int, parent_id int, kind string"
+    )
+    found = rules.violations(
+        {"parent": parent, "child": child, "empty": parent.limit(0)},
+        [
+            rules.Unique("parent id", "parent", ("id",)),
+            rules.Unique("parent name", "parent", ("name",)),
+            rules.Unique("pair", "parent", ("id", "name")),
+            rules.Unique("some", "parent", ("name",), "id > 1"),
+            rules.not_null("set", "parent", "id"),
+            rules.Reference("fk", "child", ("parent_id",), "parent", ("id",)),
+            rules.Reference("fk id", "child", ("id",), "parent", ("id",)),
+            rules.Reference("fk none", "child", ("id",), "empty", ("id",)),
+            rules.RowTest("kind", "child", "kind <> 'x'"),
+        ],
+    )
+    assert rows(found) == [
+        ("fk", 2), ("fk id", 2), ("fk none", 4), ("kind", 2), ("pair", 0), ("parent id", 1), ("parent name", 1), ("set", 1), ("some", 0),
+    ]
+    with pytest.raises(ValueError, match="types"):
+        rules.violations({"parent": parent, "child": child}, [rules.Reference("fk", "child", ("kind",), "parent", ("id",))])
+
+
+def test_star_rules_need_one_shuffle_of_keys(spark):
+    tables = {
+        name: spark.createDataFrame([], df.schema)
+        for name, df in expand.plan_star(raw_table(spark, *RAW)).tables.items()
+    }
+    text = resume.star_problems(tables)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") <= 10
