@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from rawstar import testbed
 from rawstar.catalog.registry import Registry
 from rawstar.operators import manifest
-from rawstar.plans import staging
+from rawstar.plans import importing, staging
 from rawstar.session import materialize, scratch_path
 from rawstar.sources import files, raw, snapshots
 from rawstar.testbed import LINES_CTE, oracle, table
@@ -15,30 +15,95 @@ from rawstar.testbed import LINES_CTE, oracle, table
 reg = Registry()
 
 
-@reg.query(
-    oracle(
-        """select file_key, row_no, coalesce(c1, '') as c1, coalesce(c2, '') as c2, coalesce(c3, '') as c3,
-  false as has_overflow from ln""",
-        LINES_CTE,
-    )
-)
-def scan_text_rows(spark, sf):
+_SPACES = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def _line_files(spark, sf):
+    """The lines as one CSV file for each file key, in the order of their numbers."""
     path = scratch_path(spark, "csv")
-    lines = testbed.lines(spark, sf).select(
-        F.col("file_key").alias("folder"), "file_key", "row_no", *[F.col("values")[i].alias(f"c{i + 1}") for i in range(3)]
-    )
-    spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    lines.write.partitionBy("folder").csv(path, emptyValue="", quoteAll=True, **spaces)
-    scanned = files.scan_delimited(spark, path, 5, recursiveFileLookup=True, **spaces)
+    cells = [F.col("values")[i].alias(f"c{i + 1}") for i in range(3)]
+    lines = testbed.lines(spark, sf).repartition("file_key").sortWithinPartitions("file_key", "row_no")
+    written = lines.select("file_key", *cells).write.partitionBy("file_key")
+    written.csv(path, emptyValue="", quoteAll=True, **_SPACES)
+    return path
+
+
+def _file_key(path="file_path"):
+    return F.regexp_extract(path, "file_key=([^/]+)/", 1)
+
+
+# What the files hold: lines numbered by their place, cells as they are written.
+_FILES_CTE = f"""{LINES_CTE},
+fl as (
+  select file_key, row_number() over (partition by file_key order by row_no) as row_no,
+    coalesce(c1, '') as c1, coalesce(c2, '') as c2, coalesce(c3, '') as c3,
+    array_to_string(list_transform([c1, c2, c3], lambda v: '"' || coalesce(v, '') || '"'), ',') as line
+  from ln)"""
+
+
+@reg.query(oracle("select file_key, row_no, c1, c2, c3, false as has_overflow from fl", _FILES_CTE))
+def scan_text_rows(spark, sf):
+    scanned = files.scan_lines(spark, _line_files(spark, sf), 5, recursiveFileLookup=True, **_SPACES)
     cells = F.col("values")
     return scanned.select(
-        cells[0].alias("file_key"),
-        cells[1].cast("bigint").alias("row_no"),
-        *[F.coalesce(cells[i + 1], F.lit("")).alias(f"c{i}") for i in (1, 2, 3)],
+        _file_key().alias("file_key"),
+        "row_no",
+        *[F.coalesce(cells[i - 1], F.lit("")).alias(f"c{i}") for i in (1, 2, 3)],
         F.col("overflow").isNotNull().alias("has_overflow"),
     )
 
 
+# Two levels of sixteen hold the files of the smallest scale; a level over one digest changes nothing.
+_HASH_CTE = f"""{_FILES_CTE},
+h0 as (select file_key, row_no - 1 as i, sha256(line) as d from fl),
+{", ".join(f"""h{k + 1} as (
+  select file_key, i // 16 as i, case when count(*) = 1 and i // 16 = 0 and min(i) = 0 then any_value(d)
+    else sha256(string_agg(d, '' order by i)) end as d from h{k} group by file_key, i // 16)""" for k in range(6))}"""
+
+
+@reg.query(
+    oracle(
+        "select file_key, d as file_hash, line_count from h6 join (select file_key, count(*) as line_count from fl group by 1) using (file_key)",
+        _HASH_CTE,
+    )
+)
+def file_digests(spark, sf):
+    """Hash trees of sixteen lines a node, so that a file has several levels."""
+    lines = files.numbered_text(spark, _line_files(spark, sf), recursiveFileLookup=True)
+    return files.line_digests(lines, fanout=16).select(_file_key().alias("file_key"), "file_hash", "line_count")
+
+
+_IMPORT_CTE = f"""{_FILES_CTE},
+cl as (select file_key, row_no, c1, c2, c3, trim(c1) as a, trim(c2) as b, trim(c3) as c from fl),
+hd as (
+  select file_key, min(row_no) as hr, min_by(a, row_no) as ha, min_by(b, row_no) as hb, min_by(c, row_no) as hc
+  from cl where a <> '' and b <> '' and c <> '' group by file_key),
+kept as (
+  select file_key, row_no, c1, c2, c3, ha, hb, hc from cl join hd using (file_key)
+  where row_no <> hr and not (a = ha and b = hb and c = hc) and not (a = '' and b = '' and c = ''))"""
+
+
+@reg.query(
+    oracle(
+        """select row_number() over (order by file_key, row_no) as raw_id, file_key, 'group001' as raw_schema, 'b1' as batch,
+  cast(json_object('values', json_object(ha, c1, hb, c2, hc, c3)) as varchar) as raw, '0000' as version_code,
+  (select count(*) from kept) as row_count, (select count(*) from hd) as file_count
+from kept""",
+        _IMPORT_CTE,
+    )
+)
+def import_files(spark, sf):
+    """Files to raw table: numbered lines, suggested headers and noise, ids, batch, snapshot, version."""
+    importer = importing.Importer(spark, scratch_path(spark, "import"), "public.raw_data")
+    options = {"recursiveFileLookup": True, **_SPACES}
+    importer.add(_line_files(spark, sf), "group001", "b1", 3, **options)
+    hashes = materialize(files.line_digests(files.numbered_text(spark, _line_files(spark, sf), recursiveFileLookup=True)), "hashes")
+    keys = hashes.select(_file_key().alias("file_key"), F.col("file_hash").alias("raw_hash"))
+    version = importer.versions().select("raw_schema", "batch", "version_code", "row_count", "file_count")
+    rows = importer.rows().join(keys, "raw_hash").join(version, ["raw_schema", "batch"])
+    return rows.select("raw_id", "file_key", "raw_schema", "batch", "raw", "version_code", "row_count", "file_count")
+
+
 @reg.query(
     """select doc_id, cast(i as integer) as row_no, line, 'data.items' as json_data_path from (
   select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as i

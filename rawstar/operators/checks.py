@@ -74,41 +74,32 @@ def inclusion_profile(
 ) -> DataFrame:
     """For each (child, parent) column pair: distinct child values, and how many the parent has.
 
-    A pair with nothing missing is a foreign-key candidate. All pairs share one
-    join on the value: values are made distinct per column before it, so no
-    value has more rows than there are columns.
+    A pair with nothing missing is a foreign-key candidate. All pairs share one grouping by
+    value, which gives the set of columns that hold it. Values of
+    the same set are counted together before any pair is formed, so pairs are as many as
+    distinct sets, not as values.
     """
-
-    def melted(columns: dict[str, tuple[DataFrame, str]], label: str) -> DataFrame:
-        parts = [
-            df.where(F.col(c).isNotNull()).select(F.lit(name).alias(label), F.col(c).cast("string").alias("value"))
-            for name, (df, c) in columns.items()
-        ]
-        return reduce(DataFrame.unionByName, parts).distinct()
-
-    values = melted(children, "child")
-    known = melted(parents, "parent").groupBy("value").agg(F.collect_list("parent").alias("parents"))
-    tagged = values.join(known, "value", "left")
-    names = F.array(*[F.lit(p) for p in parents])
-    return (
-        tagged.select(
-            "child",
-            F.explode(
-                F.transform(
-                    names,
-                    lambda p: F.struct(
-                        p.alias("parent"),
-                        F.coalesce(F.array_contains("parents", p), F.lit(False)).alias("found"),
-                    ),
-                )
-            ).alias("pair"),
-        )
-        .groupBy("child", F.col("pair.parent").alias("parent"))
-        .agg(
-            F.count(F.lit(1)).alias("distinct_values"),
-            F.count_if("pair.found").alias("matched"),
-            F.count_if(~F.col("pair.found")).alias("missing"),
-        )
+    numbers = {name: i for i, name in enumerate([*(f"c:{c}" for c in children), *(f"p:{p}" for p in parents)])}
+    columns = {f"c:{n}": d for n, d in children.items()} | {f"p:{n}": d for n, d in parents.items()}
+    parts = [
+        df.where(F.col(c).isNotNull()).select(F.lit(numbers[n]).alias("column"), F.col(c).cast("string").alias("value"))
+        for n, (df, c) in columns.items()
+    ]
+    # At most one number for each column, however often it holds the value.
+    holders = F.array_sort(F.collect_set("column"))
+    sets = reduce(DataFrame.unionByName, parts).groupBy("value").agg(holders.alias("holders"))
+    counted = sets.groupBy("holders").agg(F.count(F.lit(1)).alias("n"))
+    own = F.array(*[F.struct(F.lit(c).alias("child"), F.lit(numbers[f"c:{c}"]).alias("number")) for c in children])
+    other = F.array(*[F.struct(F.lit(p).alias("parent"), F.lit(numbers[f"p:{p}"]).alias("number")) for p in parents])
+    pairs = (
+        counted.select("n", "holders", F.explode(F.filter(own, lambda c: F.array_contains("holders", c["number"]))).alias("c"))
+        .select("n", "holders", F.col("c.child").alias("child"), F.explode(other).alias("p"))
+        .select("n", "child", F.col("p.parent").alias("parent"), F.array_contains("holders", F.col("p.number")).alias("found"))
+    )
+    return pairs.groupBy("child", "parent").agg(
+        F.sum("n").alias("distinct_values"),
+        F.coalesce(F.sum(F.when(F.col("found"), F.col("n"))), F.lit(0)).alias("matched"),
+        F.coalesce(F.sum(F.when(~F.col("found"), F.col("n"))), F.lit(0)).alias("missing"),
     )
 
 

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rawstar.operators.skew import lookup_join
+from rawstar.session import materialize
 
+# Rows of a file that meet row ranges together.
+BUCKET = 1024
 LINE_KEY = ["file_key", "row_no"]
 
 
@@ -29,11 +32,12 @@ def first_lines(lines: DataFrame, files: DataFrame) -> DataFrame:
     )
 
 
-def require_first_lines(lines: DataFrame, files: DataFrame) -> None:
-    """Fail and name the files without a line 1. Reads file names only."""
-    missing = first_lines(lines, files).where(~F.col("has_header")).agg(F.sort_array(F.collect_set("file_key"))).first()[0]
-    if missing:
-        raise ValueError(f"no first line in: {', '.join(missing)}")
+def require_first_lines(lines: DataFrame, files: DataFrame, named: int = 20) -> None:
+    """Fail with the number of files without a line 1 and the first few names."""
+    missing = first_lines(lines, files).where(~F.col("has_header")).select("file_key")
+    first = [r.file_key for r in missing.orderBy("file_key").limit(named).collect()]
+    if first:
+        raise ValueError(f"no first line in {missing.count()} files: {', '.join(first)}")
 
 
 def header_consistency(headers: DataFrame, files: DataFrame) -> DataFrame:
@@ -74,17 +78,41 @@ def drop_marked(lines: DataFrame, headers: DataFrame, noise: DataFrame) -> DataF
     return lines.join(marks, LINE_KEY, "left_anti")
 
 
-def select_ranges(lines: DataFrame, ranges: DataFrame) -> DataFrame:
+def merged_ranges(ranges: DataFrame) -> DataFrame:
+    """(file_key, lo, hi): the same lines by disjoint ranges; reversed ranges hold none."""
+    by_file = Window.partitionBy("file_key").orderBy("lo", "hi")
+    reach = F.max("hi").over(by_file.rowsBetween(Window.unboundedPreceding, -1))
+    apart = (F.col("lo") > F.coalesce(reach + 1, F.col("lo") - 1)).cast("int")
+    held = ranges.select("file_key", "lo", "hi").where("lo <= hi").withColumn("_apart", apart)
+    island = F.sum("_apart").over(by_file.rowsBetween(Window.unboundedPreceding, 0))
+    merged = held.withColumn("_island", island).groupBy("file_key", "_island")
+    return merged.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("_island")
+
+
+def select_ranges(lines: DataFrame, ranges: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """Lines inside the (file_key, lo, hi) row ranges; overlapping ranges give a line once.
 
-    Ranges are gathered per file, so the range test is an equality lookup on the
-    file that also holds when one file has most of the lines.
+    Merged ranges are cut at multiples of ``bucket`` rows and met by equality on (file,
+    bucket). A bucket that one range covers is told by two numbers; only in a bucket that
+    ranges cut, a line is tested against the pieces there, fewer than ``bucket``.
     """
-    wanted = ranges.groupBy("file_key").agg(F.collect_set(F.struct("lo", "hi")).alias("_ranges"))
+    number = lambda c: F.call_function("div", F.col(c) - F.pmod(F.col(c), F.lit(bucket)), F.lit(bucket))
+    pieces = merged_ranges(ranges).withColumn("_bucket", F.explode(F.sequence(number("lo"), number("hi"))))
+    pieces = pieces.select(
+        "file_key",
+        "_bucket",
+        F.greatest("lo", F.col("_bucket") * bucket).alias("lo"),
+        F.least("hi", F.col("_bucket") * bucket + bucket - 1).alias("hi"),
+    )
+    wanted = pieces.groupBy("file_key", "_bucket").agg(
+        F.sum(F.col("hi") - F.col("lo") + 1).alias("_rows"), F.collect_list(F.struct("lo", "hi")).alias("_pieces")
+    )
+    wanted = wanted.withColumn("_pieces", F.when(F.col("_rows") < bucket, F.col("_pieces"))).drop("_rows")
+    inside = F.exists("_pieces", lambda r: F.col("row_no").between(r["lo"], r["hi"]))
     return (
-        lookup_join(lines, wanted, ["file_key"])
-        .where(F.exists("_ranges", lambda r: F.col("row_no").between(r["lo"], r["hi"])))
-        .drop("_ranges")
+        lookup_join(lines.withColumn("_bucket", number("row_no")), materialize(wanted, "range-buckets"), ["file_key", "_bucket"])
+        .where(F.col("_pieces").isNull() | inside)
+        .select(*lines.columns)
     )
 
 
