@@ -2,7 +2,7 @@
 
 Every line is read with its number in its file. The review suggests a header for each file and
 noise lines (``review.candidates``); the caller may pass its own marks. Each file's cells are named
-by its own header. Kept lines get consecutive ids in the order (file, line); only line
+by its own header, further cells by their place. Kept lines get consecutive ids in the order (file, line); only line
 numbers are shuffled for that, not payloads, as long as the table of line chunks is small.
 
 Layout under ``base``: ``raw`` (the raw table, by batch label and import), ``snapshots``
@@ -32,11 +32,14 @@ VERSION_SCHEMA = (
 CHUNK = 4096
 
 
-def named_headers(headers: DataFrame) -> DataFrame:
-    """(file_key, names): trimmed header cells, blank ones named by place, repeats refused."""
-    trimmed = review.trimmed(F.col("values"))
-    names = F.transform(trimmed, lambda v, i: F.when(v == "", F.concat(F.lit("column_"), (i + 1).cast("string"))).otherwise(v))
-    named = headers.select("file_key", names.alias("names"))
+def named_headers(headers: DataFrame, lines: DataFrame) -> DataFrame:
+    """(file_key, names): trimmed header cells as far as a line of the file has a cell; blank ones
+    are named by place, repeats refused."""
+    last = F.array_max(F.transform("values", lambda v, i: F.when(v.isNotNull(), i + 1)))
+    widths = lines.groupBy("file_key").agg(F.max(last).alias("width"))
+    cells = F.slice(review.trimmed(F.col("values")), F.lit(1), F.col("width"))
+    names = F.transform(cells, lambda v, i: F.when(v == "", F.concat(F.lit("column_"), (i + 1).cast("string"))).otherwise(v))
+    named = headers.join(widths, "file_key").select("file_key", names.alias("names"))
     repeats = F.size(F.array_distinct("names")) < F.size("names")
     return named.withColumn(
         "names", F.when(repeats, F.raise_error(F.concat(F.lit("the header repeats a name in "), F.col("file_key")))).otherwise(F.col("names"))
@@ -44,11 +47,9 @@ def named_headers(headers: DataFrame) -> DataFrame:
 
 
 def payload(names: Column, values: Column) -> Column:
-    """Cells under their header names as JSON; a missing cell is empty text, cells beyond the header are refused."""
+    """Cells under their header names as JSON; a missing cell is empty text."""
     cells = F.transform(names, lambda n, i: F.coalesce(F.get(values, i), F.lit("")))
-    beyond = F.exists(F.slice(values, F.size(names) + 1, F.greatest(F.size(values), F.lit(1))), lambda v: v.isNotNull())
-    checked = F.when(beyond, F.raise_error(F.lit("a line has more cells than its header"))).otherwise(F.map_from_arrays(names, cells))
-    return F.to_json(F.struct(checked.alias("values")))
+    return F.to_json(F.struct(F.map_from_arrays(names, cells).alias("values")))
 
 
 def reviewed(lines: DataFrame, marks: DataFrame | None = None) -> DataFrame:
@@ -135,7 +136,7 @@ class Importer:
         found = reviewed(lines, marks)
         headers = lines.join(found.where("candidate = 'header'"), review.LINE_KEY, "left_semi")
         hashes = files.line_digests(lines.withColumnRenamed("file_key", "file_path")).withColumnRenamed("file_path", "file_key")
-        by_file = materialize(named_headers(headers).join(hashes, "file_key").withColumn("tab", F.regexp_extract("file_key", r"([^/]+)$", 1)), "files")
+        by_file = materialize(named_headers(headers, lines).join(hashes, "file_key").withColumn("tab", F.regexp_extract("file_key", r"([^/]+)$", 1)), "files")
         kept = lookup_join(lines.drop("value"), found.select(*review.LINE_KEY), review.LINE_KEY, "left_anti")
         first = self._next_id()
         records = lookup_join(numbered(kept, lines, first), by_file, ["file_key"]).select(
