@@ -63,12 +63,17 @@ def conv_datetime(spark, sf):
     _typed(
         """select row_key, try_cast(nullif(trim(count_text), '') as integer) as as_integer,
   try_cast(nullif(trim(count_text), '') as bigint) as as_bigint,
-  cast(try_cast(nullif(trim(number_text), '') as decimal(33,15)) as decimal(18,2)) as as_numeric from t"""
+  cast(try_cast(nullif(trim(number_text), '') as decimal(33,15)) as decimal(18,2)) as as_numeric,
+  case when row_key % 3 <> 0 then cast(concat(row_key, '.', repeat('7', 15)) as decimal(33,15)) end as as_exact from t"""
     )
 )
 def conv_numeric(spark, sf):
+    # 16 digits are one too many, 15 fit, and zeros after them are no digits.
+    ending = F.element_at(F.array(F.lit("6"), F.lit(""), F.lit("000000")), (F.col("row_key") % 3 + 1).cast("int"))
+    long_text = F.concat(F.lit(" "), F.col("row_key").cast("string"), F.lit("." + "7" * 15), ending, F.lit(" "))
     return testbed.typed_text(spark, sf).select(
         "row_key",
+        convert.convert(long_text, "numeric").alias("as_exact"),
         convert.convert(F.col("count_text"), "int4").alias("as_integer"),
         convert.convert(F.col("count_text"), "bigint").alias("as_bigint"),
         convert.convert(F.col("number_text"), "numeric").cast("decimal(18,2)").alias("as_numeric"),

@@ -36,32 +36,18 @@ def multivalue_keys(spark, sf):
     return payload.multivalue_keys(testbed.raw_list(spark, sf))
 
 
-_PART = 1000
-
-
 @reg.query(
     oracle(
-        f"""select status as group_key, cast(part as integer) as part,
-  max(case when h = 'owner' then js end) as owner, max(case when h = 'priority' then js end) as priority
-from (
-  select status, h, part, case when count(*) = 1 and part = 0 then any_value(v)
-    else cast(to_json(list(v order by pos)) as varchar) end as js
-  from (
-    select status, h, v, pos, (pos - 1) // {_PART} as part from (
-      select status, 'owner' as h, owner as v, row_number() over (partition by status order by raw_id) as pos from ro
-      union all
-      select status, 'priority', priority, row_number() over (partition by status order by first, priority)
-      from (select status, priority, min(raw_id) as first from ro group by status, priority)))
-  group by status, h, part)
-group by status, part""",
+        """select status as group_key, 'owner' as header, owner as value,
+  row_number() over (partition by status order by raw_id) as position from ro where owner is not null
+union all select status, 'priority', priority, row_number() over (partition by status order by first)
+from (select status, priority, min(raw_id) as first from ro where priority is not null group by status, priority)
+union all select status, null, null, null from ro group by status having count(owner) = 0 and count(priority) = 0""",
         RAW_ORDERS_CTE,
     )
 )
 def group_rows(spark, sf):
-    grouped = payload.group_rows(testbed.raw_orders(spark, sf), "status", ["priority"], ["owner"], list_part=_PART)
-    return grouped.select(
-        "group_key", "part", field_text("raw", "owner").alias("owner"), field_text("raw", "priority").alias("priority")
-    )
+    return payload.group_rows(testbed.raw_orders(spark, sf), "status", ["owner"])
 
 
 @reg.query(
@@ -122,16 +108,18 @@ def expand_first_item(spark, sf):
 
 
 @reg.query(
-    """with c as (select l_orderkey as parent_key, l_linenumber as line,
-    row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_returnflag) as pos
-  from lineitem),
-p as (select l_orderkey, l_partkey, l_returnflag,
-    row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_returnflag) as pos from lineitem)
-select parent_key, line, p.l_partkey as part, concat('flag-', lower(p.l_returnflag)) as flag, 'kept' as note
-from c join p on p.l_orderkey = c.parent_key and p.pos = c.pos"""
+    """with p as (select l_orderkey, l_linenumber, l_partkey, l_returnflag,
+    row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_returnflag) as pos from lineitem),
+c as (select l_orderkey as parent_key, l_linenumber as line, row_number() over (partition by l_orderkey order by l_linenumber) as pos
+  from lineitem where l_orderkey % 5 <> 0 or l_linenumber <= 2)
+select coalesce(parent_key, l_orderkey) as parent_key, line, p.l_partkey as part,
+  concat('flag-', lower(p.l_returnflag)) as flag, case when parent_key is not null then 'kept' end as note
+from c full join p on p.l_orderkey = c.parent_key and p.pos = c.pos"""
 )
 def expand_child(spark, sf):
-    child = table(spark, sf, "lineitem").select(
+    """A fifth of the orders have child rows for their first two lines only."""
+    lines = table(spark, sf, "lineitem").where("l_orderkey % 5 <> 0 or l_linenumber <= 2")
+    child = lines.select(
         F.col("l_orderkey").alias("parent_key"),
         F.col("l_linenumber").alias("line"),
         F.lit(None).cast("bigint").alias("part"),
@@ -203,7 +191,10 @@ def json_profile(spark, sf):
     )
 
 
-_SUMMARIES = {"nation": ["n_nationkey", "n_name", "n_regionkey"], "orders": ["o_orderkey", "o_custkey", "o_orderstatus"]}
+_SUMMARIES = {
+    "nation": ["n_nationkey", "n_name", "n_regionkey"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+}
 
 
 @reg.query(
@@ -215,7 +206,8 @@ _SUMMARIES = {"nation": ["n_nationkey", "n_name", "n_regionkey"], "orders": ["o_
     )
 )
 def table_summary(spark, sf):
-    parts = [profile.columns_summary(table(spark, sf, t).select(*cs), t) for t, cs in _SUMMARIES.items()]
+    """All columns of both tables, in their order."""
+    parts = [profile.columns_summary(table(spark, sf, t), t) for t in _SUMMARIES]
     return parts[0].unionByName(parts[1])
 
 

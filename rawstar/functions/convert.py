@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rawstar.functions.fields import trim_to_null
+from rawstar.functions.fields import fits, trim_to_null
 
 # Default word lists and default formats.
 TRUE_WORDS = ["true", "t", "1", "sim", "s", "yes", "y"]
@@ -128,4 +128,8 @@ def convert(
     if kind == "uuid":
         text = F.lower(F.btrim(value))
         return F.when(text.rlike(UUID_PATTERN), text)
-    return trim_to_null(value).try_cast(SPARK_TYPES[kind])
+    text = trim_to_null(value)
+    if kind == "numeric":
+        # Text with more digits than the type holds does not convert: no digit is lost silently.
+        text = F.when(fits(text, SPARK_TYPES[kind]), text)
+    return text.try_cast(SPARK_TYPES[kind])

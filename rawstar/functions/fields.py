@@ -21,17 +21,55 @@ def trim_to_null(value: Column) -> Column:
     return F.nullif(F.btrim(value), F.lit(""))
 
 
+# A number's fraction digits without trailing zeros, and its exponent.
+_FRACTION = "^[^.eE]*[.]([0-9]*?)0*([eE].*)?[ ]*$"
+_EXPONENT = "[eE]([-+]?[0-9]+)[ ]*$"
+
+
+def _scale(type_name: str) -> int:
+    return int(type_name.rstrip(") ").split(",")[1]) if "," in type_name else 0
+
+
+def fits_sql(path: str, type_name: str) -> str:
+    """``fits`` as SQL text."""
+    scale = _scale(type_name)
+    digits = f"length(regexp_extract({path}, '{_FRACTION}', 1))"
+    moved = f"coalesce(try_cast(regexp_extract({path}, '{_EXPONENT}', 1) AS int), 0)"
+    # Short text cannot have too many digits: the patterns are for the rare long one.
+    return f"(length({path}) <= {scale} AND NOT contains(lower({path}), 'e') OR {digits} - {moved} <= {scale})"
+
+
+def fits(value: Column, type_name: str) -> Column:
+    """Whether a number's text keeps all its digits in a decimal type; an exponent moves the written digits."""
+    scale = _scale(type_name)
+    short = (F.length(value) <= scale) & ~F.contains(F.lower(value), F.lit("e"))
+    digits = F.length(F.regexp_extract(value, _FRACTION, 1))
+    moved = F.coalesce(F.regexp_extract(value, _EXPONENT, 1).try_cast("int"), F.lit(0))
+    return short | (digits - moved <= scale)
+
+
 def typed(value: Column, type_name: str) -> Column:
     """Blank text is NULL, any other text must cast or the job fails.
 
-    The cast itself ignores surrounding spaces, so the text is not trimmed twice.
+    The cast itself ignores surrounding spaces, so the text is not trimmed twice. A number
+    that would lose digits in a decimal type fails the job too.
     """
+    if type_name.startswith("decimal"):
+        lost = F.raise_error(F.concat(F.lit("digits would be lost: "), value))
+        value = F.when(value.isNull() | fits(value, type_name), value).otherwise(lost)
     return F.when(F.btrim(value) != "", value.cast(type_name))
 
 
 def typed_sql(path: str, type_name: str) -> str:
-    """``typed`` as SQL text; wide tables are planned much faster from text."""
-    return f"CASE WHEN btrim({path}) <> '' THEN CAST({path} AS {type_name}) END"
+    """``typed`` as SQL text; wide tables are planned much faster from text.
+
+    A number that would lose digits fails the job too.
+    """
+    value = f"CAST({path} AS {type_name})"
+    if type_name.startswith("decimal"):
+        lost = f"concat('digits would be lost: ', {path})"
+        value = f"CASE WHEN {fits_sql(path, type_name)} THEN {value} ELSE raise_error({lost}) END"
+    return f"CASE WHEN btrim({path}) <> '' THEN {value} END"
 
 
 def quoted(name: str) -> str:

@@ -20,8 +20,6 @@ from rawstar.functions.names import MAX_NAME
 from rawstar.operators.numbering import group_positions
 
 FAIL_SUFFIX = "_fail"
-# Values per output row of a grouped list; longer lists go on in further rows.
-LIST_PART = 10_000
 
 
 def _values(raw: Column) -> Column:
@@ -55,81 +53,52 @@ def multivalue_keys(raw_table: DataFrame) -> DataFrame:
     )
 
 
-def _json_list(values: Column, alone: Column) -> Column:
-    """JSON text of a list, or of its only value."""
-    text = F.to_json(values)
-    return F.when(alone, _unwrapped(text)).otherwise(text)
-
-
-def _unwrapped(text: Column) -> Column:
-    """JSON list text without its outer brackets."""
-    return F.substring(text, F.lit(2), F.length(text) - 2)
-
-
-def grouped_cells(
-    raw_table: DataFrame, key_header: str, unique_headers: Sequence[str], all_headers: Sequence[str]
-) -> DataFrame:
-    """(group_key, header, position, value) of every list of every group.
-
-    The scale form of ``group_rows``: a group of any size stays spread out.
-    """
-    headers = [*unique_headers, *all_headers]
-    if len(set(headers)) != len(headers) or key_header in headers:
-        raise ValueError("a header may have only one role")
-    parsed = raw_table.select(
-        "raw_id", F.from_json("raw", "struct<values: map<string,string>>", {"mode": "FAILFAST"})["values"].alias("m")
+def _texts(value: Column) -> Column:
+    """The items of a list, or the value itself, as text: strings bare, other values as JSON; null items stay null."""
+    items = F.when(_is_list(value), value.cast("array<variant>")).otherwise(F.array(value))
+    return F.transform(
+        items,
+        lambda v: F.when(~F.is_variant_null(v), F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string")).otherwise(F.to_json(v))),
     )
-    cells = parsed.select(
-        "raw_id",
-        F.try_element_at("m", F.lit(key_header)).alias("group_key"),
-        F.explode(
-            F.array(*[F.struct(F.lit(h).alias("header"), F.try_element_at("m", F.lit(h)).alias("value")) for h in headers])
-        ).alias("cell"),
-    ).select("raw_id", "group_key", "cell.header", "cell.value")
-    cells = cells.where(F.col("value").isNotNull())
-    # Repeats are removed map-side before anything is ordered.
-    unique = (
-        cells.where(F.col("header").isin(list(unique_headers)))
-        .groupBy("group_key", "header", "value")
-        .agg(F.min("raw_id").alias("raw_id"))
-    )
-    every = cells.where(F.col("header").isin(list(all_headers))).select("group_key", "header", "value", "raw_id")
-    return group_positions(
-        unique.unionByName(every), ["group_key", "header"], ["raw_id", "value"], "position"
-    ).drop("raw_id")
 
 
 def group_rows(
     raw_table: DataFrame,
     key_header: str,
-    unique_headers: Sequence[str],
-    all_headers: Sequence[str],
-    list_part: int = LIST_PART,
+    all_headers: Sequence[str] = (),
+    unique_headers: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One payload per group: lists of unique values, or of all values, of the other headers.
+    """(group_key, header, position, value): the lists of every group, one row for each value.
 
-    A list longer than ``list_part`` goes on in rows with part 1, 2, ...; nothing
-    is cut, and no row or task holds a whole huge group.
+    Headers in ``all_headers`` list all values, the others the unique ones; without
+    ``unique_headers`` that is every other header met. A list value adds its items. Values stand
+    in the order of their (first) ``raw_id``. A key without any value has one row, whose
+    header, position and value are NULL. The form is the same for groups of any size, and
+    a group is never in one row or task.
     """
-    cells = grouped_cells(raw_table, key_header, unique_headers, all_headers)
-    part = F.floor((F.col("position") - 1) / list_part).cast("int")
-    lists = (
-        cells.withColumn("part", part)
-        .groupBy("group_key", "part", "header")
-        .agg(F.transform(F.sort_array(F.collect_list(F.struct("position", "value"))), lambda e: e["value"]).alias("list"))
-    )
-    alone = (F.size("list") == 1) & (F.col("part") == 0)
-    entry = F.concat(F.lit('"'), F.col("header"), F.lit('":'), _json_list(F.col("list"), alone))
-    quoted_key = _unwrapped(F.to_json(F.array("group_key")))
-    return (
-        lists.groupBy("group_key", "part")
-        .agg(F.array_join(F.sort_array(F.collect_list(entry)), ",").alias("entries"))
-        .select(
-            "group_key",
-            "part",
-            F.concat(F.lit(f'{{"values":{{"{key_header}":'), quoted_key, F.lit(","), "entries", F.lit("}}")).alias("raw"),
-        )
-    )
+    named = [*(unique_headers or ()), *all_headers]
+    if len(set(named)) != len(named) or key_header in named:
+        raise ValueError("a header may have only one role")
+    values = raw_table.select("raw_id", _values(F.col("raw")).cast("map<string,variant>").alias("m"))
+    key = _texts(F.try_element_at("m", F.lit(key_header)))
+    listed = values.select("raw_id", F.get(key, F.lit(0)).alias("group_key"), F.map_filter("m", lambda k, _: k != key_header).alias("m"))
+    cells = listed.select("raw_id", "group_key", F.explode("m").alias("header", "v"))
+    if unique_headers is not None:
+        cells = cells.where(F.col("header").isin(named))
+    cells = cells.select("raw_id", "group_key", "header", F.posexplode(_texts(F.col("v"))).alias("item", "value"))
+    cells = cells.where(F.col("value").isNotNull())
+    is_all = F.col("header").isin(list(all_headers)) if all_headers else F.lit(False)
+    place = F.struct("raw_id", "item")
+    # Repeats are removed map-side before anything is ordered.
+    unique = cells.where(~is_all).groupBy("group_key", "header", "value").agg(F.min(place).alias("place"))
+    every = cells.where(is_all).select("group_key", "header", "value", place.alias("place"))
+    placed = group_positions(unique.unionByName(every), ["group_key", "header"], ["place", "value"], "position")
+    placed = placed.select("group_key", "header", "position", "value")
+    used = placed.select(F.col("group_key").alias("_used")).distinct()
+    keys = listed.select("group_key").distinct()
+    alone = keys.join(used, keys["group_key"].eqNullSafe(used["_used"]), "left_anti")
+    none = [F.lit(None).cast(placed.schema[c].dataType).alias(c) for c in ("header", "position", "value")]
+    return placed.unionByName(alone.select("group_key", *none))
 
 
 def group_columns(raw_table: DataFrame, groups: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
@@ -223,7 +192,8 @@ def expand_child(
     """Child rows with columns filled from the parent's lists, paired by position.
 
     The n-th child row of a key (in ``child_order``) takes the n-th list items; a
-    column keeps its old value where the parent has none.
+    column keeps its old value where the parent has none. Items beyond the child rows
+    become further child rows, whose other columns are NULL. Two parents of one key are refused.
     """
     for names in ([m.raw_key for m in mappings], [m.column for m in mappings]):
         if len(set(names)) != len(names):
@@ -238,7 +208,11 @@ def expand_child(
         )
 
     zipped = F.arrays_zip(*[texts(m.raw_key).alias(f"t{i}") for i, m in enumerate(mappings)])
-    lists = raw_table.select(parent_key.alias("_key"), zipped.alias("_z")).select("_key", F.posexplode("_z").alias("_p", "_e"))
+    parents = raw_table.select(parent_key.alias("_key"), zipped.alias("_z")).where(F.col("_key").isNotNull())
+    twice = parents.groupBy("_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"{twice[0].n} parents have the key {twice[0]['_key']}")
+    lists = parents.select("_key", F.posexplode("_z").alias("_p", "_e"))
     lists = lists.select(
         "_key",
         (F.col("_p") + 1).cast("bigint").alias("_position"),
@@ -249,12 +223,16 @@ def expand_child(
             lists = convert_by_sql(lists, F.col(f"_t{i}"), f"_n{i}", m.sql, m.type_name)
         else:
             lists = lists.withColumn(f"_n{i}", convert.convert(F.col(f"_t{i}"), m.type_name, **m.options))
+    filled = F.lit(False)
+    for i in range(len(mappings)):
+        filled = filled | F.col(f"_n{i}").isNotNull()
+    lists = lists.where(filled).drop(*[f"_t{i}" for i in range(len(mappings))]).withColumnRenamed("_position", "_at")
     placed = group_positions(child, [child_key], child_order, "_position")
-    joined = placed.join(
-        lists.withColumnRenamed("_key", child_key), [child_key, "_position"], "left"
-    )
-    new = {m.column: F.coalesce(F.col(f"_n{i}"), F.col(m.column)) for i, m in enumerate(mappings)}
-    return joined.select(*[new.get(c, F.col(c)).alias(c) for c in child.columns])
+    same = (placed[child_key] == lists["_key"]) & (placed["_position"] == lists["_at"])
+    joined = placed.join(lists, same, "full_outer")
+    new = {m.column: F.coalesce(F.col(f"_n{i}"), placed[m.column]) for i, m in enumerate(mappings)}
+    new[child_key] = F.coalesce(placed[child_key], F.col("_key"))
+    return joined.select(*[new.get(c, placed[c]).cast(child.schema[c].dataType).alias(c) for c in child.columns])
 
 
 def add_columns(df: DataFrame, columns: dict[str, str]) -> DataFrame:

@@ -250,20 +250,25 @@ LIST_CTE = """lists as (
   from lineitem group by l_orderkey)"""
 
 
+# Some orders have no header but their status, and a status of their own.
+_BARE = "o_orderkey % 1009 = 5"
+_STATUS = f"case when o_orderkey % 19 = 0 then null when {_BARE} then 'bare' else o_orderstatus end"
+
+
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Small payload per order; only three statuses, so groups by status are huge."""
-    status = "case when o_orderkey % 19 = 0 then null else o_orderstatus end"
     return spark.sql(
         f"""select o_orderkey + 1 as raw_id, to_json(struct(struct(
-              {status} as status, o_orderpriority as priority, cast(o_custkey as string) as owner
+              {_STATUS} as status, case when {_BARE} then null else o_orderpriority end as priority,
+              case when {_BARE} then null else cast(o_custkey as string) end as owner
             ) as values)) as raw from {{orders}}""",
         orders=table(spark, sf_dir, "orders"),
     )
 
 
-RAW_ORDERS_CTE = """ro as (select o_orderkey + 1 as raw_id,
-  case when o_orderkey % 19 = 0 then null else o_orderstatus end as status,
-  o_orderpriority as priority, cast(o_custkey as varchar) as owner from orders)"""
+RAW_ORDERS_CTE = f"""ro as (select o_orderkey + 1 as raw_id, {_STATUS} as status,
+  case when {_BARE} then null else o_orderpriority end as priority,
+  case when {_BARE} then null else cast(o_custkey as varchar) end as owner from orders)"""
 
 
 # ---- scanned lines ---------------------------------------------------------

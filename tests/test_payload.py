@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from rawstar.functions import convert, names
+from rawstar.functions import convert, fields, names
 from rawstar.operators import payload, profile
 
 
@@ -30,30 +30,58 @@ ROWS = [
 ]
 
 
+def grouped(df, *args, **options):
+    got = {}
+    for r in payload.group_rows(df, *args, **options).collect():
+        got.setdefault(r.group_key, {}).setdefault(r.header, []).append((r.position, r.value))
+    for lists in got.values():
+        for header, found in lists.items():
+            found.sort(key=str if header is None else None)
+            if header is not None:
+                assert [p for p, _ in found] == list(range(1, len(found) + 1))
+                lists[header] = [v for _, v in found]
+    return got
+
+
 def test_group_rows_lists(spark):
-    got = values(payload.group_rows(raw(spark, *ROWS), "k", ["u"], ["x"]), "group_key", "part")
-    assert got == {
-        ("a", 0): {"k": "a", "u": ["1", "2"], "x": ["p", "p", ""]},
-        ("b", 0): {"k": "b", "u": "3", "x": 'q"\n'},
-        (None, 0): {"k": None, "u": "9", "x": "z"},
+    assert grouped(raw(spark, *ROWS), "k", ["x"], ["u"]) == {
+        "a": {"u": ["1", "2"], "x": ["p", "p", ""]},
+        "b": {"u": ["3"], "x": ['q"\n']},
+        None: {"u": ["9"], "x": ["z"]},
+    }
+
+
+def test_every_header_gets_a_role_and_every_key_stays(spark):
+    rows = [
+        {"k": "a", 'h"1': "v", "n": 5, "list": ["p", "q", "p"]},
+        {"k": "a", "list": ["q", None, "r"], "o": {"z": [1]}},
+        {"k": "only"},
+        {"k": "nulls", "u": None, "list": []},
+        {},
+        {"k": 'quo"te', 'h"1': 'w"'},
+    ]
+    df = raw(spark, *rows)
+    none = {None: [(None, None)]}
+    assert grouped(df, "k", ["list"]) == {
+        "a": {'h"1': ["v"], "n": ["5"], "list": ["p", "q", "p", "q", "r"], "o": ['{"z":[1]}']},
+        "only": none,
+        "nulls": none,
+        None: none,
+        'quo"te': {'h"1': ['w"']},
     }
+    assert grouped(df, "k", unique_headers=["list"])["a"] == {"list": ["p", "q", "r"]}
 
 
-def test_long_lists_go_on_in_further_rows(spark):
-    many = [{"k": "a", "u": str(i % 3), "x": str(i)} for i in range(25)]
-    got = values(payload.group_rows(raw(spark, *many), "k", ["u"], ["x"], list_part=10), "part")
-    assert [v for p in (0, 1, 2) for v in got[(p,)]["x"]] == [str(i) for i in range(25)]
-    assert got[(0,)]["u"] == ["0", "1", "2"] and "u" not in got[(1,)]
-    # The rest of a split list stays a list even when one value is left.
-    got = values(payload.group_rows(raw(spark, *many[:11]), "k", [], ["x"], list_part=10), "part")
-    assert got[(1,)]["x"] == ["10"]
+def test_group_rows_has_one_form_at_every_size(spark):
+    many = [{"k": "a", "u": str(i % 3), "x": str(i)} for i in range(3000)]
+    assert grouped(raw(spark, *many), "k", ["x"]) == {"a": {"u": ["0", "1", "2"], "x": [str(i) for i in range(3000)]}}
 
 
 def test_group_rows_roles_are_exclusive(spark):
     with pytest.raises(ValueError):
-        payload.grouped_cells(raw(spark, *ROWS), "k", ["u"], ["u"])
+        payload.group_rows(raw(spark, *ROWS), "k", ["u"], ["u"])
     with pytest.raises(ValueError):
-        payload.grouped_cells(raw(spark, *ROWS), "k", ["k"], [])
+        payload.group_rows(raw(spark, *ROWS), "k", ["k"])
 
 
 def test_group_columns_order_and_removal(spark):
@@ -110,6 +138,45 @@ def test_expand_child_pairs_by_position(spark, rows):
         payload.expand_child(parents, F.lit(1), child, "pid", ["line"], [payload.ChildValue("v", "v")] * 2)
 
 
+def test_items_beyond_the_child_rows_become_rows(spark, rows):
+    parents = raw(spark, {"id": "10", "v": ["1", "2", "3"]}, {"id": "40", "v": ["7", "bad"]}, {"v": ["9"]})
+    child = spark.createDataFrame([(10, 1, None, "old"), (None, 1, 5, "x")], "pid int, line int, v int, t string")
+    key = F.get_json_object("raw", "$.values.id").cast("int")
+    got = payload.expand_child(parents, key, child, "pid", ["line"], [payload.ChildValue("v", "v", "integer")])
+    assert rows(got) == rows(
+        spark.createDataFrame(
+            [(10, 1, 1, "old"), (10, None, 2, None), (10, None, 3, None), (40, None, 7, None), (None, 1, 5, "x")],
+            "pid int, line int, v int, t string",
+        )
+    )
+    twice = raw(spark, {"id": "10", "v": ["1"]}, {"id": "10", "v": ["2"]})
+    with pytest.raises(ValueError, match="2 parents have the key 10"):
+        payload.expand_child(twice, key, child, "pid", ["line"], [payload.ChildValue("v", "v", "integer")])
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("1.12345678901234567", None), ("1.123456789012345", "1.123456789012345"), ("-0.5" + "0" * 30, "-0.500000000000000"),
+        (" 12 ", "12.000000000000000"), ("1e-15", "0.000000000000001"), ("1e-16", None), ("1.5E3", "1500.000000000000000"),
+        ("123456789012345678", "123456789012345678.000000000000000"), ("1234567890123456789", None), ("x", None), ("", None),
+        (".1234567890123456", None), ("12345678901234567.5", "12345678901234567.500000000000000"),
+    ],
+)
+def test_numbers_keep_all_digits_or_fail(spark, text, want):
+    df = raw(spark, {"n": text})
+    got = payload.expand_key(df, "n", "v", "numeric").first()
+    assert (None if got.v is None else f"{got.v:f}", got.v_fail) == (want, text if want is None and text else None)
+    typed = fields.typed(F.get_json_object("raw", "$.values.n"), "decimal(33,15)")
+    staged = F.expr(fields.typed_sql("get_json_object(raw, '$.values.n')", "decimal(33,15)"))
+    for column in (typed, staged):
+        if want is None and text:
+            with pytest.raises(Exception, match="digits would be lost|CAST_INVALID|NUMERIC_VALUE_OUT"):
+                df.select(column).collect()
+        else:
+            assert df.select(column.alias("v")).first().v == got.v
+
+
 def test_add_and_drop_columns(spark):
     df = spark.createDataFrame([(1, "x")], "id int, raw_note string")
     got = payload.add_columns(df, {"n": "numeric", "d": "timestamptz"})
