@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rawstar.catalog.registry import Registry
-from rawstar.operators import facets
-from rawstar.session import materialize
+from rawstar.operators import facet_store, facets
+from rawstar.session import materialize, scratch_path
 from rawstar.testbed import table
 
 reg = Registry()
@@ -81,6 +81,33 @@ def facet_rows(spark, sf):
     return rows.withColumn("numeric_value", F.col("numeric_value").cast("decimal(18,2)"))
 
 
+@reg.query(
+    """with o as (
+  select case when o_custkey % 8 = 3 and o_orderkey % 5 = 0 then 'X' else o_orderstatus end as o_orderstatus,
+    case when o_orderkey % 11 = 0 then null else o_orderpriority end as o_orderpriority from orders)
+select column_name, v is null as is_null, coalesce(v, '') as value_text, count(*) as row_count, 1 as recounted from (
+  select 'o_orderstatus' as column_name, o_orderstatus as v from o union all select 'o_orderpriority', o_orderpriority from o)
+group by column_name, v"""
+)
+def facet_counts_kept(spark, sf):
+    """Counts of a table of eight partitions; one is written anew, and only that one is counted again."""
+    source = scratch_path(spark, "partitioned")
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey",
+        "o_orderstatus",
+        F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderpriority")).alias("o_orderpriority"),
+        (F.col("o_custkey") % 8).alias("part_no"),
+    )
+    orders.write.partitionBy("part_no").parquet(source)
+    store = facet_store.FacetStore(spark, scratch_path(spark, "facets"), source, "part_no", ("o_orderstatus", "o_orderpriority"))
+    store.refresh()
+    status = F.when(F.col("o_orderkey") % 5 == 0, "X").otherwise(F.col("o_orderstatus"))
+    changed = orders.where("part_no = 3").withColumn("o_orderstatus", status)
+    changed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part_no").parquet(source)
+    recounted = store.refresh().count()
+    return store.counts().drop("numeric_value").withColumn("recounted", F.lit(recounted))
+
+
 @reg.query(
     _CTE
     + f"""select column_name, v is null as is_null, coalesce(v, '') as value_text,

@@ -158,3 +158,17 @@ def resolve_chain(spark, sf):
         F.col("p_partkey").alias("child"), F.expr("p_partkey div 2").alias("parent")
     )
     return versions.resolve_chain(edges)
+
+
+# Three keys of every fifty form a cycle; others may lead into one.
+_CYCLES = """select p_partkey as child, case when p_partkey % 50 in (0, 1) then p_partkey + 1
+  when p_partkey % 50 = 2 then p_partkey - 2 else p_partkey // 2 end as parent from part where p_partkey >= 10"""
+
+
+@reg.query(
+    f"""with e as ({_CYCLES})
+select a.child as member from e a join e b on b.child = a.parent join e c on c.child = b.parent where c.parent = a.child"""
+)
+def chain_cycles(spark, sf):
+    edges = spark.sql(_CYCLES.replace("//", "div").replace("from part", "from {part}"), part=table(spark, sf, "part"))
+    return versions.cycle_members(edges)

@@ -93,22 +93,54 @@ def upsert(stored: DataFrame, new: DataFrame, keys: list[str], order: str | None
     )
 
 
-def resolve_chain(edges: DataFrame) -> DataFrame:
-    """(child, root): follow child -> parent to the end, for all nodes at once.
+def _follow(edges: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(child, at) of the children whose chain ends at ``at``, and of those whose chain never ends.
 
-    Pointer jumping: every round doubles the distance followed, so a chain of
-    length n takes log2(n) rounds. A cycle never ends and is reported. Many nodes
-    may point at one parent; the lookup join splits such hot parents off.
+    Pointer jumping: every round doubles the distance followed, so a chain of length n
+    takes log2(n) rounds. A child whose end is known leaves the loop: it is stored once,
+    and later rounds only look it up. Many nodes may point at one parent; the lookup join
+    splits such hot parents off.
     """
     if not unique_violations(edges, ["child"]).isEmpty():
         raise ValueError("a child has more than one parent")
-    state = materialize(edges.select("child", F.col("parent").alias("at"), F.lit(False).alias("done")), "chain")
-    for _ in range(max(state.count(), 1).bit_length() + 1):
-        jump = state.select(F.col("child").alias("at"), F.col("at").alias("next"))
-        open_ = lookup_join(state.where("not done"), jump, ["at"], "left").select(
-            "child", F.coalesce("next", "at").alias("at"), F.col("next").isNull().alias("done")
-        )
-        state = materialize(state.where("done").unionByName(open_), "chain")
-        if state.where("not done").isEmpty():
-            return state.select("child", F.col("at").alias("root"))
-    raise ValueError("the relationships contain a cycle")
+    open_ = materialize(edges.select("child", F.col("parent").alias("at")), "chain")
+    ended = None
+    for _ in range(max(open_.count(), 1).bit_length() + 1):
+        known = open_.select(F.col("child").alias("at"), F.col("at").alias("next"), F.lit(False).alias("ends"))
+        if ended is not None:
+            known = known.unionByName(ended.select(F.col("child").alias("at"), F.col("at").alias("next"), F.lit(True).alias("ends")))
+        met = lookup_join(open_, known, ["at"], "left")
+        met = materialize(met.select("child", F.coalesce("next", "at").alias("at"), F.coalesce("ends", F.lit(True)).alias("ends")), "chain")
+        new = met.where("ends").drop("ends")
+        ended = new if ended is None else ended.unionByName(new)
+        open_ = met.where("not ends").drop("ends")
+        if open_.isEmpty():
+            return ended, None
+    return ended, open_
+
+
+def resolve_chain(edges: DataFrame) -> DataFrame:
+    """(child, root): follow child -> parent to the end, for all nodes at once. A cycle never ends and is an error."""
+    ended, endless = _follow(edges)
+    if endless is not None:
+        members = endless.select("at").distinct()
+        first = [str(r["at"]) for r in members.orderBy("at").limit(20).collect()]
+        raise ValueError(f"the relationships contain a cycle: {members.count()} members, first {', '.join(first)}")
+    return ended.select("child", F.col("at").alias("root"))
+
+
+def cycle_members(edges: DataFrame) -> DataFrame:
+    """(member) of every cycle of child -> parent; children that only lead into one are not members.
+
+    A chain followed for more steps than there are edges stands on its cycle, and the
+    members of a cycle, all followed equally far, stand on all of its members.
+    """
+    endless = _follow(edges)[1]
+    if endless is None:
+        return edges.select(F.col("child").alias("member")).limit(0)
+    return endless.select(F.col("at").alias("member")).distinct()
+
+
+def chain_ends(edges: DataFrame) -> DataFrame:
+    """(child, root) of the children whose chain ends; those that lead into a cycle are left out."""
+    return _follow(edges)[0].select("child", F.col("at").alias("root"))
