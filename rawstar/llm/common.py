@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawstar.session import scratch_path
+from rawstar.session import scratch_path, shuffle_width
 
 SPACES = b" \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
@@ -77,8 +77,20 @@ def store(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def store_bucketed(df: DataFrame, key: str, label: str) -> tuple[DataFrame, str]:
+    """``store`` in buckets of ``key``, as many as there are shuffle partitions: grouping by ``key``
+    later, or joining by it, moves the other side only. The name of the table is its folder's."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    writer = df.write.format("parquet").option("path", path).option("compression", "zstd")
+    writer.bucketBy(shuffle_width(spark), key).saveAsTable(name)
+    return spark.table(name), path
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a scratch table that only finished, stored steps have read."""
+    spark.sql(f"DROP TABLE IF EXISTS {path.rsplit('/', 1)[1].replace('-', '_')}")
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
     release(spark)

@@ -13,9 +13,11 @@ class. Inside a shape of n tokens and v words a word seen c times has probabilit
 Each Baum-Welch round gives expected counts from every training token. Those of own words are a
 table in hash buckets: a block sends the counts of its words, a bucket adds them up and answers
 each block with its words' sums, which are joined to the block in the next round. The driver holds
-the shapes, the transitions and one total for each state. For the counts alone, sequences are cut into
-pieces of ``PIECE`` tokens that begin with the states' overall shares. Scores come from the
-scaled forward recursion over each whole text: the exact log10 likelihood.
+the shapes, the transitions and one total for each state. Counts and scores are over whole
+texts; scores are the exact log10 likelihood by the scaled forward recursion.
+
+The sequences are stored once, in buckets of blocks, and never shuffled: a round moves only
+the blocks' word counts and weights.
 
 A null text is empty: only the end. Rows that repeat count each time. Without training
 documents every class is equally likely. An empty table gives no rows.
@@ -33,12 +35,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rawstar.llm.common import as_bytes, by_weight, discard, mix, odd_multipliers, release, short_batches, store
-from rawstar.session import materialize
+from rawstar.llm.common import as_bytes, by_weight, discard, mix, odd_multipliers, release, short_batches, store, store_bucketed
 
-STATES, ROUNDS, PIECE, PSEUDO = 8, 6, 128, 0.01
+STATES, ROUNDS, PSEUDO = 8, 6, 0.01
 OWN, SHAPES = 20, 1024
-# Tokens whose messages are held at once.
+# Tokens whose messages a task holds at once.
 PART = 300_000
 # Bytes of text in a block, and words of all lists in a hash bucket.
 BLOCK_BYTES = 24 << 20
@@ -173,7 +174,7 @@ def _total(states: int):
                 "block": pa.array(table.column("block").to_pylist() + none * (u + 1), pa.int64()),
                 "words": pa.array([x.tobytes() for x in lists] + none * (u + 1), pa.binary()),
                 "totals": pa.array([total[x].astype("<i8").tobytes() for x in numbers] + none * (u + 1), pa.binary()),
-                "weights": pa.array([weights[place[x[own[x]]]].tobytes() for x in numbers] + none * (u + 1), pa.binary()),
+                "weights": pa.array([weights[place[x[own[x]]]].astype("<f4").tobytes() for x in numbers] + none * (u + 1), pa.binary()),
                 # After the shapes, a row for the own words.
                 "shape": pa.array(none * a + used.tolist() + [SHAPES], pa.int32()),
                 "n": pa.array(none * a + n[used].tolist() + [int(total[own].sum())], pa.int64()),
@@ -248,14 +249,13 @@ def _prepare(vocabulary: Vocabulary):
 @dataclass
 class Model:
     start: np.ndarray
-    share: np.ndarray
     move: np.ndarray
     emit: np.ndarray  # (class, state)
     total: np.ndarray | None = None  # of all weights, by state
 
     def of_block(self, weights: np.ndarray) -> Model:
         """The model with the own words of a block as further classes."""
-        return Model(self.start, self.share, self.move, np.concatenate([self.emit, weights / self.total]))
+        return Model(self.start, self.move, np.concatenate([self.emit, weights / self.total]))
 
 
 @dataclass
@@ -272,50 +272,80 @@ def first_model(counts: np.ndarray, own: np.ndarray) -> Model:
     total = emit.sum(0) + own
     move = np.full((states, states), 0.2 / states) + 0.8 * np.eye(states)
     even = np.full(states, 1 / states)
-    return Model(even, even, move, emit / total, total)
-
-
-def expected_counts(model: Model, sequences: list[np.ndarray], piece: int = PIECE):
-    """Baum-Welch counts: (class, state), (state, state), first states, and the log likelihood."""
-    s = len(model.start)
-    emitted = np.zeros((len(model.emit), s))
-    moved, started, log_likelihood = np.zeros((s, s)), np.zeros(s), 0.0
-    parts = [(x[a : a + piece], a == 0) for x in sequences for a in range(0, len(x), piece)]
-    parts.sort(key=lambda p: -len(p[0]))
-    for group in (parts[a : a + 2048] for a in range(0, len(parts), 2048)):
-        longest = len(group[0][0])
-        lengths = np.array([len(p) for p, _ in group])
-        classes = np.zeros((longest, len(group)), np.int64)
-        for i, (p, _) in enumerate(group):
-            classes[: len(p), i] = p
-        active = [int((lengths > t).sum()) for t in range(longest)]
-        chance = model.emit[classes]
-        alpha = np.empty_like(chance)
-        scale = np.ones((longest, len(group)))
-        first = np.array([f for _, f in group])
-        ahead = np.where(first[:, None], model.start, model.share)
-        for t in range(longest):
-            n = active[t]
-            now = ahead[:n] * chance[t, :n]
-            scale[t, :n] = now.sum(1)
-            alpha[t, :n] = now / scale[t, :n, None]
-            ahead = alpha[t, :n] @ model.move
-        log_likelihood += float(np.log(scale).sum())
-        beta = np.ones((len(group), s))
-        for t in range(longest - 1, -1, -1):
-            n = active[t]
-            gamma = alpha[t, :n] * beta[:n]
-            alpha[t, :n] = gamma
+    return Model(even, move, emit / total, total)
+
+
+def _side_by_side(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sequences' order, longest first; how many still run at each step; and their symbols step by step."""
+    lengths = np.array([len(x) for x in sequences])
+    order = np.argsort(-lengths, kind="stable")
+    active = np.searchsorted(-lengths[order], -np.arange(1, lengths.max(initial=0) + 1), side="right")
+    begins = np.append(0, np.cumsum(active))
+    symbols = np.empty(begins[-1], np.int64)
+    for i, which in enumerate(order):
+        symbols[begins[: lengths[which]] + i] = sequences[which]
+    return order, active, symbols
+
+
+def expected_counts(model: Model, sequences: list[np.ndarray], cells: int = PART):
+    """Baum-Welch counts of whole sequences: (class, state), (state, state), first states, and the log likelihood.
+
+    All sequences run side by side. Messages are held for about ``cells`` symbols: the forward
+    pass keeps what enters each stretch of steps, and the backward pass goes through the
+    stretches from the last to the first, computing each one's forward messages again.
+    """
+    s, move, emit = len(model.start), model.move, model.emit
+    emitted, moved, started, log_likelihood = np.zeros((len(emit), s)), np.zeros((s, s)), np.zeros(s), 0.0
+    _, active, symbols = _side_by_side([x for x in sequences if len(x)])
+    if not len(active):
+        return emitted, moved, started, log_likelihood
+    begins = np.append(0, np.cumsum(active))
+    stretches, at = [], 0
+    while at < len(active):
+        upto = max(at + 1, int(np.searchsorted(begins, begins[at] + cells, side="right")) - 1)
+        stretches.append((at, upto))
+        at = upto
+
+    def forward(first: int, upto: int, before: np.ndarray | None):
+        """Chances, scaled messages and scales of the steps, one row for each symbol."""
+        base = begins[first]
+        chance = emit[symbols[base : begins[upto]]]
+        alpha, scale = np.empty_like(chance), np.empty(len(chance))
+        for t in range(first, upto):
+            a, b = begins[t] - base, begins[t + 1] - base
+            now = chance[a:b] * (model.start if before is None else before[: b - a] @ move)
+            scale[a:b] = level = now.sum(1)
+            before = alpha[a:b] = now / level[:, None]
+        return chance, alpha, scale
+
+    entering, kept = [], None
+    before = None
+    for first, upto in stretches:
+        entering.append(before)
+        kept = forward(first, upto, before)
+        log_likelihood += float(np.log(kept[2]).sum())
+        before = kept[1][begins[upto - 1] - begins[first] :].copy()
+    beta = np.ones((active[0], s))
+    for (first, upto), before in zip(reversed(stretches), reversed(entering)):
+        chance, alpha, scale = kept or forward(first, upto, before)
+        kept, base = None, begins[first]
+        chance /= scale[:, None]
+        gamma = np.empty_like(alpha)
+        for t in range(upto - 1, first - 1, -1):
+            a, b = begins[t] - base, begins[t + 1] - base
+            here = beta[: b - a]
+            gamma[a:b] = alpha[a:b] * here
             if t:
-                back = chance[t, :n] * beta[:n] / scale[t, :n, None]
-                moved += model.move * (alpha[t - 1, :n].T @ back)
-                beta[:n] = back @ model.move.T
+                earlier = alpha[begins[t - 1] - base : a] if t > first else before
+                back = chance[a:b] * here
+                moved += earlier[: b - a].T @ back
+                beta[: b - a] = back @ move.T
             else:
-                started += gamma[first[:n]].sum(0)
-        met = np.arange(longest)[:, None] < lengths
+                started += gamma[a:b].sum(0)
+        own = symbols[base : begins[upto]]
         for k in range(s):
-            emitted[:, k] += np.bincount(classes[met], weights=alpha[..., k][met], minlength=len(emitted))
-    return emitted, moved, started, log_likelihood
+            emitted[:, k] += np.bincount(own, weights=gamma[:, k], minlength=len(emitted))
+    return emitted, moved * move, started, log_likelihood
 
 
 def _block(left, right, states: int) -> tuple[np.ndarray, np.ndarray, pa.Table]:
@@ -324,7 +354,7 @@ def _block(left, right, states: int) -> tuple[np.ndarray, np.ndarray, pa.Table]:
     words = np.frombuffer(left.filter(is_list).column("own")[0].as_py(), "<u8")
     order = np.argsort(np.asarray(right.column("bucket"))) if right.num_rows else []
     weights = b"".join(right.column("weights")[int(i)].as_py() for i in order)
-    return words, np.frombuffer(weights, "<f8").reshape(len(words), states), left.filter(pc.invert(is_list))
+    return words, np.frombuffer(weights, "<f4").reshape(len(words), states).astype(float), left.filter(pc.invert(is_list))
 
 
 def _count(model: Model, buckets: int):
@@ -334,11 +364,8 @@ def _count(model: Model, buckets: int):
     def run(left, right):
         words, weights, rows = _block(left, right, states)
         block, here = left.column("block")[0].as_py(), model.of_block(weights)
-        total = np.zeros_like(here.emit), np.zeros((states, states)), np.zeros(states), 0.0
         texts = [np.frombuffer(x, "<u4") for x in rows.column("classes").to_pylist()]
-        for part in by_weight(texts, len, PART):
-            total = tuple(a + b for a, b in zip(total, expected_counts(here, part)))
-        emitted, moved, started, likelihood = total
+        emitted, moved, started, likelihood = expected_counts(here, texts)
         shared, own = emitted[: 1 + SHAPES], emitted[1 + SHAPES :]
         sums = np.concatenate([shared, moved, started[None], np.full((1, states), likelihood / states), own.sum(0)[None]])
         at = np.flatnonzero(sums.any(1))
@@ -349,7 +376,7 @@ def _count(model: Model, buckets: int):
                 "bucket": pa.array(bucket.tolist() + none * u, pa.int32()),
                 "block": pa.array([block] * a + none * u, pa.int64()),
                 "words": pa.array([words[x].tobytes() for x in slices] + none * u, pa.binary()),
-                "weights": pa.array([own[x].tobytes() for x in slices] + none * u, pa.binary()),
+                "weights": pa.array([own[x].astype("<f4").tobytes() for x in slices] + none * u, pa.binary()),
                 "at": pa.array(none * a + at.tolist(), pa.int32()),
                 "sums": pa.array(none * a + sums[at].tolist(), pa.list_(pa.float64())),
             }
@@ -363,7 +390,7 @@ def _add(states: int):
 
     def run(key, table):
         lists = [np.frombuffer(x, "<u8") for x in table.column("words").to_pylist()]
-        counts = np.frombuffer(b"".join(table.column("weights").to_pylist()), "<f8").reshape(-1, states)
+        counts = np.frombuffer(b"".join(table.column("weights").to_pylist()), "<f4").reshape(-1, states)
         _, number = np.unique(np.concatenate(lists), return_inverse=True)
         total = np.stack([np.bincount(number, weights=counts[:, k]) for k in range(states)], 1) + PSEUDO
         numbers = np.split(number, np.cumsum([len(x) for x in lists])[:-1])
@@ -371,7 +398,7 @@ def _add(states: int):
             {
                 "bucket": table.column("bucket"),
                 "block": table.column("block"),
-                "weights": pa.array([total[x].tobytes() for x in numbers], pa.binary()),
+                "weights": pa.array([total[x].astype("<f4").tobytes() for x in numbers], pa.binary()),
             }
         )
 
@@ -392,11 +419,10 @@ def train(ready: Sequences, counts: np.ndarray, rounds: int = ROUNDS) -> tuple[T
         for r in rows.collect():
             total[r["at"]] = r[1:]
         by_bucket = counted.where("bucket is not null").select("bucket", "block", "words", "weights").groupBy("bucket")
-        before = path
+        # The round's weights and their shuffle go before the next ones are made.
+        discard(spark, path)
         weights, path = store(by_bucket.applyInArrow(_add(states), WEIGHTS), "word-weights")
         discard(spark, counts_path)
-        if before != ready.path:
-            discard(spark, before)
         emitted, moved, (started, likelihood, own) = total[: len(counts)], total[len(counts) : -3], total[-3:]
         likelihoods.append(float(likelihood.sum()))
         # A pseudo count keeps every class possible in every state.
@@ -404,7 +430,6 @@ def train(ready: Sequences, counts: np.ndarray, rounds: int = ROUNDS) -> tuple[T
         share = emitted.sum(0) + own + PSEUDO * ready.own
         model = Model(
             (started + PSEUDO) / (started + PSEUDO).sum(),
-            share / share.sum(),
             (moved + PSEUDO) / (moved + PSEUDO).sum(1, keepdims=True),
             emitted / share,
             share,
@@ -414,16 +439,12 @@ def train(ready: Sequences, counts: np.ndarray, rounds: int = ROUNDS) -> tuple[T
 
 def log10_likelihoods(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
     """Scaled forward recursion over whole sequences, side by side, the longest first."""
-    lengths = np.array([len(x) for x in sequences])
-    order = np.argsort(-lengths, kind="stable")
-    flat = np.concatenate([sequences[i] for i in order]).astype(np.int64)
-    begin = np.cumsum(lengths[order]) - lengths[order]
-    ended = np.searchsorted(-lengths[order], -np.arange(1, lengths.max() + 1), side="right")
+    order, active, symbols = _side_by_side(sequences)
+    begins = np.append(0, np.cumsum(active))
     out = np.zeros(len(sequences))
     ahead = np.broadcast_to(model.start, (len(sequences), len(model.start)))
-    for t in range(lengths.max()):
-        n = ended[t]
-        now = ahead[:n] * model.emit[flat[begin[:n] + t]]
+    for t, n in enumerate(active):
+        now = ahead[:n] * model.emit[symbols[begins[t] : begins[t + 1]]]
         scale = now.sum(1)
         out[:n] += np.log10(scale)
         ahead = (now / scale[:, None]) @ model.move
@@ -450,7 +471,7 @@ def prepared(docs: DataFrame, held: Column, states: int = STATES) -> tuple[Seque
     """All documents as class sequences with their unigram scores, and the vocabulary's sizes."""
     spark = docs.sparkSession
     texts = as_bytes(docs).select("doc_id", held.alias("held_out"), "text")
-    cut, path = store(texts.mapInArrow(_cut, CUT), "word-blocks")
+    cut, path = store_bucketed(texts.mapInArrow(_cut, CUT), "block", "word-blocks")
     lists = cut.where("counts is not null")
     words = lists.agg(F.sum(F.octet_length("payload") / 8)).first()[0] or 0
     buckets = 1 + int(words) // BUCKET_WORDS
@@ -458,6 +479,7 @@ def prepared(docs: DataFrame, held: Column, states: int = STATES) -> tuple[Seque
     ends = cut.where("counts is null and not held_out").count()
     trained = cut.where("counts is null and not held_out").agg(F.sum(F.octet_length("payload") / 4)).first()[0] or 0
     answer, answers = store(asked.groupBy("bucket").applyInArrow(_total(states), ANSWER), "word-totals")
+    release(spark)
     sizes, kinds, sums = np.zeros(SHAPES + 1, np.int64), np.zeros(SHAPES + 1, np.int64), np.zeros(states)
     by_state = [F.sum(F.col("sums")[k]).alias(f"s{k}") for k in range(states)]
     for r in answer.where("shape is not null").groupBy("shape").agg(F.sum("n").alias("n"), F.sum("v").alias("v"), *by_state).collect():
@@ -469,7 +491,7 @@ def prepared(docs: DataFrame, held: Column, states: int = STATES) -> tuple[Seque
     answer = answer.where("block is not null")
     totals = answer.select("bucket", "block", "words", "totals")
     joined = cut.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(_prepare(vocabulary), READY)
-    rows = materialize(joined, "class-sequences")
+    rows, _ = store_bucketed(joined, "block", "class-sequences")
     discard(spark, path)
     return Sequences(rows, answer.select("bucket", "block", "weights"), answers, buckets, int(kinds[-1]), sums), vocabulary
 
@@ -479,8 +501,6 @@ def score(docs: DataFrame, held: Column, states: int = STATES, rounds: int = ROU
     short_batches(docs.sparkSession)
     ready, vocabulary = prepared(docs, held, states)
     trained, _ = train(ready, vocabulary.class_counts(), rounds)
-    if trained.path != ready.path:
-        discard(docs.sparkSession, ready.path)
     joined = ready.rows.groupBy("block").cogroup(trained.weights.groupBy("block"))
     scored = joined.applyInArrow(_score(trained.model), SCORED_AS)
     return scored.withColumn("train_tokens", F.lit(vocabulary.tokens).cast("long"))
