@@ -43,7 +43,7 @@ BUCKET_RUNS = 200_000
 BUCKET_BYTES = 6 << 20
 GROUP_RUNS = 200_000
 
-_FIELDS = (("digit", "<u8"), ("content", "<u8"), ("doc_id", "<i8"), ("text_hash", "<i4"), ("null", "u1"), ("start", "<i4"), ("count", "u1"))
+_FIELDS = (("digit", "<u8"), ("content", "<u8"), ("doc_id", "<i8"), ("text_hash", "<i8"), ("null", "u1"), ("start", "<i4"), ("count", "u1"))
 _ROW = sum(np.dtype(t).itemsize for _, t in _FIELDS)
 _ORDER = ("start", "text_hash", "doc_id", "known")
 PACKED = "bucket int, runs binary"
@@ -192,7 +192,7 @@ def _run_table(runs: dict[str, np.ndarray], rivals: np.ndarray) -> pa.Table:
     return pa.table(
         {
             "doc_id": pa.array(runs["doc_id"], pa.int64(), mask=runs["null"] == 1),
-            "text_hash": pa.array(runs["text_hash"].astype(np.int64)),
+            "text_hash": pa.array(runs["text_hash"]),
             "start": pa.array(runs["start"]),
             "count": pa.array((runs["count"] % TWICE).astype(np.int32)),
             "digit": pa.array(runs["digit"].view(np.int64)),
@@ -361,8 +361,7 @@ def remove_repeated_windows(docs: DataFrame, size: int = SIZE, group_runs: int =
     """For each row: n_bytes, n_removed, n_spans and ``kept`` (the bytes left)."""
     spark = docs.sparkSession
     short_batches(spark)
-    # 31 bits tell apart rows that share an id, and save half the bytes of a run.
-    texts = as_bytes(docs).withColumn("text_hash", F.col("text_hash").bitwiseAND(F.lit((1 << 31) - 1)))
+    texts = as_bytes(docs)
     length = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = 1 + int(length / (size - GRAM + 2) * 2) // BUCKET_RUNS
     stored, path = store(texts.mapInArrow(_first_pass(size, buckets), PACKED), "runs")
