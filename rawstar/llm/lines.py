@@ -180,7 +180,8 @@ def line_index(lines: DataFrame, shards: int, min_docs: int, probes: int) -> Dat
     """
     repeated = (
         lines.groupBy("h1", "h2")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper"))
+        # A row listed twice is one document.
+        .agg(F.count_distinct(F.struct(*KEY)).alias("n"), F.max("doc_id").alias("keeper"))
         .where(F.col("n") >= min_docs)
         .withColumn("shard", F.pmod("h2", F.lit(shards)).cast("int"))
     )
