@@ -69,10 +69,13 @@ def without_copies(docs: DataFrame) -> DataFrame:
     ).select(*[found[c] for c in CONTENT], F.col("keep_id").alias("_keep"), F.coalesce("_n", F.lit(1)).alias("_n"))
     keepers = materialize(keepers, "keepers")
 
+    # All columns travel in one struct, so none of them can clash with those added here.
+    whole = docs.select("doc_id", "text", F.struct("*").alias("_row"))
+
     def kept(which: DataFrame) -> DataFrame:
-        rows = _with_digest(docs).join(which.drop("_n"), CONTENT)
+        rows = _with_digest(whole).join(which.drop("_n"), CONTENT)
         return rows.where(F.col("doc_id").eqNullSafe(F.col("_keep")))
 
-    once = kept(keepers.where("_n = 1")).select(*docs.columns)
-    listed_again = kept(keepers.where("_n > 1")).dropDuplicates(CONTENT).select(*docs.columns)
-    return once.unionByName(listed_again)
+    once = kept(keepers.where("_n = 1")).select("_row.*")
+    listed_again = kept(keepers.where("_n > 1")).dropDuplicates(CONTENT).select("_row.*")
+    return once.union(listed_again)

@@ -255,7 +255,10 @@ def _postings(classes: DataFrame, matches: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
-    """For each row: doc_id, text_hash, n_shingles, component_id, kept; ``similarity`` per cent links two texts."""
+    """For each row: doc_id, text_hash, n_shingles, component_id, kept, leads; ``similarity`` per cent links two texts.
+
+    ``kept`` compares ids only; of the rows that share a component's id, ``leads`` is true for one text.
+    """
     spark, matches = docs.sparkSession, matches_for(similarity)
     short_batches(spark)
     texts = as_bytes(docs)
@@ -323,15 +326,21 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     verdict = materialize(member.join(keeper, "comp").select("set1", "set2", "keeper"), "components")
     alone = F.col("n_shingles") == 0
     rows = signed.drop("signature").join(verdict, ["set1", "set2"], "left")
-    same = F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & (F.col("text_hash") == F.col("keeper.text_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("keeper.doc_id"))
     return rows.select(
         *KEY,
         "n_shingles",
         F.when(alone, F.col("doc_id")).otherwise(F.col("keeper.doc_id")).alias("component_id"),
         (alone | same).alias("kept"),
+        (alone | (same & (F.col("text_hash") == F.col("keeper.text_hash")))).alias("leads"),
     )
 
 
 def without_near_copies(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
-    """The rows of ``docs``, all columns, with one document of each component."""
-    return keep_rows(docs, near_duplicates(docs, similarity).where("kept").select(*KEY).distinct())
+    """The rows of ``docs``, all columns, with one document of each component, also if it is listed twice."""
+    found = near_duplicates(docs, similarity)
+    keys = found.where("leads").groupBy(*KEY).agg(F.when(F.max("n_shingles") > 0, F.count(F.lit(1))).otherwise(1).alias("n"))
+    keys = materialize(keys, "leading-rows")
+    once = keep_rows(docs, keys.where("n = 1"))
+    again = keep_rows(docs, keys.where("n > 1")).select("doc_id", F.xxhash64("text").alias("text_hash"), F.struct("*").alias("_row"))
+    return once.union(again.dropDuplicates(KEY).select("_row.*"))
