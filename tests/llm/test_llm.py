@@ -55,8 +55,8 @@ def test_lines(documents):
     for (i, t), own in zip(ROWS, keys):
         out = []
         for line, k in zip((t or "").split("\n"), own):
-            holders = [ROWS[j][0] for j, other in enumerate(keys) if k in other]
-            biggest = max((x for x in holders if x is not None), default=None)
+            holders = {ROWS[j] for j, other in enumerate(keys) if k in other}  # a row listed twice is one document
+            biggest = max((x for x, _ in holders if x is not None), default=None)
             if len(k) < 20 or len(holders) < 3 or i == biggest:
                 out.append(line)
         want.append((i, len(own), len(own) - len(out), "\n".join(out)))
@@ -65,6 +65,12 @@ def test_lines(documents):
         assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
 
 
+def test_a_row_listed_twice_is_one_document(documents):
+    line = "a line that two documents hold"
+    for rows, dropped in (([(1, line), (1, line), (2, line)], 0), ([(1, line), (1, line + "\nx"), (2, line)], 2)):
+        assert lines.drop_repeated_lines(documents(rows)).agg(F.sum("n_dropped")).first()[0] == dropped
+
+
 def test_perfect_hash():
     r = np.random.default_rng(1)
     h1, h2 = r.integers(0, 2**63, 5000, dtype=np.uint64), r.integers(0, 2**63, 5000, dtype=np.uint64)
@@ -86,6 +92,16 @@ def test_exact(documents):
     assert kept.columns == documents(ROWS).columns and kept.count() == len(set(norm))
 
 
+def test_exact_keeps_columns_of_any_name(documents):
+    rows = documents(ROWS)
+    for name in ("_norm", "_h1", "_sha", "_keep", "_n", "_id", "_row"):
+        rows = rows.withColumn(name, F.lit(name))
+    kept = exact.without_copies(rows)
+    assert kept.columns == rows.columns
+    assert {tuple(r[6:]) for r in kept.collect()} == {("_norm", "_h1", "_sha", "_keep", "_n", "_id", "_row")}
+    assert kept.count() == exact.without_copies(documents(ROWS)).count()
+
+
 def components_of(rows):
     sets = []
     for _, t in rows:
@@ -117,10 +133,24 @@ def test_near_duplicates(documents, monkeypatch, block):
         ids = [x for x in (rows[k][0] for k in range(len(rows)) if comp[k] == comp[j]) if x is not None]
         first = min(ids, default=None) if sets[j] else i
         want.append((i, len(sets[j]), first, i == first))
+    # One id, two texts of one component: the ids agree, so both are kept.
     got = neardup.near_duplicates(documents(rows)).select("doc_id", "n_shingles", "component_id", "kept")
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
 
 
+def test_one_row_of_each_component(documents):
+    near = sentence(60, 2) + " end"
+    rows = [(1, near), (1, sentence(60, 2)), (1, near), (2, sentence(60, 2)), (None, near), (3, ""), (3, ""), (4, sentence(40, 9)), (4, sentence(40, 9))]
+    found = neardup.near_duplicates(documents(rows))
+    assert sorted((str(r.doc_id), r.kept) for r in found.collect()) == [
+        *[("1", True)] * 3, ("2", False), *[("3", True)] * 2, *[("4", True)] * 2, ("None", False)
+    ]
+    kept = neardup.without_near_copies(documents(rows))
+    assert kept.columns == documents(rows).columns
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 3, 4]
+
+
+
 def test_pipeline_drops_near_copies_from_80_per_cent(spark, documents):
     import corpus_pipeline
 
@@ -137,19 +167,37 @@ def test_pipeline_drops_near_copies_from_80_per_cent(spark, documents):
 
 @pytest.mark.parametrize("group_runs", [windows.GROUP_RUNS, 1])
 def test_windows(documents, group_runs):
-    rows = [(i, t) for i, t in ROWS if i not in (None, 8)] + [(20, "x" + sentence(60, 2)), (21, "é" * 120), (22, "é" * 90)]
-    seen, want = set(), []
-    for i, t in sorted(rows):
+    rows = ROWS + [(20, "x" + sentence(60, 2)), (21, "é" * 120), (22, "é" * 90), (None, sentence(50, 2)), (None, None), (8, sentence(90, 12)), (None, "z" + sentence(90, 12))]
+    hash_of = {r.text: r.h for r in documents(rows).select("text", F.xxhash64("text").alias("h")).collect()}
+    seen, gone_of = {}, {}
+    # Null ids first, then by id and text hash; a row listed twice gets one verdict.
+    for i, t in sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, hash_of[r[1]])):
         x = (t or "").encode()
         gone = bytearray(len(x))
         for s in range(len(x) - 99):
-            if x[s : s + 100] in seen:
+            if seen.setdefault(x[s : s + 100], (i, t, s)) != (i, t, s):
                 gone[s : s + 100] = b"\1" * 100
-            seen.add(x[s : s + 100])
+        gone_of[i, t] = gone
+    want = []
+    for i, t in rows:
+        x, gone = (t or "").encode(), gone_of[i, t]
         spans = sum(1 for k in range(len(x)) if gone[k] and not (k and gone[k - 1]))
         want.append((i, len(x), sum(gone), spans, bytes(b for b, g in zip(x, gone) if not g)))
     got = windows.remove_repeated_windows(documents(rows), group_runs=group_runs).drop("text_hash").collect()
-    assert sorted((r[0], r[1], r[2], r[3], bytes(r[4])) for r in got) == want
+    assert sorted(map(str, ((r[0], r[1], r[2], r[3], bytes(r[4])) for r in got))) == sorted(map(str, want))
+
+
+@pytest.mark.parametrize("shared", [None, 7])
+def test_windows_of_rows_that_share_an_id_and_31_bits_of_text(spark, documents, shared):
+    """Texts whose hashes agree in their low bits, one long and repeated, one short."""
+    low = F.xxhash64("text").bitwiseAND(F.lit((1 << 31) - 1))
+    made = spark.range(500_000).select(F.col("id"), F.concat(F.lit("v"), F.col("id").cast("string"), F.repeat(F.lit(" pq rst"), (F.col("id") % 2 * 30).cast("int"))).alias("text"))
+    pairs = made.withColumn("low", low).groupBy("low").agg(F.collect_list("text").alias("texts"), F.countDistinct(F.length("text") > 100).alias("n"))
+    texts = pairs.where("n = 2").first().texts
+    rows = [(shared, texts[0]), (shared, texts[1]), (9, max(texts, key=len))]
+    got = {(r.doc_id, r.n_bytes): r.n_removed for r in windows.remove_repeated_windows(documents(rows)).collect()}
+    long = len(max(texts, key=len))
+    assert got[9, long] == long and got[shared, len(min(texts, key=len))] == 0
 
 
 @pytest.mark.parametrize("part_bytes", [decontaminate.PART_BYTES, 40])
@@ -179,26 +227,82 @@ def test_contamination(spark, documents, part_bytes):
     assert decontaminate.clean(documents(ROWS), bench).count() == sum(1 for x in want if not x[2])
 
 
-def test_packing(documents):
+@pytest.mark.parametrize("length,quantum", [(64, 16), (64, 64), (4096, 512)])
+def test_packing(documents, length, quantum):
+    from collections import Counter
+
     from tokenizers import Tokenizer
 
     path = queries.tokenizer_path()
-    rows = [(i, t) for i, t in ROWS if i is not None and i != 8] + [(30, "İstanbul ΟΔΟΣ ét <|endoftext|>, don't x\x1cy z")]
-    pieces = packing.pack(documents(rows), path, end_id=2, length=64).collect()
+    rows = ROWS + [(30, "İstanbul ΟΔΟΣ ét <|endoftext|>, don't x\x1cy z,%% Ünï. É")]
+    pieces = packing.pack(documents(rows), path, 2, length, quantum).collect()
     tokenizer, seen = Tokenizer.from_file(path), {}
     for p in pieces:
         seen.setdefault(p.sequence_id, []).append((p.offset, p.length))
     for spans in seen.values():
         spans.sort()
         assert [o for o, _ in spans] == [sum(n for _, n in spans[:k]) for k in range(len(spans))]
-    assert sorted(sum(n for _, n in s) for s in seen.values())[1:] == [64] * (len(seen) - 1)
-    for i, t in rows:
-        ids, at = tokenizer.encode(t or "", add_special_tokens=False).ids + [2], 0
-        for p in sorted((p for p in pieces if p.doc_id == i), key=lambda p: p.start):
+    assert sorted(seen) == list(range(len(seen)))
+    assert all(sum(n for _, n in seen[w]) == length for w in range(len(seen) - 1))
+    texts = {i: t for i, t in rows}
+    for i, t in texts.items():
+        ids, met = tokenizer.encode(t or "", add_special_tokens=False).ids + [2], Counter()
+        for p in (p for p in pieces if p.doc_id == i):
             part = np.array(ids[p.start : p.start + p.length], "<u4").tobytes()
-            assert (p.start, p.doc_tokens, p.ids_crc32) == (at, len(ids), zlib.crc32(part))
-            at += p.length
-        assert at == len(ids)
+            assert p.length > 0 and (p.doc_tokens, p.ids_crc32) == (len(ids), zlib.crc32(part))
+            met.update(range(p.start, p.start + p.length))
+        assert met == Counter({k: sum(j == i for j, _ in rows) for k in range(len(ids))})
+
+
+def _mixed(spark):
+    """Three sources of about 30,000, 20,000 and 10,000 ids, a rare one of one document, and null."""
+    rows = [(k, sentence(99, k), source) for k, source in enumerate(["a"] * 60 + ["b"] * 40 + ["c"] * 20)]
+    rows += [(900, sentence(150, 900), "rare"), (901, "no source", None), (902, None, "c")]
+    return spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, source string, queue string, k int")
+
+
+def _shares(spark, pieces):
+    source_of = {r.doc_id: r.source for r in _mixed(spark).collect()}
+    windows = {}
+    for p in pieces:
+        own = windows.setdefault(p.sequence_id, {})
+        own[source_of[p.doc_id]] = own.get(source_of[p.doc_id], 0) + p.length
+    return [windows[w] for w in range(len(windows))]
+
+
+def test_packing_meets_target_shares(spark):
+    length, quantum = 1024, 64
+    targets = {"a": 0.25, "b": 0.25, "c": 0.5}
+    given = spark.createDataFrame([(s, x, "y") for s, x in targets.items()], "source string, share double, note string")
+    pieces = packing.pack(_mixed(spark), queries.tokenizer_path(), 2, length, quantum, given).collect()
+    windows = _shares(spark, pieces)
+    total = sum(w.get("c", 0) for w in windows)
+    running = int(total / 0.5 / length)  # until the source with the largest target runs dry
+    assert running >= 10
+    for w in windows[:running]:
+        assert sum(w.values()) == length and set(w) <= set(targets)
+        assert all(abs(w.get(s, 0) - share * length) <= 2 * quantum for s, share in targets.items())
+    # Deficits carry: over all these windows a source is never a quantum away from its share.
+    for upto in range(1, running):
+        assert all(abs(sum(w.get(s, 0) for w in windows[:upto]) - share * length * upto) <= 2 * quantum for s, share in targets.items())
+    # The other two keep their proportions; what has no target comes last.
+    after = [w for w in windows[running + 1 :] if "rare" not in w and None not in w]
+    assert len(after) > 5 and all(abs(w.get("a", 0) - w.get("b", 0)) <= 2 * quantum for w in after[:5])
+    assert all("rare" not in w and None not in w for w in windows[: len(windows) * 3 // 4])
+
+
+def test_packing_by_natural_shares(spark):
+    length, quantum = 1024, 64
+    pieces = packing.pack(_mixed(spark), queries.tokenizer_path(), 2, length, quantum).collect()
+    windows = _shares(spark, pieces)
+    total = {}
+    for w in windows:
+        for s, n in w.items():
+            total[s] = total.get(s, 0) + n
+    for w in windows[:-2]:
+        assert all(abs(w.get(s, 0) - length * n / sum(total.values())) <= 2 * quantum for s, n in total.items())
+    rare = [p for p in pieces if p.doc_id == 900]
+    assert len(rare) <= rare[0].doc_tokens // quantum + 3
 
 
 def test_secrets_incremental(spark, documents, tmp_path):
@@ -241,7 +345,7 @@ def test_language_edges(documents):
 def test_forward_is_the_sum_over_paths():
     r = np.random.default_rng(3)
     norm = lambda x, axis: x / x.sum(axis, keepdims=True)
-    model = hmm.Model(norm(r.random(3), 0), norm(r.random(3), 0), norm(r.random((3, 3)), 1), norm(r.random((5, 3)), 0))
+    model = hmm.Model(norm(r.random(3), 0), norm(r.random((3, 3)), 1), norm(r.random((5, 3)), 0))
     import itertools
 
     texts = [np.array(r.integers(0, 5, n), np.uint16) for n in (1, 4, 6)]
@@ -255,6 +359,35 @@ def test_forward_is_the_sum_over_paths():
         assert abs(np.log10(total) - score) < 1e-9
 
 
+@pytest.mark.parametrize("cells", [1, 3, 7, 300_000])
+def test_expected_counts_are_the_sums_over_paths(cells):
+    import itertools
+
+    r = np.random.default_rng(4)
+    norm = lambda x, axis: x / x.sum(axis, keepdims=True)
+    model = hmm.Model(norm(r.random(3), 0), norm(r.random((3, 3)), 1), norm(r.random((5, 3)), 0))
+    texts = [np.array(r.integers(0, 5, n), np.uint32) for n in (2, 1, 6, 0, 5, 2)]
+    emitted, moved, started, likelihood = np.zeros((5, 3)), np.zeros((3, 3)), np.zeros(3), 0.0
+    for text in texts:
+        paths = {}
+        for path in itertools.product(range(3), repeat=len(text)) if len(text) else ():
+            p = model.start[path[0]] * model.emit[text[0], path[0]]
+            for a, b, x in zip(path, path[1:], text[1:]):
+                p *= model.move[a, b] * model.emit[x, b]
+            paths[path] = p
+        total = sum(paths.values())
+        for path, p in paths.items():
+            started[path[0]] += p / total
+            for state, x in zip(path, text):
+                emitted[x, state] += p / total
+            for a, b in zip(path, path[1:]):
+                moved[a, b] += p / total
+        likelihood += np.log(total) if len(text) else 0.0
+    got = hmm.expected_counts(model, texts, cells)
+    for a, b in zip(got, (emitted, moved, started, likelihood)):
+        assert np.allclose(a, b, atol=1e-12)
+
+
 def test_scores(documents):
     from collections import Counter
 
@@ -313,7 +446,7 @@ def test_revisit_edges(spark):
 def test_empty_table(spark, tmp_path, name):
     import __spark_entry__ as entry
 
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings"):
         table(spark, SF, t).limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert entry.queries()[name](spark, str(tmp_path)).count() == 0
 
