@@ -11,6 +11,7 @@ import re
 from decimal import Decimal
 from functools import reduce
 
+from py4j.java_gateway import is_instance_of
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -176,6 +177,27 @@ def _statement_nodes(spark, sql: str, tables: dict[str, DataFrame]) -> set[str]:
     return set(re.findall(r"^[\s:+|-]*'?([A-Z]\w+)", parsed, re.MULTILINE))
 
 
+# Expressions that run code from outside the plan, by class.
+_FOREIGN = {"CallMethodViaReflection", "PythonUDF", "ScalaUDF", "HiveSimpleUDF", "HiveGenericUDF"}
+
+
+def _expression_classes(gateway, plan) -> set[str]:
+    """Classes of all expressions of an analysed plan, its children and subqueries."""
+    catalyst = "org.apache.spark.sql.catalyst"
+    found, todo = set(), [plan]
+    while todo:
+        node = todo.pop()
+        found.add(node.getClass().getSimpleName())
+        parts = [node.children()]
+        if is_instance_of(gateway, node, f"{catalyst}.plans.QueryPlan"):
+            parts.append(node.expressions())
+        for part in parts:
+            todo += [part.apply(i) for i in range(part.size())]
+        if is_instance_of(gateway, node, f"{catalyst}.expressions.PlanExpression"):
+            todo.append(node.plan())
+    return found
+
+
 def readonly_query(spark, sql: str, limit: int, **tables: DataFrame) -> tuple[DataFrame, bool]:
     """Rows of a read-only query cut at ``limit``, and whether there were more.
 
@@ -185,8 +207,11 @@ def readonly_query(spark, sql: str, limit: int, **tables: DataFrame) -> tuple[Da
         raise ValueError("only read-only queries are allowed")
     if any(_WRITES.match(node) for node in _statement_nodes(spark, sql, tables)):
         raise ValueError("only read-only queries are allowed")
+    query = spark.sql(sql, **tables)
+    if _expression_classes(spark.sparkContext._gateway, query._jdf.queryExecution().analyzed()) & _FOREIGN:
+        raise ValueError("only read-only queries are allowed: no foreign calls")
     # One execution: the rows shown and the flag come from the same stored result.
-    result = materialize(spark.sql(sql, **tables).limit(limit + 1), "query")
+    result = materialize(query.limit(limit + 1), "query")
     return result.limit(limit), result.count() > limit
 
 

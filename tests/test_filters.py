@@ -244,3 +244,19 @@ def test_readonly_refuses_every_writing_form(spark, tmp_path):
 def test_facet_list_is_whole_without_a_limit(spark):
     values = spark.range(12_000).selectExpr("false as is_null", "cast(id as string) as value_text", "1 as row_count")
     assert facets.facet_list(values).count() == 12_000 and facets.facet_list(values, 11_000).count() == 11_000
+
+
+@pytest.mark.parametrize(
+    "sql",
+    [
+        "select reflect('java.lang.System', 'setProperty', 'rawstar.x', 'y')",
+        "select id from range(3) where java_method('java.lang.System', 'getProperty', 'user.home') is not null",
+        "select (select max(v) from (select try_reflect('java.lang.System', 'getProperty', 'a') as v from range(2))) as x",
+        "with a as (select 1 as k union all select length(reflect('java.util.UUID', 'randomUUID'))) select * from a",
+    ],
+)
+def test_readonly_refuses_foreign_calls(spark, sql):
+    with pytest.raises(ValueError, match="foreign"):
+        facets.readonly_query(spark, sql, 5)
+    shown, _ = facets.readonly_query(spark, "select 'reflect(x)' as reflect, (select max(id) from range(4)) as m", 5)
+    assert tuple(shown.first()) == ("reflect(x)", 3)
