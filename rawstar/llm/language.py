@@ -8,7 +8,7 @@ sample's texts into sparse features; only these reach the driver. A fifth of
 the sample is kept from the fit and sets the temperature of the probabilities.
 
 A null text, a text without letters, and any text if there are no labels: ``und``, score 0.
-Rows whose label is null are not learned from. An empty table gives no rows.
+Rows whose label is null are not learned from. More than ``MOST_LABELS`` labels are an error. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ BUCKETS = 1 << 13
 UNKNOWN = "und"
 # Rows of one label that the fit may use, and characters counted at a time.
 PER_LABEL = 1200
+# Labels that the weights, and the driver, have room for; more fail the run.
+MOST_LABELS = 200
 CHUNK = 1 << 20
 ROUNDS, ALPHA, BETA, L1, L2 = 3, 0.3, 1.0, 0.3, 1.0
 _FACTORS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
@@ -172,7 +174,10 @@ def train(rows: DataFrame, per_label: int = PER_LABEL) -> Model:
     idf = np.zeros(BUCKETS)
     for bucket, n in df.items():
         idf[bucket] = np.log((1 + total) / (1 + n)) + 1
-    labels = {r["lang"]: r["n"] for r in rows.where("lang is not null").groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    by_label = rows.where("lang is not null").groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LABELS + 1)
+    labels = {r["lang"]: r["n"] for r in by_label.collect()}
+    if len(labels) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} labels: is this a column of languages?")
     if not labels:
         return Model([], idf, np.zeros((BUCKETS, 0)), 1.0)
     names = sorted(labels)
