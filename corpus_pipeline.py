@@ -2,7 +2,13 @@
 
 language_id drops documents whose language is not recognised, exact_dedup and near_dedup (from
 80 per cent similarity) leave one document of each group, decontamination drops documents that quote the benchmark, and packing
-returns token sequences. The first four return the columns of documents.
+returns token sequences. The first four return the columns of documents, further ones too,
+whatever their names.
+
+Null and empty texts have no language and go first. Of equal texts the smallest id stays (a null id
+is larger than any other), of near copies the smallest id, then the smaller text hash. A row listed twice is
+one document to both dedup stages. Long texts are read whole. An empty table, or one of which
+nothing is left, gives no rows.
 """
 
 from __future__ import annotations
