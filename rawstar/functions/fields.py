@@ -36,7 +36,8 @@ def fits_sql(path: str, type_name: str) -> str:
     digits = f"length(regexp_extract({path}, '{_FRACTION}', 1))"
     moved = f"coalesce(try_cast(regexp_extract({path}, '{_EXPONENT}', 1) AS int), 0)"
     # Short text cannot have too many digits: the patterns are for the rare long one.
-    return f"(length({path}) <= {scale} AND NOT contains(lower({path}), 'e') OR {digits} - {moved} <= {scale})"
+    plain = f"NOT contains({path}, 'e') AND NOT contains({path}, 'E')"
+    return f"(length({path}) <= {scale} AND {plain} OR {digits} - {moved} <= {scale})"
 
 
 def fits(value: Column, type_name: str) -> Column:

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
 
+# Wide projections compile into small methods that the JIT accepts.
+SMALL_METHODS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
 
 def build_session(app_name: str = "rawstar", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings every operator here assumes.
@@ -26,8 +29,7 @@ def build_session(app_name: str = "rawstar", master: str | None = None, **conf:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-        # Wide projections compile into small methods that the JIT accepts.
-        "spark.sql.codegen.hugeMethodLimit": "8000",
+        **SMALL_METHODS,
         **conf,
     }
     for key, value in settings.items():
@@ -35,6 +37,12 @@ def build_session(app_name: str = "rawstar", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+def compile_small(spark: SparkSession) -> None:
+    """What the wide projections need in a session that ``build_session`` did not make."""
+    for key, value in SMALL_METHODS.items():
+        spark.conf.set(key, value)
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the cluster's ``spark.checkpoint.dir``.
 

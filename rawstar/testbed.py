@@ -6,7 +6,7 @@ are put in by key, so that every predicate sees rows that pass and rows that fai
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rawstar import layout
@@ -55,9 +55,31 @@ from orders
 
 
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(
-        POSITION_SQL.format(s="string").replace("from lineitem", "from {lineitem}"),
-        lineitem=table(spark, sf_dir, "lineitem"),
+    """The rows of ``POSITION_SQL``, aggregated in fixed-width buffers after one shuffle by order.
+
+    A least flag needs no text in the buffer: it is ``R`` if there is an ``R`` and nothing below it.
+    """
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n"), "l_returnflag", "l_quantity", "l_discount"
+    )
+    flag, number = F.col("l_returnflag"), F.col("k") + F.col("n")
+
+    def least(value: str) -> Column:
+        return F.bool_or(flag == value) & ~F.bool_or(flag < value)
+
+    grouped = lines.repartition("k").groupBy("k", "n").agg(
+        least("R").alias("_r"),
+        least("A").alias("_a"),
+        F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("_w"),
+        F.max(F.col("l_discount").cast("decimal(18,2)")).alias("_g"),
+    )
+    return grouped.select(
+        "k",
+        "n",
+        F.when(number % 11 == 0, "").otherwise(F.col("n").cast("string")).alias("d"),
+        F.when(number % 13 == 0, "W").when(F.col("_r"), " x ").when(F.col("_a"), "Y").otherwise("z").alias("t"),
+        F.when(number % 17 == 0, "").otherwise(F.col("_w").cast("string")).alias("w"),
+        F.when(number % 5 == 0, "").otherwise(F.col("_g").cast("string")).alias("g"),
     )
 
 
@@ -68,29 +90,26 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders=table(spark, sf_dir, "orders"),
     )
     # At most one entry per line number, so the map of an order is small.
-    cell = F.array("d", "t", "w", "g")
     pivoted = (
         positions(spark, sf_dir)
         .groupBy("k")
-        .agg(F.map_from_entries(F.collect_list(F.struct("n", cell))).alias("slots"))
-    )
-    slots = F.flatten(
-        F.transform(
-            F.array(*[F.lit(p) for p in layout.POSITIONS]),
-            lambda p: F.coalesce(F.try_element_at("slots", p), F.array(*[F.lit("")] * 4)),
-        )
-    )
-    values = F.map_from_arrays(
-        F.array(*[F.lit(key) for key in layout.PAYLOAD_KEYS]),
-        F.concat(F.array(*layout.SINGLE_KEYS), slots),
+        .agg(F.map_from_entries(F.collect_list(F.struct("n", F.struct("d", "t", "w", "g")))).alias("slots"))
     )
-    return base.join(pivoted, F.col("raw_id") == F.col("k") + 1, "left").select(
+    # Joined by the key the lines are grouped by, so that only orders are shuffled for it.
+    joined = base.join(pivoted, F.col("raw_id") - 1 == F.col("k"), "left")
+    blank = F.struct(*[F.lit("").alias(c) for c in "dtwg"])
+    slots = {p: F.coalesce(F.try_element_at("slots", F.lit(p)), blank) for p in layout.POSITIONS}
+    placed = joined.select(base["*"], *[slot.alias(f"_slot{p}") for p, slot in slots.items()])
+    values = [F.col(key) for key in layout.SINGLE_KEYS]
+    for p in layout.POSITIONS:
+        values += [F.col(f"_slot{p}.{c}").alias(key) for c, key in zip("dtwg", layout.position_keys(p))]
+    return placed.select(
         "raw_id",
         "raw_hash",
         F.col("raw_ingested_at").cast("timestamp").alias("raw_ingested_at"),
         "raw_schema",
         "raw_tab",
-        F.to_json(F.struct(values.alias("values"))).alias("raw"),
+        F.to_json(F.struct(F.struct(*values).alias("values")), {"ignoreNullFields": "false"}).alias("raw"),
     )
 
 
