@@ -19,8 +19,7 @@ def _source(spark, sf):
     return materialize(staging.stage(testbed.raw(spark, sf)), "staging")
 
 
-def _matched(spark, sf):
-    source = _source(spark, sf)
+def _matched(source):
     return recipes.match_reference(source, materialize(recipes.dim_reference(source), "references"))
 
 
@@ -100,7 +99,7 @@ def dim_code(spark, sf):
 
 @reg.query(oracle("select * from fact", STAR_CTE))
 def fact_main(spark, sf):
-    return recipes.fact_main(_matched(spark, sf))
+    return recipes.fact_main(_matched(_source(spark, sf)))
 
 
 @reg.query(oracle("select * from measure", STAR_CTE))
@@ -113,13 +112,13 @@ def child_measure(spark, sf):
 
 @reg.query(oracle("select * from bridge", STAR_CTE))
 def bridge_code(spark, sf):
-    matched = _matched(spark, sf)
-    return recipes.bridge_code(matched, recipes.dim_code(_source(spark, sf)))
+    source = _source(spark, sf)
+    return recipes.bridge_code(_matched(source), recipes.dim_code(source))
 
 
 @reg.query(oracle("select * from slots", STAR_CTE))
 def unpivot_positions(spark, sf):
-    return recipes.unpivot_positions(_matched(spark, sf))
+    return recipes.unpivot_positions(_matched(_source(spark, sf)))
 
 
 @reg.query(
@@ -132,7 +131,7 @@ from slots s join fact f on f.id_column_1 = s.id_column_2""",
 )
 def unpivot_with_fact(spark, sf):
     """Flagship: each kept position with its fact row, both from one staging table."""
-    matched = _matched(spark, sf)
+    matched = _matched(_source(spark, sf))
     facts = recipes.fact_main(matched).select(
         F.col("id_column_1").alias("raw_id"),
         F.col("id_column_2").alias("owner"),

@@ -71,6 +71,11 @@ def test_raw_payload_has_every_header_in_order(spark, sf):
     assert all('":null' in found[r.k + 1] for r in null_row)
 
 
+def test_bridge_stages_once(spark, sf, stored):
+    assert expansion.bridge_code(spark, sf).count() > 0
+    assert stored.count("staging") == 1
+
+
 def test_capital_and_small_exponents_are_seen(spark):
     values = spark.createDataFrame([("1e-20",), ("1E-20",), ("1.5",), ("12E1",)], "v string")
     found = values.selectExpr(f"{fields.fits_sql('v', layout.NUMERIC)} as ok").collect()
