@@ -76,6 +76,12 @@ def test_bridge_stages_once(spark, sf, stored):
     assert stored.count("staging") == 1
 
 
+def test_unstaged_run_and_counters_derive_their_rows_once(spark, sf, stored):
+    assert expansion.expand_unstaged_counts(spark, sf).count() == 6
+    assert expansion.row_counters(spark, sf).count() == 4
+    assert stored.count("records") == 2
+
+
 def test_capital_and_small_exponents_are_seen(spark):
     values = spark.createDataFrame([("1e-20",), ("1E-20",), ("1.5",), ("12E1",)], "v string")
     found = values.selectExpr(f"{fields.fits_sql('v', layout.NUMERIC)} as ok").collect()
