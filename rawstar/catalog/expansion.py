@@ -89,12 +89,12 @@ def scope_interval(spark, sf):
 
 @reg.query(oracle("select * from dim3", STAR_CTE))
 def dim_reference(spark, sf):
-    return recipes.dim_reference(staging.stage(testbed.raw(spark, sf)))
+    return recipes.dim_reference(staging.stage(testbed.raw(spark, sf), staging.recipe_uses("table3")))
 
 
 @reg.query(oracle("select * from dim4", STAR_CTE))
 def dim_code(spark, sf):
-    return recipes.dim_code(staging.stage(testbed.raw(spark, sf)))
+    return recipes.dim_code(staging.stage(testbed.raw(spark, sf), staging.recipe_uses("table4")))
 
 
 @reg.query(oracle("select * from fact", STAR_CTE))

@@ -82,6 +82,12 @@ def test_unstaged_run_and_counters_derive_their_rows_once(spark, sf, stored):
     assert stored.count("records") == 2
 
 
+def test_dimensions_parse_their_headers_only(spark, sf):
+    plan = expansion.dim_code(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    parsed = plan[plan.index("from_json") :].split(")")[0]
+    assert "text_column_3" in parsed and "integer_column_2" not in parsed
+
+
 def test_capital_and_small_exponents_are_seen(spark):
     values = spark.createDataFrame([("1e-20",), ("1E-20",), ("1.5",), ("12E1",)], "v string")
     found = values.selectExpr(f"{fields.fits_sql('v', layout.NUMERIC)} as ok").collect()
