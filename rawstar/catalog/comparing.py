@@ -9,6 +9,7 @@ from rawstar.catalog.registry import Registry
 from rawstar.operators import compare, hashtree
 from rawstar.plans import expand, recipes, resume, staging
 from rawstar.session import materialize, scratch_path
+from rawstar.sources.snapshots import path_exists
 from rawstar.streaming import expanding, ingest
 from rawstar.testbed import RAW_CTE, STAR_CTE, oracle, table
 
@@ -193,14 +194,34 @@ def resume_plan(spark, sf):
     return resume.resume_plan(counted, stored)
 
 
+def _arrive(rows, incoming, files):
+    """Append ``rows`` as ``files`` files, or as one for each split if there are more; returns how many were added.
+
+    So a file, and a task, holds no more of a larger table.
+    """
+    wide = rows.rdd.getNumPartitions() >= files
+    before = _files(rows.sparkSession, incoming)
+    (rows if wide else rows.repartition(files)).write.mode("append").parquet(incoming)
+    return _files(rows.sparkSession, incoming) - before
+
+
+def _files(spark, path):
+    return len(spark.read.schema(layout.RAW_SCHEMA).parquet(path).inputFiles()) if path_exists(spark, path) else 0
+
+
+def _share(files, batches):
+    """Files of a batch, if ``files`` are to come in so many batches."""
+    return max(1, -(-files // batches))
+
+
 @reg.query(oracle("select raw_id, raw_schema, raw_hash, raw_tab from base"))
 def stream_ingest(spark, sf):
     """Files arrive in two steps; the second run takes only the new ones."""
     incoming, out, checkpoint = (scratch_path(spark, n) for n in ("incoming", "streamed", "stream-state"))
     records = materialize(testbed.raw(spark, sf), "records")
     for step in (0, 1):
-        records.where(F.col("raw_id") % 2 == step).repartition(2).write.mode("append").parquet(incoming)
-        stored = ingest.ingest_available(spark, incoming, out, checkpoint, files_per_batch=1)
+        files = _arrive(records.where(F.col("raw_id") % 2 == step), incoming, 2)
+        stored = ingest.ingest_available(spark, incoming, out, checkpoint, files_per_batch=_share(files, 2))
     return stored.select("raw_id", "raw_schema", "raw_hash", "raw_tab")
 
 
@@ -214,8 +235,8 @@ union all select 'table1', count(*), cast(sum(integer_column_1) as bigint) from
 def stream_stage(spark, sf):
     """Recipes over a staging table that a stream filled."""
     incoming, out, checkpoint = (scratch_path(spark, n) for n in ("incoming", "staged", "stream-state"))
-    testbed.raw(spark, sf).repartition(3).write.parquet(incoming)
-    source = ingest.stage_available(spark, incoming, out, checkpoint, files_per_batch=2)
+    files = _arrive(materialize(testbed.raw(spark, sf), "records"), incoming, 3)
+    source = ingest.stage_available(spark, incoming, out, checkpoint, files_per_batch=_share(files, 2))
     matched = recipes.match_reference(source, materialize(recipes.dim_reference(source), "references"))
 
     def totals(name, df, column):
@@ -309,14 +330,13 @@ def stream_expand(spark, sf):
 
     class Replayed(expanding.StreamedStar):
         def take(self, raw_rows, batch):
-            rows = materialize(raw_rows, "batch")
-            super().take(rows, batch)
-            super().take(rows, batch)
+            super().take(raw_rows, batch)
+            super().take(raw_rows, batch)
 
     star = Replayed(spark, base)
     for step in (0, 1):
-        records.where(F.col("raw_id") % 2 == step).repartition(2).write.mode("append").parquet(incoming)
-        expanding.expand_available(spark, incoming, base, state, files_per_batch=1, star=star)
+        files = _arrive(records.where(F.col("raw_id") % 2 == step), incoming, 2)
+        expanding.expand_available(spark, incoming, base, state, files_per_batch=_share(files, 2), star=star)
     return compare.digests({n: _plain(df) for n, df in compare.star_content(star.tables()).items()})
 
 

@@ -88,6 +88,31 @@ def test_dimensions_parse_their_headers_only(spark, sf):
     assert "text_column_3" in parsed and "integer_column_2" not in parsed
 
 
+def test_arriving_files_grow_with_the_table(spark, tmp_path):
+    rows = raw_rows(spark, 4000)
+    whole = str(tmp_path / "whole")
+    rows.repartition(12).write.parquet(whole)
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        read = spark.read.schema(layout.RAW_SCHEMA).parquet(whole)
+        wide = comparing._arrive(read, str(tmp_path / "wide"), 2)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    assert wide >= 12
+    few = comparing._arrive(rows.coalesce(1), str(tmp_path / "few"), 3)
+    assert few == 3
+    assert comparing._arrive(rows.coalesce(1), str(tmp_path / "few"), 2) == 2
+    assert spark.read.parquet(str(tmp_path / "few")).count() == 8000
+    assert [comparing._share(n, 2) for n in (1, 2, 3, 40)] == [1, 1, 2, 20]
+
+
+def raw_rows(spark, n):
+    return spark.range(n).selectExpr(
+        "id as raw_id", "'h' as raw_hash", "timestamp '2024-04-01' as raw_ingested_at", "'g' as raw_schema", "'t' as raw_tab", "concat('{', id, '}') as raw"
+    )
+
+
 def test_capital_and_small_exponents_are_seen(spark):
     values = spark.createDataFrame([("1e-20",), ("1E-20",), ("1.5",), ("12E1",)], "v string")
     found = values.selectExpr(f"{fields.fits_sql('v', layout.NUMERIC)} as ok").collect()
