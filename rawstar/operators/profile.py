@@ -37,7 +37,8 @@ def json_profile(documents: DataFrame, column: str) -> DataFrame:
     """
     spark = documents.sparkSession
     level = documents.select(F.lit("$").alias("path"), F.parse_json(column).alias("node"))
-    level = level.where(F.col("node").isNotNull())
+    # Read twice, by its profile and by the next level; ``documents`` may be costly to derive.
+    level = materialize(level.where(F.col("node").isNotNull()), "json-level")
     profiles = []
     while True:
         typed = level.withColumn("_kind", F.schema_of_variant("node")).withColumn("form", _form(F.col("_kind")))

@@ -113,6 +113,12 @@ def raw_rows(spark, n):
     )
 
 
+def test_documents_of_a_profile_are_derived_once(spark, stored):
+    docs = spark.createDataFrame([('{"a": [1, 2]}',), (None,)], "raw string")
+    assert profile.json_profile(docs, "raw").count() == 3
+    assert stored.count("json-level") == 4  # the documents, two levels below, and the empty one that ends it
+
+
 def test_capital_and_small_exponents_are_seen(spark):
     values = spark.createDataFrame([("1e-20",), ("1E-20",), ("1.5",), ("12E1",)], "v string")
     found = values.selectExpr(f"{fields.fits_sql('v', layout.NUMERIC)} as ok").collect()
