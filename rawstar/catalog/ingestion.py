@@ -96,8 +96,9 @@ def import_files(spark, sf):
     """Files to raw table: numbered lines, suggested headers and noise, ids, batch, snapshot, version."""
     importer = importing.Importer(spark, scratch_path(spark, "import"), "public.raw_data")
     options = {"recursiveFileLookup": True, **_SPACES}
-    importer.add(_line_files(spark, sf), "group001", "b1", 3, **options)
-    hashes = materialize(files.line_digests(files.numbered_text(spark, _line_files(spark, sf), recursiveFileLookup=True)), "hashes")
+    path = _line_files(spark, sf)
+    importer.add(path, "group001", "b1", 3, **options)
+    hashes = materialize(files.line_digests(files.numbered_text(spark, path, recursiveFileLookup=True)), "hashes")
     keys = hashes.select(_file_key().alias("file_key"), F.col("file_hash").alias("raw_hash"))
     version = importer.versions().select("raw_schema", "batch", "version_code", "row_count", "file_count")
     rows = importer.rows().join(keys, "raw_hash").join(version, ["raw_schema", "batch"])

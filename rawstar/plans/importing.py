@@ -132,7 +132,8 @@ class Importer:
         known = self.versions().where((F.col("raw_schema") == raw_schema) & (F.col("batch") == batch))
         if not known.isEmpty():
             raise ValueError(f"already imported: {raw_schema} {batch}")
-        lines = self.scan(paths, width, delimiter, **options)
+        # Parsed once: the review, the headers, the digests, the numbers and the rows all read it.
+        lines = materialize(self.scan(paths, width, delimiter, **options), "scanned-lines")
         found = reviewed(lines, marks)
         headers = lines.join(found.where("candidate = 'header'"), review.LINE_KEY, "left_semi")
         hashes = files.line_digests(lines.withColumnRenamed("file_key", "file_path")).withColumnRenamed("file_path", "file_key")

@@ -135,3 +135,15 @@ def test_a_plain_session_gets_small_methods(spark, sf):
         assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
     finally:
         spark.conf.set("spark.sql.codegen.hugeMethodLimit", kept)
+
+
+def test_files_are_written_and_parsed_once(spark, sf, monkeypatch):
+    from rawstar.catalog import ingestion
+    from rawstar.plans import importing
+
+    written, labels = [], []
+    write, keep = ingestion._line_files, importing.materialize
+    monkeypatch.setattr(ingestion, "_line_files", lambda *a: written.append(1) or write(*a))
+    monkeypatch.setattr(importing, "materialize", lambda df, label="step": labels.append(label) or keep(df, label))
+    assert ingestion.import_files(spark, sf).count() > 0
+    assert len(written) == 1 and labels.count("scanned-lines") == 1
