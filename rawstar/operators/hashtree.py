@@ -1,7 +1,9 @@
 """Stored tables with a hash tree over their key ranges, so that a comparison reads only what differs.
 
-A table is stored by ranges of ``span`` keys; beside it stands the tree: for every node of
-every level (part 0 covers ``span`` keys, a node above ``fanout`` nodes) the number of its rows and a
+A table is stored by ranges of ``span`` keys. A folder holds one range, or, of a table with more than
+``FOLDERS`` ranges, those below one node of the lowest level that has no more nodes than that: a folder costs
+some milliseconds in every write and listing, so their number must not grow with the table. Beside
+the rows stands the tree: for every node of every level (part 0 covers ``span`` keys, a node above ``fanout`` nodes) the number of its rows and a
 digest of their content, whatever their order. Counts and digests of a node are those of its
 children added up, so the tree of a range takes one scan of it and no sort.
 """
@@ -19,8 +21,10 @@ from rawstar.operators.compare import keyed_difference
 from rawstar.operators.skew import lookup_join
 from rawstar.session import materialize
 
+META = "columns string, width bigint"
 TREE = "level int, node bigint, rows bigint, mix bigint, total decimal(38,0)"
 PART = "_range"
+FOLDERS = 512
 
 
 def _floor_div(value: Column, by: int) -> Column:
@@ -37,28 +41,50 @@ class RangedTable:
     span: int = 100_000
     fanout: int = 16
 
+    def _range(self) -> Column:
+        return _floor_div(F.col(self.key).cast("bigint"), self.span)
+
+    def _folder(self, node: Column, width: int) -> Column:
+        """The first of the ``width`` ranges that share a folder."""
+        return node - F.pmod(node, F.lit(width))
+
+    def _write_rows(self, df: DataFrame, width: int, mode: str) -> None:
+        ranged = df.withColumn(PART, self._folder(self._range(), width))
+        # Rows of a folder meet in a few tasks, as many as its size needs, in the order of their keys.
+        placed = ranged.hint("rebalance", PART).sortWithinPartitions(PART, self.key)
+        writer = placed.write.mode("overwrite").option("partitionOverwriteMode", mode)
+        writer.partitionBy(PART).parquet(f"{self.path}/rows")
+
     def write(self, df: DataFrame) -> None:
         """Store the table and its tree; what was there is replaced."""
-        ranged = df.withColumn(PART, _floor_div(F.col(self.key).cast("bigint"), self.span))
-        # Rows of a range meet in a few tasks, so a range is a few files.
-        ranged.repartition(PART).write.mode("overwrite").partitionBy(PART).parquet(f"{self.path}/rows")
+        ranges = materialize(df.select(self._range().alias("node")).distinct(), "key-ranges")
+        width = 1
+        while ranges.select(self._folder(F.col("node"), width)).distinct().count() > FOLDERS:
+            width *= self.fanout
+        self._write_rows(df, width, "static")
         # An empty table has no file to tell its columns.
-        named = self.spark.createDataFrame([(df.schema.json(),)], "columns string")
+        named = self.spark.createDataFrame([(df.schema.json(), width)], META)
         named.coalesce(1).write.mode("overwrite").json(f"{self.path}/columns")
         self._tree(df.columns).write.mode("overwrite").parquet(f"{self.path}/tree")
 
     def replace(self, df: DataFrame) -> None:
         """Store rows again for the ranges that ``df`` has; the tree follows."""
-        ranged = df.withColumn(PART, _floor_div(F.col(self.key).cast("bigint"), self.span))
-        writer = ranged.repartition(PART).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(PART).parquet(f"{self.path}/rows")
+        width = self._width()
+        if width > 1:
+            # Other ranges of the same folders stay as they are.
+            new = materialize(df.select(self._range().alias("node")).distinct(), "new-ranges")
+            folders = materialize(new.select(self._folder(F.col("node"), width).alias(PART)).distinct(), "folders")
+            beside = lookup_join(self._stored(), folders, [PART], "left_semi").withColumn(PART, self._range())
+            beside = lookup_join(beside, new.withColumnRenamed("node", PART), [PART], "left_anti").select(*df.columns)
+            df = df.unionByName(materialize(beside, "beside"))
+        self._write_rows(df, width, "dynamic")
         self._tree(df.columns).write.mode("overwrite").parquet(f"{self.path}/tree")
 
     def _tree(self, columns: list[str]) -> DataFrame:
         rows = self._stored()
         row = F.xxhash64(*columns, F.array(*[F.col(c).isNull() for c in columns]))
         other = F.xxhash64(F.lit(1), *columns).cast("decimal(38,0)")
-        level = rows.groupBy(F.col(PART).cast("bigint").alias("node")).agg(
+        level = rows.groupBy(self._range().alias("node")).agg(
             F.count(F.lit(1)).alias("rows"), F.bit_xor(row).alias("mix"), F.sum(other).cast("decimal(38,0)").alias("total")
         )
         level = materialize(level, "tree-leaves")
@@ -75,20 +101,30 @@ class RangedTable:
             tree = tree.unionByName(level.withColumn("level", F.lit(number)))
         return tree.select(*[F.col(c.split()[0]).cast(c.split(" ")[1]).alias(c.split()[0]) for c in TREE.split(", ")])
 
+    def _meta(self):
+        return self.spark.read.schema(META).json(f"{self.path}/columns").first()
+
+    def _width(self) -> int:
+        return self._meta().width or 1
+
     def _stored(self) -> DataFrame:
-        text = self.spark.read.schema("columns string").json(f"{self.path}/columns").first()[0]
-        schema = T.StructType.fromJson(json.loads(text)).add(PART, T.LongType())
+        schema = T.StructType.fromJson(json.loads(self._meta().columns)).add(PART, T.LongType())
         return self.spark.read.schema(schema).parquet(f"{self.path}/rows")
 
     def tree(self) -> DataFrame:
         return self.spark.read.schema(TREE).parquet(f"{self.path}/tree")
 
     def rows(self, ranges: DataFrame | None = None) -> DataFrame:
-        """All rows, or those of ``ranges`` (node): the folders of other ranges are not read."""
+        """All rows, or those of ``ranges`` (node): folders that hold none of them are not read."""
         whole = self._stored()
-        if ranges is not None:
-            whole = lookup_join(whole, ranges.select(F.col("node").alias(PART)), [PART], "left_semi")
-        return whole.drop(PART)
+        if ranges is None:
+            return whole.drop(PART)
+        width, columns = self._width(), whole.columns[:-1]
+        folders = ranges.select(self._folder(F.col("node"), width).alias(PART)).distinct()
+        whole = lookup_join(whole, folders, [PART], "left_semi").select(*columns)
+        if width > 1:
+            whole = lookup_join(whole.withColumn(PART, self._range()), ranges.select(F.col("node").alias(PART)), [PART], "left_semi")
+        return whole.select(*columns)
 
 
 def differing_ranges(left: RangedTable, right: RangedTable) -> DataFrame:
@@ -96,7 +132,7 @@ def differing_ranges(left: RangedTable, right: RangedTable) -> DataFrame:
     if (left.key, left.span, left.fanout) != (right.key, right.span, right.fanout):
         raise ValueError("the tables are stored by different ranges")
     a, b = left.tree(), right.tree()
-    top = max(t.agg(F.max("level")).first()[0] or 0 for t in (a, b))
+    heights = [t.agg(F.max("level")).first()[0] or 0 for t in (a, b)]
 
     def at(tree: DataFrame, level: int, side: str, parents: DataFrame | None) -> DataFrame:
         nodes = tree.where(F.col("level") == level).select("node", F.struct("rows", "mix", "total").alias(side))
@@ -106,11 +142,8 @@ def differing_ranges(left: RangedTable, right: RangedTable) -> DataFrame:
         return up.join(parents.withColumnRenamed("node", "parent"), "parent", "left_semi").drop("parent")
 
     unequal = None
-    for level in range(top, -1, -1):
-        # A tree that is lower than the other has no node here: then nothing is ruled out.
-        low = [t for t in (a, b) if (t.agg(F.max("level")).first()[0] or 0) < level]
-        if low:
-            continue
+    # Above the lower tree's top nothing is ruled out.
+    for level in range(min(heights), -1, -1):
         both = at(a, level, "l", unequal).join(at(b, level, "r", unequal), "node", "full_outer")
         unequal = materialize(both.where(~F.col("l").eqNullSafe(F.col("r"))).select("node"), "unequal-nodes")
     return unequal

@@ -51,6 +51,25 @@ def test_equal_and_empty_trees(spark, tmp_path):
         hashtree.differing_ranges(left, hashtree.RangedTable(spark, str(tmp_path / "a"), "k", span=20))
 
 
+def test_folders_hold_several_ranges_of_a_larger_table(spark, tmp_path, rows, monkeypatch):
+    monkeypatch.setattr(hashtree, "FOLDERS", 4)
+    base = [(k, f"v{k % 4}", None if k % 9 == 0 else k) for k in range(-75, 225)]
+    other = [(k, "new" if k == 15 else v, w) for k, v, w in base if k != 120]
+    left, right = ranged(spark, tmp_path / "a", base), ranged(spark, tmp_path / "b", other)
+    for side in ("a", "b"):
+        # 31 ranges, 9 to a folder.
+        assert {f.name for f in (tmp_path / side / "rows").glob("_range=*")} == {f"_range={n}" for n in (-9, 0, 9, 18)}
+    assert sorted(r.node for r in hashtree.differing_ranges(left, right).collect()) == [1, 12]
+    want = [(15, "changed", "v"), (120, "only left", None)]
+    assert rows(hashtree.tree_difference(left, right)) == rows(spark.createDataFrame(want, "k long, status string, changed string"))
+    ranges = spark.createDataFrame([(1,), (-1,)], "node bigint")
+    assert sorted(r.k for r in left.rows(ranges).collect()) == [*range(-10, 0), *range(10, 20)]
+    # One range is replaced; others in its folder stay.
+    right.replace(spark.createDataFrame([r for r in base if 10 <= r[0] < 20], "k long, v string, w int"))
+    assert right.rows().count() == 299
+    assert [tuple(r) for r in hashtree.tree_difference(left, right).collect()] == [(120, "only left", None)]
+
+
 def test_a_row_moved_between_columns_is_seen(spark, tmp_path):
     left = ranged(spark, tmp_path / "a", [(1, None, 5), (1, None, 5), (2, "x", None)])
     right = ranged(spark, tmp_path / "b", [(1, None, 5), (2, "x", None), (2, "x", None)])
