@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,11 +37,12 @@ GRAM = 32
 LONGEST_RUN = 96
 TWICE = 128
 # Bytes hashed at a time, bytes after which a task hands on its runs, runs in a radix bucket,
-# context bytes in one, and runs of one digit that a task sorts itself.
+# context bytes in one, those sorted at a time, and runs of one digit that a task sorts itself.
 CHUNK = 1 << 19
 HAND_ON = 8 << 20
 BUCKET_RUNS = 200_000
 BUCKET_BYTES = 6 << 20
+SORTED_BYTES = 1 << 19
 GROUP_RUNS = 200_000
 
 _FIELDS = (("digit", "<u8"), ("content", "<u8"), ("doc_id", "<i8"), ("text_hash", "<i8"), ("null", "u1"), ("start", "<i4"), ("count", "u1"))
@@ -290,25 +292,43 @@ def _windows_of(table, size: int) -> dict[str, np.ndarray]:
     return {k: np.concatenate([x[k] for x in out]) for k in out[0]}
 
 
+def _digit_parts(table: pa.Table, limit: int):
+    """The contexts in parts of whole digits, of about ``limit`` bytes or one digit each."""
+    digit = np.asarray(table.column("digit"))
+    order = np.argsort(digit, kind="stable")
+    edges = np.append(np.flatnonzero(_new(digit[order])), len(order))
+    sizes = np.add.reduceat(np.asarray(pc.binary_length(table.column("bytes")))[order], edges[:-1], dtype=np.int64)
+    for part in by_weight(range(len(sizes)), sizes.__getitem__, limit):
+        yield table.take(pa.array(order[edges[part[0]] : edges[part[-1] + 1]]))
+
+
+def _repeats_among(table: pa.Table, size: int) -> pa.Table:
+    """Windows that equal an earlier one of the contexts, as runs."""
+    rows = _sorted(_windows_of(table, size), "digit", "whole")
+    rows = _take(rows, ~_new(rows["digit"], rows["whole"]))
+    rows = _take(rows, np.lexsort([rows[c] for c in _ORDER]))
+    # Windows that follow each other in a document go back as one run.
+    next_one = ~_new(rows["doc_id"], rows["null"], rows["text_hash"])
+    next_one[1:] &= rows["start"][1:] - rows["start"][:-1] <= 1
+    first = np.flatnonzero(~next_one)
+    last = np.append(first[1:], len(next_one))[: len(first)] - 1
+    head = _take(rows, first)
+    return pa.table(
+        {
+            "doc_id": pa.array(head["doc_id"], pa.int64(), mask=head["null"] == 1),
+            "text_hash": pa.array(head["text_hash"]),
+            "start": pa.array(head["start"].astype(np.int32)),
+            "count": pa.array((rows["start"][last] - head["start"] + 1).astype(np.int32)),
+        }
+    )
+
+
 def _third_pass(size: int):
+    """All windows of a bucket's contexts, a few digits at a time: a window is some fifty bytes of sorting for each byte."""
+
     def run(key, table):
-        rows = _sorted(_windows_of(table, size), "digit", "whole")
-        rows = _take(rows, ~_new(rows["digit"], rows["whole"]))
-        rows = _take(rows, np.lexsort([rows[c] for c in _ORDER]))
-        # Windows that follow each other in a document go back as one run.
-        next_one = ~_new(rows["doc_id"], rows["null"], rows["text_hash"])
-        next_one[1:] &= rows["start"][1:] - rows["start"][:-1] <= 1
-        first = np.flatnonzero(~next_one)
-        last = np.append(first[1:], len(next_one))[: len(first)] - 1
-        head = _take(rows, first)
-        return pa.table(
-            {
-                "doc_id": pa.array(head["doc_id"], pa.int64(), mask=head["null"] == 1),
-                "text_hash": pa.array(head["text_hash"]),
-                "start": pa.array(head["start"].astype(np.int32)),
-                "count": pa.array((rows["start"][last] - head["start"] + 1).astype(np.int32)),
-            }
-        )
+        # Equal windows share their digit, so no repeat is parted from its first.
+        return pa.concat_tables(_repeats_among(part, size) for part in _digit_parts(table, SORTED_BYTES))
 
     return run
 

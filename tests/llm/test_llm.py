@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -187,6 +188,26 @@ def test_windows(documents, group_runs):
     assert sorted(map(str, ((r[0], r[1], r[2], r[3], bytes(r[4])) for r in got))) == sorted(map(str, want))
 
 
+def test_windows_of_a_bucket_are_sorted_a_few_digits_at_a_time(monkeypatch):
+    texts = [bytes((i * j) % 251 for j in range(130)) for i in (3, 5, 7)]
+    table = pa.table(
+        {
+            "digit": pa.array([i % 3 for i in range(30)], pa.int64()),
+            "doc_id": pa.array([None, *range(1, 30)], pa.int64()),
+            "text_hash": pa.array(range(30), pa.int64()),
+            "start": pa.array([i % 4 for i in range(30)], pa.int32()),
+            "bytes": pa.array([texts[i % 3] for i in range(30)], pa.binary()),
+        }
+    )
+    held, at_once = windows._windows_of, []
+    monkeypatch.setattr(windows, "_windows_of", lambda part, size: at_once.append(part.num_rows) or held(part, size))
+    whole = windows._third_pass(100)(None, table).to_pylist()
+    monkeypatch.setattr(windows, "SORTED_BYTES", 1)
+    parts = windows._third_pass(100)(None, table).to_pylist()
+    assert at_once == [30, 10, 10, 10]
+    assert len(whole) == 27 and sorted(map(str, parts)) == sorted(map(str, whole))
+
+
 @pytest.mark.parametrize("shared", [None, 7])
 def test_windows_of_rows_that_share_an_id_and_31_bits_of_text(spark, documents, shared):
     """Texts whose hashes agree in their low bits, one long and repeated, one short."""
