@@ -57,15 +57,24 @@ def not_null(name: str, table: str, *columns: str) -> RowTest:
 Rule = Unique | Reference | RowTest
 
 
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+# Where an entry has its key: up to two whole numbers as such, any other key as text.
+KEY = ["first", "second", "text"]
+
+
 def _same_kind(child: T.DataType, parent: T.DataType) -> bool:
-    """Whether equal values have equal text."""
-    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-    return child == parent or (isinstance(child, whole) and isinstance(parent, whole))
+    """Whether equal values have equal text, and both are whole numbers or neither is."""
+    return child == parent or (isinstance(child, _WHOLE) and isinstance(parent, _WHOLE))
 
 
-def _entry(keep: Column, domain: int, slot: int, keys: tuple[str, ...]) -> Column:
-    key = F.array(*[F.col(f"`{k}`").cast("string") for k in keys]) if keys else F.array().cast("array<string>")
-    return F.struct(keep.alias("keep"), F.lit(domain).alias("domain"), F.lit(slot).alias("slot"), key.alias("key"))
+def _entry(keep: Column, domain: int, slot: int, df: DataFrame, keys: tuple[str, ...]) -> Column:
+    numbers, text = [F.lit(None).cast("bigint")] * 2, F.lit(None).cast("array<string>")
+    if len(keys) <= 2 and all(isinstance(df.schema[k].dataType, _WHOLE) for k in keys):
+        numbers = [*[F.col(f"`{k}`").cast("bigint") for k in keys], *numbers][:2]
+    else:
+        text = F.array(*[F.col(f"`{k}`").cast("string") for k in keys])
+    key = [value.alias(name) for value, name in zip([*numbers, text], KEY)]
+    return F.struct(keep.alias("keep"), F.lit(domain).alias("domain"), F.lit(slot).alias("slot"), *key)
 
 
 def _known(keys: tuple[str, ...]) -> Column:
@@ -85,7 +94,7 @@ def violations(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
         if place not in domains:
             domains[place] = len(domains)
             keep = _known(keys) if where is None else _known(keys) & F.coalesce(F.expr(where), F.lit(False))
-            entries[table].append(_entry(keep, domains[place], 0, keys))
+            entries[table].append(_entry(keep, domains[place], 0, tables[table], keys))
         return domains[place]
 
     for rule in rules:
@@ -97,21 +106,22 @@ def violations(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
                     raise ValueError(f"{rule.name}: {c} and {p} have different types")
             domain = domain_of(rule.parent, rule.parent_keys, None)
             slot = children[domain] = children.get(domain, 0) + 1
-            entries[rule.table].append(_entry(_known(rule.columns), domain, slot, rule.columns))
+            entries[rule.table].append(_entry(_known(rule.columns), domain, slot, tables[rule.table], rule.columns))
             listed.append((rule.name, domain, f"orphan{slot}"))
         else:
             domain = domains[rule] = len(domains)
             failed = F.coalesce(~F.expr(rule.condition), F.lit(False))
-            entries[rule.table].append(_entry(failed, domain, 0, ()))
+            entries[rule.table].append(_entry(failed, domain, 0, tables[rule.table], ()))
             listed.append((rule.name, domain, "rows"))
 
+    # The entries become rows first and are filtered then: inside the array, all of them would be interpreted.
     parts = [
-        df.select(F.inline(F.filter(F.array(*entries[name]), lambda e: e["keep"]))).drop("keep")
+        df.select(F.inline(F.array(*entries[name]))).where("keep").drop("keep")
         for name, df in tables.items()
         if entries[name]
     ]
     slots = range(1 + max(children.values(), default=0))
-    counted = reduce(DataFrame.unionByName, parts).groupBy("domain", "key")
+    counted = reduce(DataFrame.unionByName, parts).groupBy("domain", *KEY)
     counted = counted.agg(*[F.count_if(F.col("slot") == s).alias(f"n{s}") for s in slots])
     found = counted.groupBy("domain").agg(
         F.sum("n0").alias("rows"),

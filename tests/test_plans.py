@@ -1,10 +1,12 @@
 """Physical plans: what reaches the scan, and which steps shuffle."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from rawstar import testbed
-from rawstar.operators import checks, compare, facets, manifest
+from rawstar.operators import checks, compare, facets, manifest, rules
 from rawstar.plans import recipes, staging
 from rawstar.session import materialize
 
@@ -76,3 +78,18 @@ def test_sigma_rules_scan_the_statistics_once(spark):
     customers = testbed.table(spark, SF, "customer")
     text = plan(with_flags(customers, [Rule("c_acctbal", "numeric_mean_stddev_within", {"stddevs": 2})]).select(F.count("*")))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_rule_entries_are_compiled_and_whole_keys_travel_as_numbers(spark):
+    parent = spark.createDataFrame([(1, "a"), (2, None)], "id int, name string")
+    child = spark.createDataFrame([(2, 5), (3, 5), (None, 6)], "pid long, n short")
+    checks = [
+        rules.Unique("parent id", "parent", ("id",)),
+        rules.Unique("parent name", "parent", ("name",)),
+        rules.Unique("n", "child", ("n",)),
+        rules.Reference("pid", "child", ("pid",), "parent", ("id",)),
+    ]
+    found = rules.violations({"parent": parent, "child": child}, checks)
+    assert {r.rule: r.violations for r in found.collect()} == {"parent id": 0, "parent name": 0, "n": 1, "pid": 1}
+    text = plan(found)
+    assert "lambda" not in text and not re.search(r"cast\((id|pid|n)#\d+L? as string\)", text)
