@@ -42,9 +42,11 @@ TOKENS = "part int, queue string, doc_id long, begins long, ids binary"
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 CUT = PIECES + ", queue string, k long, inside long, total long, tail binary"
 # Distinct words whose ids a worker remembers, in two halves: the older is dropped when the newer is full.
-REMEMBERED = 800_000
+REMEMBERED = 400_000
 # Bytes of text encoded together.
-TOGETHER = 4 << 20
+TOGETHER = 2 << 20
+# Words given to the tokenizer at a time: its records of a word are many times the word.
+ASKED = 10_000
 
 
 @lru_cache(1)
@@ -126,9 +128,10 @@ class Encoder:
         for w in new & older.keys():
             known[w] = older[w]
         new = list(new.difference(known))
-        if new:
-            self._learn_simple(new)
-        self._learn_whole(whole)
+        for a in range(0, len(new), ASKED):
+            self._learn_simple(new[a : a + ASKED])
+        for a in range(0, len(whole), ASKED):
+            self._learn_whole(whole[a : a + ASKED])
         for w, stem, mark in zip(simple, stems, marks):
             known[w] = known[stem] + known[mark] if mark else known[stem]
 

@@ -480,3 +480,18 @@ def test_pipeline_stages(spark):
         kept = stage(spark, docs, SF)
         assert kept.columns == docs.columns and 0 < kept.count() <= docs.count(), name
         docs = spark.createDataFrame(kept.collect(), docs.schema)
+
+
+def test_the_tokenizer_gets_few_words_at_a_time(monkeypatch):
+    path = queries.tokenizer_path()
+    texts = pa.array([" ".join(f"{a}{b}{c} {c}{b}'{a}, {a}9{b}-{c}" for a in "abcde" for b in "fghij" for c in "klmno"), None, "it's fine."])
+    want = packing.Encoder(path, 2).encode(texts)
+    encoder, asked = packing.Encoder(path, 2), []
+    simple, whole = encoder._learn_simple, encoder._learn_whole
+    monkeypatch.setattr(encoder, "_learn_simple", lambda words: asked.append(len(words)) or simple(words))
+    monkeypatch.setattr(encoder, "_learn_whole", lambda words: asked.append(len(words)) or whole(words))
+    monkeypatch.setattr(packing, "ASKED", 40)
+    assert encoder.encode(texts).equals(want)
+    assert max(asked) == 40 and sum(asked) > 300
+    ids = packing._tokenizer(path).encode(texts[0].as_py(), add_special_tokens=False).ids
+    assert np.frombuffer(want[0].as_py(), encoder.kind).tolist() == [*ids, 2]
