@@ -23,6 +23,9 @@ SPACE_RUN = r"[\x20\x09-\x0D]+"
 KEY = ["doc_id", "text_hash"]
 # Rows of one Arrow batch; texts may be long, so batches are kept short.
 BATCH_ROWS = 1000
+# Rows after which a Parquet writer looks whether a page is full (1 MB). Rows here may be long, and a page is
+# compressed as a whole, outside the heap; by default it is looked at after 100 rows.
+PAGE_CHECK = {"parquet.page.size.row.check.min": "1"}
 
 
 def short_batches(spark: SparkSession) -> None:
@@ -73,7 +76,7 @@ def release(spark: SparkSession) -> None:
 def store(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """Write ``df`` to the shared scratch folder; the table and its path, for ``discard``."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**PAGE_CHECK).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
@@ -83,7 +86,7 @@ def store_bucketed(df: DataFrame, key: str, label: str) -> tuple[DataFrame, str]
     spark = df.sparkSession
     path = scratch_path(spark, label)
     name = path.rsplit("/", 1)[1].replace("-", "_")
-    writer = df.write.format("parquet").option("path", path).option("compression", "zstd")
+    writer = df.write.format("parquet").option("path", path).option("compression", "zstd").options(**PAGE_CHECK)
     writer.bucketBy(shuffle_width(spark), key).saveAsTable(name)
     return spark.table(name), path
 

@@ -36,13 +36,14 @@ GRAM = 32
 # Runs are cut at this many windows, so that two windows cover a run.
 LONGEST_RUN = 96
 TWICE = 128
-# Bytes hashed at a time, bytes after which a task hands on its runs, runs in a radix bucket,
-# context bytes in one, those sorted at a time, and runs of one digit that a task sorts itself.
-CHUNK = 1 << 19
+# Bytes hashed at a time, bytes after which a task hands on its runs, runs in a radix bucket, context
+# bytes in one, those sorted at a time, windows of them, and runs of one digit that a task sorts itself.
+CHUNK = 1 << 17
 HAND_ON = 8 << 20
 BUCKET_RUNS = 200_000
 BUCKET_BYTES = 6 << 20
 SORTED_BYTES = 1 << 19
+SORTED_WINDOWS = 500_000
 GROUP_RUNS = 200_000
 
 _FIELDS = (("digit", "<u8"), ("content", "<u8"), ("doc_id", "<i8"), ("text_hash", "<i8"), ("null", "u1"), ("start", "<i4"), ("count", "u1"))
@@ -71,6 +72,8 @@ def window_hashes(data: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     power, hashes = 1, {1: _BYTES[data]}
     while power * 2 <= size:
         hashes[power * 2] = _joined(hashes[power], power, hashes[power], _JOIN[power.bit_length()])
+        if not (power & size or power == GRAM):
+            del hashes[power]
         power *= 2
     whole, done = hashes[power], power
     for p in sorted(hashes, reverse=True):
@@ -267,29 +270,35 @@ def _contexts(size: int):
     return run
 
 
-def _windows_of(table, size: int) -> dict[str, np.ndarray]:
-    """All windows of the contexts, with their place in the document."""
-    out = []
-    texts = table.column("bytes").to_pylist()
-    ids = table.column("doc_id").combine_chunks() if isinstance(table, pa.Table) else table.column("doc_id")
-    plain = {
-        "digit": np.asarray(table.column("digit")),
-        "doc_id": np.asarray(ids.fill_null(0)),
-        "null": np.asarray(ids.is_null()).astype("u1"),
-        "text_hash": np.asarray(table.column("text_hash")),
-        "start": np.asarray(table.column("start")),
-    }
-    for part in by_weight(range(len(texts)), lambda i: len(texts[i]), CHUNK):
-        data = [texts[i] for i in part]
-        _, whole = window_hashes(np.frombuffer(b"".join(data), np.uint8), size)
-        counts = np.array([len(x) - size + 1 for x in data])
-        lengths = counts + size - 1
-        within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        rows = _take(plain, np.repeat(np.array(part), counts))
-        rows["start"] = rows["start"] + within
-        rows["whole"] = whole[np.repeat(np.cumsum(lengths) - lengths, counts) + within].view(np.int64)
-        out.append(rows)
-    return {k: np.concatenate([x[k] for x in out]) for k in out[0]}
+def _windows_of(table, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all windows of the contexts, one context after the other, and how many each has."""
+    texts = table.column("bytes")
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    lengths = np.asarray(pc.binary_length(texts)).astype(np.int64)
+    # The bytes of the contexts lie one after the other in Arrow's buffer.
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+    base = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset] if len(texts) else 0
+    begins, counts = base + np.cumsum(lengths) - lengths, lengths - size + 1
+    whole, at = np.empty(counts.sum(), np.uint64), 0
+    for part in by_weight(range(len(lengths)), lengths.__getitem__, CHUNK):
+        a, b, each = part[0], part[-1], counts[part[0] : part[-1] + 1]
+        hashes = window_hashes(data[begins[a] : begins[b] + lengths[b]], size)[1]
+        shift = begins[a : b + 1] - begins[a] - (np.cumsum(each) - each)
+        whole[at : at + each.sum()] = hashes[np.arange(each.sum()) + np.repeat(shift, each)]
+        at += each.sum()
+    return whole, counts
+
+
+def _within(counts: np.ndarray) -> np.ndarray:
+    """0, 1, .. count - 1 for each count."""
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def _plain(table, *columns: str) -> dict[str, np.ndarray]:
+    ids = table.column("doc_id")
+    plain = {"doc_id": np.asarray(ids.fill_null(0)), "null": np.asarray(ids.is_null()).astype("u1")}
+    return plain | {c: np.asarray(table.column(c)) for c in columns}
 
 
 def _digit_parts(table: pa.Table, limit: int):
@@ -302,29 +311,54 @@ def _digit_parts(table: pa.Table, limit: int):
         yield table.take(pa.array(order[edges[part[0]] : edges[part[-1] + 1]]))
 
 
+def _not_first(whole: np.ndarray, digit: np.ndarray) -> np.ndarray:
+    """True where an earlier window has this digit and hash; digits are in order, equal ones in document order.
+
+    Hashes are sorted by ranges of their own, of some ``SORTED_WINDOWS`` windows each, so that one digit of very many
+    windows needs little more than its hashes.
+    """
+    repeated, parts = np.zeros(len(whole), bool), 1 + len(whole) // SORTED_WINDOWS
+    for part in range(parts):
+        at = np.flatnonzero((whole >> np.uint64(32)) % np.uint64(parts) == part) if parts > 1 else np.arange(len(whole))
+        # Equal hashes stay in the order of the windows.
+        at = at[np.argsort(whole[at], kind="stable")]
+        repeated[at[~_new(whole[at], digit[at])]] = True
+    return repeated
+
+
 def _repeats_among(table: pa.Table, size: int) -> pa.Table:
     """Windows that equal an earlier one of the contexts, as runs."""
-    rows = _sorted(_windows_of(table, size), "digit", "whole")
-    rows = _take(rows, ~_new(rows["digit"], rows["whole"]))
-    rows = _take(rows, np.lexsort([rows[c] for c in _ORDER]))
+    contexts = _plain(table, "digit", "text_hash", "start")
+    # A digit's contexts in document order: their windows do not overlap, so windows are in order as they come.
+    contexts = _sorted(contexts | {"row": np.arange(table.num_rows)}, "digit")
+    whole, counts = _windows_of(table.select(["bytes"]).take(pa.array(contexts["row"])), size)
+    row = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+    number = np.cumsum(_new(contexts["digit"])).astype(np.int32)
+    repeated = np.flatnonzero(_not_first(whole, number[row]))
+    row = row[repeated]
+    start = contexts["start"][row] + repeated - (np.cumsum(counts) - counts)[row]
+    new = _new(row, start - np.arange(len(start)))
+    first = np.flatnonzero(new)
+    runs = _take(contexts, row[first]) | {"start": start[first], "count": np.diff(np.append(first, len(start)))}
     # Windows that follow each other in a document go back as one run.
-    next_one = ~_new(rows["doc_id"], rows["null"], rows["text_hash"])
-    next_one[1:] &= rows["start"][1:] - rows["start"][:-1] <= 1
-    first = np.flatnonzero(~next_one)
-    last = np.append(first[1:], len(next_one))[: len(first)] - 1
-    head = _take(rows, first)
+    runs = _take(runs, np.lexsort([runs[c] for c in _ORDER]))
+    end = np.cumsum(runs["count"])
+    new = _new(runs["doc_id"], runs["null"], runs["text_hash"], runs["start"] - (end - runs["count"]))
+    first = np.flatnonzero(new)
+    head = _take(runs, first)
+    count = np.add.reduceat(runs["count"], first) if len(first) else first
     return pa.table(
         {
             "doc_id": pa.array(head["doc_id"], pa.int64(), mask=head["null"] == 1),
             "text_hash": pa.array(head["text_hash"]),
             "start": pa.array(head["start"].astype(np.int32)),
-            "count": pa.array((rows["start"][last] - head["start"] + 1).astype(np.int32)),
+            "count": pa.array(count.astype(np.int32)),
         }
     )
 
 
 def _third_pass(size: int):
-    """All windows of a bucket's contexts, a few digits at a time: a window is some fifty bytes of sorting for each byte."""
+    """All windows of a bucket's contexts, a few digits at a time."""
 
     def run(key, table):
         # Equal windows share their digit, so no repeat is parted from its first.
@@ -337,11 +371,13 @@ def _window_rows(size: int):
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                rows = _windows_of(batch, size)
+                whole, counts = _windows_of(batch, size)
+                rows = _take(_plain(batch, "digit", "text_hash", "start"), np.repeat(np.arange(len(counts)), counts))
+                rows["start"] = rows["start"] + _within(counts)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(rows["digit"]),
-                        pa.array(rows["whole"]),
+                        pa.array(whole.view(np.int64)),
                         pa.array(rows["doc_id"], pa.int64(), mask=rows["null"] == 1),
                         pa.array(rows["text_hash"]),
                         pa.array(rows["start"].astype(np.int32)),

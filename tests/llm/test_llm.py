@@ -208,6 +208,44 @@ def test_windows_of_a_bucket_are_sorted_a_few_digits_at_a_time(monkeypatch):
     assert len(whole) == 27 and sorted(map(str, parts)) == sorted(map(str, whole))
 
 
+def _contexts_of_one_line(n):
+    """Contexts around one line of 62 bytes: of equal ones all but the first repeat."""
+    r = np.random.default_rng(9)
+    sides = r.integers(0, 255, (n // 2, 2, 52), dtype=np.uint8)
+    line = bytes(r.integers(0, 255, 62, dtype=np.uint8))
+    texts = [sides[i % (n // 2), 0].tobytes() + line + sides[i % (n // 2), 1].tobytes() for i in range(n)]
+    columns = {
+        "digit": pa.array([5] * n, pa.int64()),
+        "doc_id": pa.array([None, *range(1, n)], pa.int64()),
+        "text_hash": pa.array(range(n), pa.int64()),
+        "start": pa.array([7] * n, pa.int32()),
+        "bytes": pa.array(texts, pa.binary()),
+    }
+    return pa.table(columns)
+
+
+def test_windows_of_one_digit_need_little_memory():
+    import tracemalloc
+
+    n = 8000
+    table = _contexts_of_one_line(n)
+    tracemalloc.start()
+    gone = windows._third_pass(100)(None, table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sorted((r["doc_id"], r["start"], r["count"]) for r in gone.to_pylist()) == [(i, 7, 67) for i in range(n // 2, n)]
+    assert peak < 80 * n * 67
+
+
+def test_windows_of_one_digit_are_sorted_by_ranges_of_hashes(monkeypatch):
+    table = _contexts_of_one_line(300)
+    table = pa.concat_tables([table.take(list(range(299, -1, -1))), table.slice(3, 5)])
+    whole = windows._third_pass(100)(None, table).to_pylist()
+    monkeypatch.setattr(windows, "SORTED_WINDOWS", 1000)
+    parts = windows._third_pass(100)(None, table).to_pylist()
+    assert whole == parts and sorted((r["doc_id"], r["start"], r["count"]) for r in whole) == [(i, 7, 67) for i in range(150, 300)]
+
+
 @pytest.mark.parametrize("shared", [None, 7])
 def test_windows_of_rows_that_share_an_id_and_31_bits_of_text(spark, documents, shared):
     """Texts whose hashes agree in their low bits, one long and repeated, one short."""
