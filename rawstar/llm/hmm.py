@@ -40,12 +40,16 @@ from rawstar.llm.common import as_bytes, by_weight, discard, mix, odd_multiplier
 STATES, ROUNDS, PSEUDO = 8, 6, 0.01
 OWN, SHAPES = 20, 1024
 # Tokens whose messages a task holds at once.
-PART = 300_000
-# Bytes of text in a block, and words of all lists in a hash bucket.
-BLOCK_BYTES = 24 << 20
+PART = 150_000
+# Bytes of text in a block at most, and those that are worth a task of their own; words of all lists in a hash bucket.
+BLOCK_BYTES = 84 << 20
+LEAST_BYTES = 24 << 20
 BUCKET_WORDS = 600_000
-# Tokens scored together.
-SCORED = 2_000_000
+# Tokens scored together, and bytes of a block's rows handed on at a time.
+SCORED = 16_000_000
+HANDED = 4 << 20
+# Bytes that a row counts for besides its text.
+ROW_BYTES = 200
 END = 0
 
 ASKED = "bucket int, block long, words binary, counts binary, shapes binary"
@@ -73,46 +77,58 @@ class _Block:
                 numbers[w] = len(numbers)
         ids = np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words))
         self.rows.append((doc_id, held, ids))
-        self.bytes += len(text) + 200
+        self.bytes += len(text) + ROW_BYTES
 
-    def out(self, block: int) -> pa.RecordBatch:
+    def out(self, block: int):
+        """The block's word list, then its rows a few at a time."""
         size = len(self.numbers)
-        train = [ids for _, held, ids in self.rows if not held]
-        counts = np.bincount(np.concatenate(train), minlength=size) if train and size else np.zeros(size)
+        counts = np.zeros(size, np.int64)
+        for part in by_weight((ids for _, held, ids in self.rows if not held), len, HANDED):
+            counts += np.bincount(np.concatenate(part), minlength=size)
         hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.numbers), np.uint64, size)
         shapes = np.fromiter((xxhash.xxh3_64_intdigest(w[-3:]) % SHAPES for w in self.numbers), np.uint16, size)
+        self.numbers.clear()
         order = np.argsort(hashes)
         rank = np.empty(size, np.uint32)
         rank[order] = np.arange(size, dtype=np.uint32)
-        rows = [(d, h, rank[ids].tobytes()) for d, h, ids in self.rows]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([block] * (len(rows) + 1), pa.int64()),
-                pa.array([None] + [r[0] for r in rows], pa.int64()),
-                pa.array([None] + [r[1] for r in rows], pa.bool_()),
-                pa.array([hashes[order].tobytes()] + [r[2] for r in rows], pa.binary()),
-                pa.array([counts[order].astype("<u4").tobytes()] + [None] * len(rows), pa.binary()),
-                pa.array([shapes[order].tobytes()] + [None] * len(rows), pa.binary()),
-            ],
-            names=["block", "doc_id", "held_out", "payload", "counts", "shapes"],
-        )
+        lists = (hashes[order], counts[order].astype("<u4"), shapes[order])
+        yield _cut_batch(block, [None], [None], *([x.tobytes()] for x in lists))
+        for part in by_weight(self.rows, lambda r: 4 * len(r[2]), HANDED):
+            none = [None] * len(part)
+            yield _cut_batch(block, [r[0] for r in part], [r[1] for r in part], [rank[r[2]].tobytes() for r in part], none, none)
+
+
+def _cut_batch(block: int, docs: list, held: list, *payload: list) -> pa.RecordBatch:
+    columns = [pa.array([block] * len(docs), pa.int64()), pa.array(docs, pa.int64()), pa.array(held, pa.bool_())]
+    return pa.RecordBatch.from_arrays([*columns, *(pa.array(x, pa.binary()) for x in payload)], names=[x.split()[0] for x in CUT.split(", ")])
 
 
 CUT = "block long, doc_id long, held_out boolean, payload binary, counts binary, shapes binary"
 
 
-def _cut(batches):
-    from pyspark import TaskContext
+def _cut(limit: int):
+    def run(batches):
+        from pyspark import TaskContext
+
+        number, block = TaskContext.get().partitionId() << 24, _Block()
+        for batch in batches:
+            for doc, held, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "held_out", "text"))):
+                block.add(doc, held, text)
+                if block.bytes >= limit:
+                    yield from block.out(number)
+                    number, block = number + 1, _Block()
+        if block.rows:
+            yield from block.out(number)
 
-    number, block = TaskContext.get().partitionId() << 24, _Block()
-    for batch in batches:
-        for doc, held, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "held_out", "text"))):
-            block.add(doc, held, text)
-            if block.bytes >= BLOCK_BYTES:
-                yield block.out(number)
-                number, block = number + 1, _Block()
-    if block.rows:
-        yield block.out(number)
+    return run
+
+
+def blocks_of(total: int, cores: int) -> int:
+    """Blocks for so many bytes: two for each core if that leaves them ``LEAST_BYTES``, but none of more than ``BLOCK_BYTES``.
+
+    Each block gets and sends its words once a round, and larger blocks share more of them.
+    """
+    return max(1, -(-total // BLOCK_BYTES), min(2 * cores, -(-total // LEAST_BYTES)))
 
 
 def _slices(words: np.ndarray, buckets: int) -> tuple[np.ndarray, list[slice]]:
@@ -218,7 +234,7 @@ def _prepare(vocabulary: Vocabulary):
 
     def run(left, right):
         is_list = np.asarray(left.column("counts").combine_chunks().is_valid())
-        shapes = np.frombuffer(left.filter(pa.array(is_list)).column("shapes")[0].as_py(), "<u2")
+        shapes = np.frombuffer(left.select(["shapes"]).filter(pa.array(is_list)).column("shapes")[0].as_py(), "<u2")
         order = np.argsort(np.asarray(right.column("bucket"))) if right.num_rows else []
         totals = [np.frombuffer(right.column("totals")[int(i)].as_py(), "<i8") for i in order]
         hashes = [np.frombuffer(right.column("words")[int(i)].as_py(), "<u8") for i in order]
@@ -231,17 +247,22 @@ def _prepare(vocabulary: Vocabulary):
         inside = np.log10(c + 1) - np.log10(vocabulary.sizes[shapes] + vocabulary.words[shapes] + 1)
         inside[is_own] = 0.0
         block = left.column("block")[0].as_py()
-        rows = left.filter(pa.array(~is_list))
-        out = [(block, *[None] * 7, words[is_own].tobytes())]
-        for doc, held, payload in zip(*(rows.column(x).to_pylist() for x in ("doc_id", "held_out", "payload"))):
-            ids = np.frombuffer(payload, "<u4")
-            end = math.log10(vocabulary.ends + 1) - slots
-            known = int((c[ids] > 0).sum()) + (vocabulary.ends > 0)
-            sequence = np.append(classes[ids], np.uint32(END)).tobytes()
-            out.append((block, doc, held, len(ids) + 1, known, float(base[ids].sum()) + end, float(inside[ids].sum()), sequence, None))
         names = [x.split()[0] for x in READY.split(", ")]
         kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.binary()]
-        return pa.table({n: pa.array(x, k) for n, x, k in zip(names, zip(*out), kinds)})
+        table = lambda out: pa.table({n: pa.array(x, k) for n, x, k in zip(names, zip(*out), kinds)})
+        parts = [table([(block, *[None] * 7, words[is_own].tobytes())])]
+        for batch in left.select(["doc_id", "held_out", "payload", "counts"]).to_batches(max_chunksize=1000):
+            out = []
+            for doc, held, payload, listed in zip(*(batch.column(x).to_pylist() for x in ("doc_id", "held_out", "payload", "counts"))):
+                if listed is None:
+                    ids = np.frombuffer(payload, "<u4")
+                    end = math.log10(vocabulary.ends + 1) - slots
+                    known = int((c[ids] > 0).sum()) + (vocabulary.ends > 0)
+                    sequence = np.append(classes[ids], np.uint32(END)).tobytes()
+                    out.append((block, doc, held, len(ids) + 1, known, float(base[ids].sum()) + end, float(inside[ids].sum()), sequence, None))
+            if out:
+                parts.append(table(out))
+        return pa.concat_tables(parts)
 
     return run
 
@@ -281,7 +302,7 @@ def _side_by_side(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray,
     order = np.argsort(-lengths, kind="stable")
     active = np.searchsorted(-lengths[order], -np.arange(1, lengths.max(initial=0) + 1), side="right")
     begins = np.append(0, np.cumsum(active))
-    symbols = np.empty(begins[-1], np.int64)
+    symbols = np.empty(begins[-1], np.uint32)
     for i, which in enumerate(order):
         symbols[begins[: lengths[which]] + i] = sequences[which]
     return order, active, symbols
@@ -295,10 +316,11 @@ def expected_counts(model: Model, sequences: list[np.ndarray], cells: int = PART
     stretches from the last to the first, computing each one's forward messages again.
     """
     s, move, emit = len(model.start), model.move, model.emit
-    emitted, moved, started, log_likelihood = np.zeros((len(emit), s)), np.zeros((s, s)), np.zeros(s), 0.0
+    start, turned = model.start[:, None], np.ascontiguousarray(move.T)
+    emitted, moved, started, log_likelihood = np.zeros((s, len(emit))), np.zeros((s, s)), np.zeros(s), 0.0
     _, active, symbols = _side_by_side([x for x in sequences if len(x)])
     if not len(active):
-        return emitted, moved, started, log_likelihood
+        return emitted.T, moved, started, log_likelihood
     begins = np.append(0, np.cumsum(active))
     stretches, at = [], 0
     while at < len(active):
@@ -307,15 +329,15 @@ def expected_counts(model: Model, sequences: list[np.ndarray], cells: int = PART
         at = upto
 
     def forward(first: int, upto: int, before: np.ndarray | None):
-        """Chances, scaled messages and scales of the steps, one row for each symbol."""
+        """Chances, scaled messages and scales of the steps: a row for each state, a column for each symbol."""
         base = begins[first]
-        chance = emit[symbols[base : begins[upto]]]
-        alpha, scale = np.empty_like(chance), np.empty(len(chance))
+        chance = np.ascontiguousarray(emit.take(symbols[base : begins[upto]], 0).T)
+        alpha, scale = np.empty_like(chance), np.empty(chance.shape[1])
         for t in range(first, upto):
             a, b = begins[t] - base, begins[t + 1] - base
-            now = chance[a:b] * (model.start if before is None else before[: b - a] @ move)
-            scale[a:b] = level = now.sum(1)
-            before = alpha[a:b] = now / level[:, None]
+            now = chance[:, a:b] * (start if before is None else turned @ before[:, : b - a])
+            level = np.sum(now, 0, out=scale[a:b])
+            before = np.divide(now, level, out=alpha[:, a:b])
         return chance, alpha, scale
 
     entering, kept = [], None
@@ -324,37 +346,42 @@ def expected_counts(model: Model, sequences: list[np.ndarray], cells: int = PART
         entering.append(before)
         kept = forward(first, upto, before)
         log_likelihood += float(np.log(kept[2]).sum())
-        before = kept[1][begins[upto - 1] - begins[first] :].copy()
-    beta = np.ones((active[0], s))
+        before = kept[1][:, begins[upto - 1] - begins[first] :].copy()
+    beta = np.ones((s, active[0]))
     for (first, upto), before in zip(reversed(stretches), reversed(entering)):
         chance, alpha, scale = kept or forward(first, upto, before)
         kept, base = None, begins[first]
-        chance /= scale[:, None]
+        chance /= scale
         gamma = np.empty_like(alpha)
         for t in range(upto - 1, first - 1, -1):
             a, b = begins[t] - base, begins[t + 1] - base
-            here = beta[: b - a]
-            gamma[a:b] = alpha[a:b] * here
+            here = beta[:, : b - a]
+            np.multiply(alpha[:, a:b], here, out=gamma[:, a:b])
             if t:
-                earlier = alpha[begins[t - 1] - base : a] if t > first else before
-                back = chance[a:b] * here
-                moved += earlier[: b - a].T @ back
-                beta[: b - a] = back @ move.T
+                earlier = alpha[:, begins[t - 1] - base : a] if t > first else before
+                back = chance[:, a:b] * here
+                moved += earlier[:, : b - a] @ back.T
+                np.matmul(move, back, out=here)
             else:
-                started += gamma[a:b].sum(0)
+                started += gamma[:, a:b].sum(1)
         own = symbols[base : begins[upto]]
         for k in range(s):
-            emitted[:, k] += np.bincount(own, weights=gamma[:, k], minlength=len(emitted))
-    return emitted, moved * move, started, log_likelihood
+            emitted[k] += np.bincount(own, weights=gamma[k], minlength=len(emit))
+    return emitted.T, moved * move, started, log_likelihood
 
 
-def _block(left, right, states: int) -> tuple[np.ndarray, np.ndarray, pa.Table]:
-    """The own words of a block, their weights, and its rows."""
+def _block(left, right, states: int) -> tuple[np.ndarray, np.ndarray, pa.Array, list[np.ndarray]]:
+    """The own words of a block, their weights, which rows are documents, and the documents' classes, not copied."""
     is_list = left.column("own").combine_chunks().is_valid()
-    words = np.frombuffer(left.filter(is_list).column("own")[0].as_py(), "<u8")
+    words = np.frombuffer(left.select(["own"]).filter(is_list).column("own")[0].as_py(), "<u8")
     order = np.argsort(np.asarray(right.column("bucket"))) if right.num_rows else []
     weights = b"".join(right.column("weights")[int(i)].as_py() for i in order)
-    return words, np.frombuffer(weights, "<f4").reshape(len(words), states).astype(float), left.filter(pc.invert(is_list))
+    texts = []
+    for chunk in left.column("classes").chunks:
+        edges = np.frombuffer(chunk.buffers()[1], np.int32)[chunk.offset : chunk.offset + len(chunk) + 1].tolist()
+        data = np.frombuffer(chunk.buffers()[2] or b"", np.uint8)
+        texts += [data[a:b].view("<u4") for a, b, x in zip(edges, edges[1:], chunk.is_valid().to_pylist()) if x]
+    return words, np.frombuffer(weights, "<f4").reshape(len(words), states), pc.invert(is_list), texts
 
 
 def _count(model: Model, buckets: int):
@@ -362,9 +389,8 @@ def _count(model: Model, buckets: int):
     states = len(model.start)
 
     def run(left, right):
-        words, weights, rows = _block(left, right, states)
+        words, weights, _, texts = _block(left, right, states)
         block, here = left.column("block")[0].as_py(), model.of_block(weights)
-        texts = [np.frombuffer(x, "<u4") for x in rows.column("classes").to_pylist()]
         emitted, moved, started, likelihood = expected_counts(here, texts)
         shared, own = emitted[: 1 + SHAPES], emitted[1 + SHAPES :]
         sums = np.concatenate([shared, moved, started[None], np.full((1, states), likelihood / states), own.sum(0)[None]])
@@ -442,12 +468,12 @@ def log10_likelihoods(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
     order, active, symbols = _side_by_side(sequences)
     begins = np.append(0, np.cumsum(active))
     out = np.zeros(len(sequences))
-    ahead = np.broadcast_to(model.start, (len(sequences), len(model.start)))
+    ahead, turned = model.start[:, None], np.ascontiguousarray(model.move.T)
     for t, n in enumerate(active):
-        now = ahead[:n] * model.emit[symbols[begins[t] : begins[t + 1]]]
-        scale = now.sum(1)
+        now = model.emit.take(symbols[begins[t] : begins[t + 1]], 0).T * ahead[:, :n]
+        scale = now.sum(0)
         out[:n] += np.log10(scale)
-        ahead = (now / scale[:, None]) @ model.move
+        ahead = turned @ (now / scale)
     result = np.empty(len(sequences))
     result[order] = out
     return result
@@ -457,9 +483,9 @@ def _score(model: Model):
     names = [x.split()[0] for x in SCORED_AS.split(", ")]
 
     def run(left, right):
-        _, weights, rows = _block(left, right, len(model.start))
+        _, weights, is_text, texts = _block(left, right, len(model.start))
+        rows = left.select([*names[:-1], "inner"]).filter(is_text)
         here, inner = model.of_block(weights), np.asarray(rows.column("inner"))
-        texts = [np.frombuffer(x, "<u4") for x in rows.column("classes").to_pylist()]
         parts = [log10_likelihoods(here, p) for p in by_weight(texts, len, SCORED)]
         score = inner + np.concatenate(parts) if parts else inner
         return rows.select(names[:-1]).append_column(names[-1], pa.array(score))
@@ -471,7 +497,11 @@ def prepared(docs: DataFrame, held: Column, states: int = STATES) -> tuple[Seque
     """All documents as class sequences with their unigram scores, and the vocabulary's sizes."""
     spark = docs.sparkSession
     texts = as_bytes(docs).select("doc_id", held.alias("held_out"), "text")
-    cut, path = store_bucketed(texts.mapInArrow(_cut, CUT), "block", "word-blocks")
+    total = texts.agg(F.sum(F.octet_length("text") + F.lit(ROW_BYTES).cast("long"))).first()[0] or 0
+    blocks = blocks_of(total, spark.sparkContext.defaultParallelism)
+    # Whole input splits go to a block; one is cut again only if its splits are a quarter larger than others.
+    limit = min(BLOCK_BYTES, total // blocks) * 5 // 4 + 1
+    cut, path = store_bucketed(texts.coalesce(blocks).mapInArrow(_cut(limit), CUT), "block", "word-blocks")
     lists = cut.where("counts is not null")
     words = lists.agg(F.sum(F.octet_length("payload") / 8)).first()[0] or 0
     buckets = 1 + int(words) // BUCKET_WORDS

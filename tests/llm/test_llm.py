@@ -469,6 +469,20 @@ def test_training_gains(spark):
     assert likelihoods == sorted(likelihoods)
 
 
+def test_blocks_grow_before_they_grow_in_number(documents, monkeypatch):
+    """A block's words travel every round, so a small table in many partitions is one block."""
+    assert [hmm.blocks_of(n << 20, 6) for n in (0, 20, 25, 180, 500, 1000, 1500)] == [1, 1, 2, 8, 12, 12, 18]
+    docs = documents([(i, sentence(30, i)) for i in range(60)]).repartition(12)
+    ready, _ = hmm.prepared(docs, held_out(7, 2))
+    assert ready.rows.where("own is not null").count() == 1
+    assert ready.rows.where("own is null").count() == 60
+    monkeypatch.setattr(hmm, "BLOCK_BYTES", 4000)
+    monkeypatch.setattr(hmm, "HANDED", 1)
+    ready, _ = hmm.prepared(docs, held_out(7, 2))
+    assert ready.rows.where("own is not null").count() > 3
+    assert ready.rows.where("own is null").count() == 60
+
+
 def test_words_of_twenty_tokens_have_their_own_emissions(documents):
     """Two words of one ending and count, each in its own context, in a text where both are rare."""
     filler = " ".join(f"w{i % 50}" for i in range(200_000))
