@@ -60,22 +60,25 @@ WEIGHTS = "bucket int, block long, weights binary"
 SCORED_AS = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
+class _Numbers(dict):
+    """Numbers words as they are asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 class _Block:
     """Numbers the words of one block as they come."""
 
     def __init__(self):
-        self.numbers: dict[bytes, int] = {}
+        self.numbers = _Numbers()
         self.rows: list[tuple] = []
         self.bytes = 0
-        self.counts = np.zeros(0, np.int64)
 
     def add(self, doc_id, held: bool, text: bytes) -> None:
-        numbers = self.numbers
         words = text.lower().split()
-        for w in set(words):
-            if w not in numbers:
-                numbers[w] = len(numbers)
-        ids = np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words))
+        ids = np.fromiter(map(self.numbers.__getitem__, words), np.uint32, len(words))
         self.rows.append((doc_id, held, ids))
         self.bytes += len(text) + ROW_BYTES
 
